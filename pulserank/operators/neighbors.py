@@ -7,9 +7,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -22,15 +24,14 @@ _CELLS = 4_000_000  # entries of one distance block in memory
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, normalize: bool) -> np.ndarray:
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if isinstance(array, pa.ChunkedArray):
-        array = pa.concat_arrays(array.chunks)
-    rows = len(array)
+    rows = len(column)
     if rows == 0:
         return np.zeros((0, 0))
-    values = array.flatten().to_numpy(zero_copy_only=False).astype("float64")
-    if values.size % rows:
+    sizes = pc.min_max(pc.list_value_length(column))
+    if sizes["min"] != sizes["max"]:
         raise ValueError("vectors differ in dimension")
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    values = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in chunks]).astype("float64")
     matrix = values.reshape(rows, -1)
     if normalize:
         length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
@@ -42,8 +43,8 @@ def _matrix(column: pa.ChunkedArray | pa.Array, normalize: bool) -> np.ndarray:
 class _TopK:
     """The best k (distance, id) pairs per user seen so far by one task."""
 
-    def __init__(self, queries: np.ndarray, k: int, metric: str):
-        self.queries, self.k, self.metric = queries, k, metric
+    def __init__(self, names: list[str], queries: np.ndarray, k: int, metric: str):
+        self.names, self.queries, self.k, self.metric = names, queries, k, metric
         self.squares = (queries * queries).sum(axis=1)
         self.bound = np.full(len(queries), np.inf)
         self.user = np.zeros(0, dtype=np.int64)
@@ -93,9 +94,9 @@ class _TopK:
         full = place[keep] == self.k - 1
         self.bound[self.user[full]] = self.distance[full]
 
-    def table(self, user_ids: pa.Array) -> pa.Table:
+    def table(self) -> pa.Table:
         return pa.table({
-            "user_id": user_ids.take(pa.array(self.user)).cast(pa.string()),
+            "user_id": pa.array([self.names[i] for i in self.user], pa.string()),
             "opportunity_id": pa.array(self.item.tolist(), pa.string()),
             "distance": pa.array(self.distance, pa.float64()),
         })
@@ -106,36 +107,60 @@ def _ids(column) -> np.ndarray:
     return np.array(values, dtype=str) if values else np.zeros(0, dtype="U1")
 
 
-def _broadcast_partials(queries: DataFrame, corpus: DataFrame, k: int, metric: str, normalize: bool) -> DataFrame:
+def scan_pairs(
+    queries: DataFrame,
+    corpus: DataFrame,
+    worker,
+    schema: str,
+    normalize: bool = False,
+    method: str = "auto",
+    max_broadcast_bytes: int = 64 << 20,
+    block_rows: int = 8192,
+) -> DataFrame:
+    """Run ``worker`` over all (user, item) vector pairs without ever listing them.
+
+    ``worker(names, vectors)`` is built once per task from user vectors; it is fed with
+    ``add(items, ids)`` and asked for its ``table()`` at the end, so a task hands on a
+    summary only.  ``method='broadcast'`` ships the users to the corpus tasks;
+    ``'grid'`` lets bounded blocks of both sides meet and has no limit on either side;
+    ``'auto'`` measures the users and takes the first form below ``max_broadcast_bytes``.
+    """
+    left, right = _vectors(queries, "user_id"), _vectors(corpus, "opportunity_id")
+    if method in ("auto", "broadcast"):
+        size = left.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
+        if size <= max_broadcast_bytes:
+            return _ship_users(left, right, worker, schema, normalize)
+    elif method != "grid":
+        raise ValueError("method is 'auto', 'broadcast' or 'grid'")
+    left, right = _grid(left, right, left.count(), right.count(), block_rows)
+    return _meet_blocks(left, right, ["qb", "cb"], worker, schema, normalize)
+
+
+def _ship_users(queries: DataFrame, corpus: DataFrame, worker, schema: str, normalize: bool) -> DataFrame:
     """Users travel to the corpus, which stays where it is read."""
-    table = queries.toArrow().combine_chunks()
-    user_ids = pa.concat_arrays(table["user_id"].chunks) if len(table) else pa.array([], pa.string())
-    shipped = corpus.sparkSession.sparkContext.broadcast(
-        (user_ids.to_pylist(), _matrix(table["embedding"], normalize) if len(table) else np.zeros((0, 0)))
-    )
+    table = queries.toArrow()
+    names = table["user_id"].to_pylist()
+    vectors = _matrix(table["embedding"], normalize)
+    shipped = corpus.sparkSession.sparkContext.broadcast((names, vectors))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, vectors = shipped.value
-        best = _TopK(vectors, k, metric)
+        task = worker(*shipped.value)
         for batch in batches:
-            best.add(_matrix(batch["embedding"], normalize), _ids(batch["opportunity_id"]))
-        yield from best.table(pa.array(names, pa.string())).to_batches()
+            task.add(_matrix(batch["embedding"], normalize), _ids(batch["opportunity_id"]))
+        yield from task.table().to_batches()
 
-    return corpus.mapInArrow(scan, _OUT)
+    return corpus.mapInArrow(scan, schema)
 
 
-def _blocked_partials(queries: DataFrame, corpus: DataFrame, keys: list[str], k: int, metric: str, normalize: bool) -> DataFrame:
+def _meet_blocks(queries: DataFrame, corpus: DataFrame, keys: list[str], worker, schema: str, normalize: bool) -> DataFrame:
     """Blocks of users meet blocks of items that carry the same keys."""
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = _TopK(_matrix(left["embedding"], normalize), k, metric)
-        best.add(_matrix(right["embedding"], normalize), _ids(right["opportunity_id"]))
-        names = left["user_id"].combine_chunks()
-        if isinstance(names, pa.ChunkedArray):
-            names = pa.concat_arrays(names.chunks) if names.num_chunks else pa.array([], pa.string())
-        return best.table(names)
+        task = worker(left["user_id"].to_pylist(), _matrix(left["embedding"], normalize))
+        task.add(_matrix(right["embedding"], normalize), _ids(right["opportunity_id"]))
+        return task.table()
 
-    return queries.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInArrow(meet, _OUT)
+    return queries.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInArrow(meet, schema)
 
 
 def _grid(queries: DataFrame, corpus: DataFrame, n_queries: int, n_items: int, block_rows: int):
@@ -175,22 +200,14 @@ def knn(
     ``metric='l2'`` ranks by squared distance, ``'dot'`` by inner product (reported as
     ``score``, larger first).  Ties go to the smaller id.  Distances are computed in
     double precision.
-
-    ``method='broadcast'`` ships the users to the corpus tasks; ``'grid'`` lets blocks of
-    both sides meet and has no bound on either side; ``'auto'`` measures the users and
-    takes the first form below ``max_broadcast_bytes``.
+    ``method`` is the one of :func:`scan_pairs`.
     """
     if metric not in ("l2", "dot"):
         raise ValueError("metric is 'l2' or 'dot'")
-    left, right = _vectors(queries, "user_id"), _vectors(corpus, "opportunity_id")
-    if method in ("auto", "broadcast"):
-        size = left.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
-        if size <= max_broadcast_bytes:
-            return _finish(_broadcast_partials(left, right, k, metric, normalize), k, metric)
-    elif method != "grid":
-        raise ValueError("method is 'auto', 'broadcast' or 'grid'")
-    left, right = _grid(left, right, left.count(), right.count(), block_rows)
-    return _finish(_blocked_partials(left, right, ["qb", "cb"], k, metric, normalize), k, metric)
+    partials = scan_pairs(
+        queries, corpus, partial(_TopK, k=k, metric=metric), _OUT, normalize, method, max_broadcast_bytes, block_rows
+    )
+    return _finish(partials, k, metric)
 
 
 def _finish(partials: DataFrame, k: int, metric: str) -> DataFrame:
@@ -256,8 +273,10 @@ def knn_lsh(
     left = left.join(sizes, keys).withColumn("qs", part_of("user_id", "qn")).withColumn("cs", every("cn"))
     right = right.join(sizes, keys).withColumn("cs", part_of("opportunity_id", "cn")).withColumn("qs", every("qn"))
     names = keys + ["qs", "cs"]
-    partials = _blocked_partials(
-        left.select("user_id", "embedding", *names), right.select("opportunity_id", "embedding", *names), names, k, "l2", False
+    partials = _meet_blocks(
+        left.select("user_id", "embedding", *names),
+        right.select("opportunity_id", "embedding", *names),
+        names, partial(_TopK, k=k, metric="l2"), _OUT, False,
     )
     once = partials.groupBy("user_id", "opportunity_id").agg(F.min("distance").alias("distance"))
     return _finish(once, k, "l2")
