@@ -15,6 +15,7 @@ from pulserank.functions.vectors import blend, unit
 from pulserank.operators.analytics import pivot_counts
 from pulserank.operators.dedup import top_n
 from pulserank.operators.neighbors import knn, scan_pairs
+from pulserank.session import materialise
 
 
 def apply_feedback(vector: np.ndarray, item: np.ndarray, own: float, other: float) -> np.ndarray:
@@ -156,9 +157,9 @@ class _Histogram:
 class _BinValues:
     """Distinct similarities, with their counts, inside the bins that hold a wanted rank."""
 
-    def __init__(self, names: list[str], queries: np.ndarray, bins: int, wanted: Mapping[str, Sequence[int]]):
+    def __init__(self, names: list[str], queries: np.ndarray, wanted: list[list[int]], bins: int):
         self.names, self.queries, self.bins = names, queries, bins
-        self.wanted = [np.isin(np.arange(bins), wanted.get(n, ())) for n in names]
+        self.wanted = [np.isin(np.arange(bins), places) for places in wanted]
         self.found: list[list[np.ndarray]] = [[] for _ in names]
 
     def add(self, items: np.ndarray, ids: np.ndarray) -> None:
@@ -208,19 +209,14 @@ def similarity_cutoffs(
     for rank in ranks:
         for edge in (F.floor(rank), F.ceil(rank)):
             holds = holds | ((edge >= F.col("first")) & (edge < F.col("last")))
-    wanted_bins = bounds.where(holds).select("user_id", "bin", "first", "total")
-    # At most two bins per user and quantile.
-    wanted: dict[str, list[int]] = {}
-    starts = wanted_bins.toArrow().to_pylist()
-    for row in starts:
-        wanted.setdefault(row["user_id"], []).append(row["bin"])
+    # At most two bins per user and quantile; written once because both sides below read them.
+    offsets = materialise(bounds.where(holds).select("user_id", "bin", "first", "total"), "cutoff-bins")
+    places = offsets.groupBy("user_id").agg(F.collect_set("bin").alias("places"))
+    asked = users.select(F.col("user_id").cast("string").alias("user_id"), "embedding").join(places, "user_id")
     values = scan_pairs(
-        users, items, partial(_BinValues, bins=bins, wanted=wanted), "user_id string, value double, n bigint", **scan
+        asked, items, partial(_BinValues, bins=bins), "user_id string, value double, n bigint", carry="places", **scan
     )
     bin_of = F.least(F.greatest(F.floor((F.col("value") + 1.0) * (bins / 2.0)), F.lit(0)), F.lit(bins - 1)).cast("int")
-    offsets = users.sparkSession.createDataFrame(
-        [(r["user_id"], r["bin"], r["first"], r["total"]) for r in starts], "user_id string, bin int, first bigint, total bigint"
-    )
     inside = Window.partitionBy("user_id", "bin").orderBy("value")
     placed = (
         values.groupBy("user_id", "value").agg(F.sum("n").alias("n"))

@@ -116,32 +116,36 @@ def scan_pairs(
     method: str = "auto",
     max_broadcast_bytes: int = 64 << 20,
     block_rows: int = 8192,
+    carry: str | None = None,
 ) -> DataFrame:
     """Run ``worker`` over all (user, item) vector pairs without ever listing them.
 
-    ``worker(names, vectors)`` is built once per task from user vectors; it is fed with
+    ``worker(names, vectors)`` is built once per task from user vectors (with ``carry``,
+    a column of ``queries``, its values are a third argument); it is fed with
     ``add(items, ids)`` and asked for its ``table()`` at the end, so a task hands on a
     summary only.  ``method='broadcast'`` ships the users to the corpus tasks;
     ``'grid'`` lets bounded blocks of both sides meet and has no limit on either side;
     ``'auto'`` measures the users and takes the first form below ``max_broadcast_bytes``.
     """
-    left, right = _vectors(queries, "user_id"), _vectors(corpus, "opportunity_id")
+    left, right = _vectors(queries, "user_id", carry), _vectors(corpus, "opportunity_id")
     if method in ("auto", "broadcast"):
         size = left.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
         if size <= max_broadcast_bytes:
-            return _ship_users(left, right, worker, schema, normalize)
+            return _ship_users(left, right, worker, schema, normalize, carry)
     elif method != "grid":
         raise ValueError("method is 'auto', 'broadcast' or 'grid'")
     left, right = _grid(left, right, left.count(), right.count(), block_rows)
-    return _meet_blocks(left, right, ["qb", "cb"], worker, schema, normalize)
+    return _meet_blocks(left, right, ["qb", "cb"], worker, schema, normalize, carry)
+
+
+def _users(table: pa.Table, normalize: bool, carry: str | None) -> tuple:
+    names, vectors = table["user_id"].to_pylist(), _matrix(table["embedding"], normalize)
+    return (names, vectors) if carry is None else (names, vectors, table[carry].to_pylist())
 
 
-def _ship_users(queries: DataFrame, corpus: DataFrame, worker, schema: str, normalize: bool) -> DataFrame:
+def _ship_users(queries: DataFrame, corpus: DataFrame, worker, schema: str, normalize: bool, carry: str | None) -> DataFrame:
     """Users travel to the corpus, which stays where it is read."""
-    table = queries.toArrow()
-    names = table["user_id"].to_pylist()
-    vectors = _matrix(table["embedding"], normalize)
-    shipped = corpus.sparkSession.sparkContext.broadcast((names, vectors))
+    shipped = corpus.sparkSession.sparkContext.broadcast(_users(queries.toArrow(), normalize, carry))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = worker(*shipped.value)
@@ -152,11 +156,11 @@ def _ship_users(queries: DataFrame, corpus: DataFrame, worker, schema: str, norm
     return corpus.mapInArrow(scan, schema)
 
 
-def _meet_blocks(queries: DataFrame, corpus: DataFrame, keys: list[str], worker, schema: str, normalize: bool) -> DataFrame:
+def _meet_blocks(queries: DataFrame, corpus: DataFrame, keys: list[str], worker, schema: str, normalize: bool, carry: str | None = None) -> DataFrame:
     """Blocks of users meet blocks of items that carry the same keys."""
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        task = worker(left["user_id"].to_pylist(), _matrix(left["embedding"], normalize))
+        task = worker(*_users(left, normalize, carry))
         task.add(_matrix(right["embedding"], normalize), _ids(right["opportunity_id"]))
         return task.table()
 
@@ -178,9 +182,9 @@ def _grid(queries: DataFrame, corpus: DataFrame, n_queries: int, n_items: int, b
     return left, right
 
 
-def _vectors(df: DataFrame, id_column: str) -> DataFrame:
+def _vectors(df: DataFrame, id_column: str, carry: str | None = None) -> DataFrame:
     return df.select(
-        F.col(id_column).cast("string").alias(id_column), F.col("embedding")
+        F.col(id_column).cast("string").alias(id_column), F.col("embedding"), *([carry] if carry else [])
     ).where(F.col("embedding").isNotNull())
 
 
