@@ -176,7 +176,7 @@ def board_defaults(df: DataFrame) -> DataFrame:
     if "topic_category" not in have:
         new["topic_category"] = F.col("domain_category") if "domain_category" in have else F.lit("General Tech")
     if "domain_category" not in have:
-        new["domain_category"] = F.col("topic_category") if "topic_category" in have else F.lit("other")
+        new["domain_category"] = new.get("topic_category", F.col("topic_category"))
     for name in ("score", "num_comments", "age_days", "engagement_score", "final_score",
                  "relevance_score", "effort_score"):
         if name in have:
