@@ -47,12 +47,20 @@ def first_label(columns: Iterable[str | Column], empty: Sequence[str], default:
     return F.coalesce(*picks, F.lit(default))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where Spark would repeat its expression."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def contains_any(text: Column, phrases: Sequence[str]) -> Column:
     """True if ``text`` contains one of the phrases."""
-    hit = F.lit(False)
-    for phrase in phrases:
-        hit = hit | F.contains(text, F.lit(phrase))
-    return hit
+    def test(t: Column) -> Column:
+        hit = F.lit(False)
+        for phrase in phrases:
+            hit = hit | F.contains(t, F.lit(phrase))
+        return hit
+
+    return let(text, test)
 
 
 def literal_map(mapping: dict) -> Column:

@@ -86,7 +86,7 @@ def with_reasons(
 def similarity_reasons(df: DataFrame) -> Column:
     """Reasons of a vector based card: similarity tier, engagement, freshness, domain; the first three."""
     sim = _signal(df, "similarity")
-    shown = F.format_number(sim, "0.00")
+    shown = F.format_string("%.2f", sim)
     eng = _signal(df, "engagement_score") if "engagement_score" in df.columns else _signal(df, "score")
     topic = topic_label(df)
     tier = (

@@ -228,10 +228,8 @@ def good_first_issues(df: DataFrame, min_rows: int = 5, source: str = "github")
 
     The three counts are one aggregate, used as a scalar subquery: no driver branch.
     """
-    hit = F.lit(False)
-    for name in ("title", "text", "topic_category", "domain_category", "domain"):
-        if name in df.columns:
-            hit = hit | contains_any(F.lower(F.coalesce(F.col(name).cast("string"), F.lit(""))), K.FIRST_ISSUE_PHRASES)
+    fields = [F.col(n).cast("string") for n in ("title", "text", "topic_category", "domain_category", "domain") if n in df.columns]
+    hit = contains_any(F.lower(F.concat_ws("\n", *fields)), K.FIRST_ISSUE_PHRASES)
     from_source = F.coalesce(F.lower(col("source")) == source, F.lit(False))
     wanted = hit | from_source
     counts = df.agg(

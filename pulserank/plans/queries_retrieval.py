@@ -1 +1,93 @@
+"""Queries over vectors."""
+from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from pulserank.functions.vectors import norm, unit
+from pulserank.operators import neighbors as N
+from pulserank.operators.feedback import centroid
+from pulserank.operators.quality import report, vector_rules
+from pulserank.plans import adapters as A, oracle_parts as O, recommend as R
+from pulserank.plans.catalog import query, r6
+from pulserank.plans.queries_snapshot import _snapshot
+
+_VECTORS = O.ITEMS + "," + O.USERS + "," + O.PAIRS
+_TOP = f"WITH {_VECTORS}, {O.knn(A.TOP_K)} SELECT user_id, opportunity_id, retrieval_rank, round(distance, 6) AS retrieval_distance FROM knn"
+
+
+def _knn(spark, sf, k=A.TOP_K, **options):
+    return N.knn(A.users(spark, sf), A.items(spark, sf), k, **options)
+
+
+def _shown(df):
+    return df.select("user_id", "opportunity_id", "retrieval_rank", r6("retrieval_distance"))
+
+
+@query("knn_topk", _TOP)
+def knn_topk(spark, sf):
+    return _shown(_knn(spark, sf))
+
+
+@query("knn_grid", _TOP)
+def knn_grid(spark, sf):
+    return _shown(_knn(spark, sf, method="grid", block_rows=200))
+
+
+_UNIT = "[x / sqrt(list_inner_product(embedding, embedding)) FOR x IN embedding]"
+
+
+@query("knn_normalized", f"""WITH {O.ITEMS}, {O.USERS}, pairs AS (
+  SELECT u.user_id, i.opportunity_id, list_distance(u.e, i.e) ^ 2 AS distance
+  FROM (SELECT user_id, {_UNIT} AS e FROM users) u, (SELECT opportunity_id, {_UNIT} AS e FROM items) i), {O.knn(20)}
+SELECT user_id, opportunity_id, retrieval_rank, round(distance, 6) AS retrieval_distance FROM knn""")
+def knn_normalized(spark, sf):
+    return _shown(_knn(spark, sf, 20, normalize=True))
+
+
+@query("knn_dot", f"""WITH {_VECTORS}, {O.knn(50, order='dot DESC, opportunity_id')}
+SELECT user_id, opportunity_id, retrieval_rank, round(dot, 6) AS score FROM knn""")
+def knn_dot(spark, sf):
+    return _knn(spark, sf, 50, metric="dot").withColumn("score", r6("score"))
+
+
+@query("normalize_vectors", f"""SELECT vec_id, round(sqrt(list_inner_product(e, e)), 6) AS length, round(list_sum([x / sqrt(list_inner_product(e, e)) FOR x IN e]), 6) AS total
+FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)""")
+def normalize_vectors(spark, sf):
+    rows = A.table(spark, sf, "embeddings")
+    total = F.aggregate(unit("embedding"), F.lit(0.0), lambda s, x: s + x)
+    return rows.select("vec_id", r6(norm("embedding"), "length"), r6(total, "total"))
+
+
+@query("vector_centroids", f"""WITH {O.USERS} SELECT user_id, array_to_string([CAST(round(x, 6) AS VARCHAR) FOR x IN embedding], ' ') AS centroid, len(embedding) AS dim FROM users""".replace(
+    "array_to_string([CAST(round(x, 6) AS VARCHAR) FOR x IN embedding], ' ') AS centroid", "round(list_inner_product(embedding, embedding), 6) AS square, round(embedding[1], 6) AS first"))
+def vector_centroids(spark, sf):
+    rows = A.users(spark, sf)
+    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
+    return rows.select("user_id", r6(square, "square"), r6(F.col("embedding")[0], "first"), F.size("embedding").cast("bigint").alias("dim"))
+
+
+@query("vector_checks", """SELECT 'missing_id' AS rule, count(*) FILTER (vec_id IS NULL) AS violations FROM embeddings UNION ALL
+SELECT 'empty_vector', count(*) FILTER (embedding IS NULL OR len(embedding) = 0) FROM embeddings UNION ALL
+SELECT 'wrong_dimension', count(*) FILTER (len(embedding) <> 32) FROM embeddings UNION ALL
+SELECT 'null_component', count(*) FILTER (len([x FOR x IN embedding IF x IS NULL]) > 0) FROM embeddings""")
+def vector_checks(spark, sf):
+    return report(A.table(spark, sf, "embeddings"), vector_rules("vec_id", 32))
+
+
+@query("candidate_join", f"""WITH {O.CAND} SELECT user_id, opportunity_id, retrieval_rank, round(retrieval_distance, 6) AS retrieval_distance,
+  round(similarity, 6) AS similarity, title, url FROM cand""")
+def candidate_join(spark, sf):
+    rows = candidates(spark, sf)
+    return rows.select("user_id", "opportunity_id", "retrieval_rank", r6("retrieval_distance"), r6("similarity"), "title", "url")
+
+
+def candidates(spark, sf):
+    return R.candidates(A.users(spark, sf), A.items(spark, sf), _snapshot(spark, sf), A.TOP_K)
+
+
+@query("lsh_recall")
+def lsh_recall(spark, sf):
+    """Recall of the approximate search against the exact one; depends on the projections, so it has no SQL twin."""
+    users, items = A.users(spark, sf), A.items(spark, sf)
+    found = N.knn_lsh(users, items, 20, dim=64, width=0.8, tables=12, bits=3)
+    return N.recall(found, N.knn(users, items, 20))
