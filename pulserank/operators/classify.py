@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
-from pulserank.functions.text import clean, col, literal_map, word_count
-from pulserank.operators.matching import substring_hits
+from pulserank.functions.text import clean, col, let, literal_map, word_count
+from pulserank.operators.matching import needs_automaton, substring_hits
 
 Vocabulary = Mapping[str, Sequence[str]]
 
@@ -71,22 +71,26 @@ def topic_votes(df: DataFrame, vocab: Vocabulary, title: str = "title", text: st
     """
     content = F.lower(F.concat(F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.coalesce(F.col(text), F.lit(""))))
     keywords = [k for words in vocab.values() for k in words]
-    df = df.withColumn("_hits", substring_hits(content, keywords))
-    votes = [
-        F.struct(
-            F.size(F.array_intersect(F.col("_hits"), F.array(*[F.lit(k) for k in dict.fromkeys(words)]))).alias("votes"),
-            F.lit(-position).alias("place"),
-            F.lit(topic).alias("topic"),
-        )
-        for position, (topic, words) in enumerate(vocab.items())
-        if words
-    ]
-    if not votes:
-        return df.withColumn("topic_category", F.lit("unknown")).drop("_hits")
-    best = F.array_max(F.array(*votes))
-    return df.withColumn("_best", best).withColumn(
-        "topic_category", F.when(F.col("_best.votes") > 0, F.col("_best.topic")).otherwise("unknown")
-    ).drop("_hits", "_best")
+
+    def winner(hits: Column) -> Column:
+        votes = [
+            F.struct(
+                F.size(F.array_intersect(hits, F.array(*[F.lit(k) for k in dict.fromkeys(words)]))).alias("votes"),
+                F.lit(-position).alias("place"),
+                F.lit(topic).alias("topic"),
+            )
+            for position, (topic, words) in enumerate(vocab.items())
+            if words
+        ]
+        best = F.array_max(F.array(*votes))
+        return let(best, lambda b: F.when(b["votes"] > 0, b["topic"]).otherwise("unknown"))
+
+    if not keywords:
+        return df.withColumn("topic_category", F.lit("unknown"))
+    if needs_automaton(keywords):
+        hit = df.withColumn("_hits", substring_hits(content, keywords))
+        return hit.withColumn("topic_category", let(F.col("_hits"), winner)).drop("_hits")
+    return df.withColumn("topic_category", let(substring_hits(content, keywords), winner))
 
 
 def topic_matches(blob: str | Column, vocab: Vocabulary) -> Column:

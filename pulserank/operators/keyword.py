@@ -32,37 +32,44 @@ def row_text(df: DataFrame) -> Column:
     return F.lower(F.concat_ws(" ", *fields))
 
 
-def _minmax_global(df: DataFrame, value: Column) -> Column:
-    """Scale to [0, 1] over the whole frame; one aggregate as a scalar subquery."""
-    span = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("s")).scalar()
-    return F.when(span["hi"] == span["lo"], 0.0).otherwise((value - span["lo"]) / (span["hi"] - span["lo"]))
-
-
 def with_row_scores(df: DataFrame) -> DataFrame:
-    """Add ``quality_score``, ``freshness_score`` and ``effort_score_normalized``."""
+    """Add ``quality_score``, ``freshness_score`` and ``effort_score_normalized``.
+
+    Quality and effort are scaled to [0, 1] over the whole frame; both ranges come from
+    one aggregate, used as a scalar subquery.
+    """
     have = set(df.columns)
 
     def number(name: str) -> Column:
         return F.coalesce(F.col(name).try_cast("double"), F.lit(0.0))
 
     if "engagement_score" in have:
-        quality = _minmax_global(df, number("engagement_score"))
+        quality = number("engagement_score")
     elif {"score", "num_comments"} <= have:
-        quality = _minmax_global(df, number("score") + number("num_comments"))
+        quality = number("score") + number("num_comments")
     elif "final_score" in have:
-        quality = _minmax_global(df, number("final_score"))
+        quality = number("final_score")
     else:
         quality = F.lit(0.0)
+    light = number("effort_score") if "effort_score" in have else word_count("text").cast("double")
+    span = df.select(quality.alias("q"), light.alias("e")).agg(
+        F.struct(F.min("q").alias("q0"), F.max("q").alias("q1"), F.min("e").alias("e0"), F.max("e").alias("e1")).alias("s")
+    ).scalar()
+
+    def scaled(value: Column, low: Column, high: Column) -> Column:
+        return F.when(high == low, 0.0).otherwise((value - low) / (high - low))
+
     if "age_days" in have:
         age = F.coalesce(F.col("age_days").try_cast("double"), F.lit(float(K.MISSING_AGE_DAYS)))
         fresh = F.lit(1.0) / (F.lit(1.0) + F.greatest(age, F.lit(0.0)))
     else:
         fresh = F.lit(0.5)
-    if "effort_score" in have:
-        light = _minmax_global(df, number("effort_score"))
-    else:
-        light = F.lit(1.0) - _minmax_global(df, word_count("text").cast("double"))
-    return df.withColumns({"quality_score": quality, "freshness_score": fresh, "effort_score_normalized": light})
+    ease = scaled(light, span["e0"], span["e1"])
+    return df.withColumns({
+        "quality_score": scaled(quality, span["q0"], span["q1"]),
+        "freshness_score": fresh,
+        "effort_score_normalized": ease if "effort_score" in have else F.lit(1.0) - ease,
+    })
 
 
 def keyword_match(rows: DataFrame, profiles: DataFrame, id_column: str = "id", max_phrase_bytes: int = 8 << 20) -> DataFrame:

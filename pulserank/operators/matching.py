@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from pulserank.functions.text import let
+
 try:
     import ahocorasick
 except ImportError:  # the expression form below needs nothing
@@ -17,17 +19,22 @@ except ImportError:  # the expression form below needs nothing
 _SCAN_LIMIT = 64
 
 
+def needs_automaton(phrases: Sequence[str]) -> bool:
+    return len(set(phrases)) > _SCAN_LIMIT and ahocorasick is not None
+
+
 def substring_hits(text: Column, phrases: Sequence[str]) -> Column:
     """Distinct phrases that are substrings of ``text``, in dictionary order.
 
-    A short dictionary stays inside code generation.  A long one is matched in Arrow
-    batches by an automaton, which reads every text once whatever the dictionary size.
+    A short dictionary is an expression.  A long one is matched in Arrow batches by an
+    automaton, which reads every text once whatever the dictionary size.
     """
     phrases = list(dict.fromkeys(p for p in phrases if p))
-    if len(phrases) <= _SCAN_LIMIT or ahocorasick is None:
-        picks = [F.when(F.contains(text, F.lit(p)), F.lit(p)) for p in phrases]
-        return F.array_compact(F.array(*picks)) if picks else F.array().cast("array<string>")
-    return _automaton_udf(phrases)(text)
+    if needs_automaton(phrases):
+        return _automaton_udf(phrases)(text)
+    if not phrases:
+        return F.array().cast("array<string>")
+    return let(text, lambda t: F.array_compact(F.array(*[F.when(F.contains(t, F.lit(p)), F.lit(p)) for p in phrases])))
 
 
 def _automaton_udf(phrases: Sequence[str]):
@@ -54,11 +61,12 @@ def phrase_list(df: DataFrame, column: str, max_bytes: int) -> list[str] | None:
 
     Size and count are checked on the cluster first; nothing larger reaches the driver.
     """
-    distinct = df.select(F.col(column).alias("p")).where(F.col("p").isNotNull() & (F.col("p") != "")).distinct()
-    size = distinct.agg(F.coalesce(F.sum(F.octet_length("p") + 8), F.lit(0)).alias("bytes")).first()["bytes"]
-    if size > max_bytes:
-        return None
-    return sorted(row["p"] for row in distinct.collect())
+    distinct = df.select(F.col(column).alias("p")).where(F.col("p").isNotNull() & (F.col("p") != "")).distinct().persist()
+    try:
+        size = distinct.agg(F.coalesce(F.sum(F.octet_length("p") + 8), F.lit(0)).alias("bytes")).first()["bytes"]
+        return None if size > max_bytes else sorted(row["p"] for row in distinct.collect())
+    finally:
+        distinct.unpersist()
 
 
 def vocabulary(path: str) -> dict[str, list[str]]:

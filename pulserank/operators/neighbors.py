@@ -127,13 +127,17 @@ def scan_pairs(
     ``'grid'`` lets bounded blocks of both sides meet and has no limit on either side;
     ``'auto'`` measures the users and takes the first form below ``max_broadcast_bytes``.
     """
-    left, right = _vectors(queries, "user_id", carry), _vectors(corpus, "opportunity_id")
-    if method in ("auto", "broadcast"):
-        size = left.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
-        if size <= max_broadcast_bytes:
-            return _ship_users(left, right, worker, schema, normalize, carry)
-    elif method != "grid":
+    if method not in ("auto", "broadcast", "grid"):
         raise ValueError("method is 'auto', 'broadcast' or 'grid'")
+    left, right = _vectors(queries, "user_id", carry), _vectors(corpus, "opportunity_id")
+    if method != "grid":
+        left.persist()
+        try:
+            size = left.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
+            if size <= max_broadcast_bytes:
+                return _ship_users(left, right, worker, schema, normalize, carry)
+        finally:
+            left.unpersist()
     left, right = _grid(left, right, left.count(), right.count(), block_rows)
     return _meet_blocks(left, right, ["qb", "cb"], worker, schema, normalize, carry)
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from pulserank.functions import constants as K
-from pulserank.functions.text import clean, collapse_lines, simple_key
+from pulserank.functions.text import clean, collapse_lines, let, simple_key
 
 
 def _strings(value: Column, data_type) -> Column | None:
@@ -63,11 +63,12 @@ def profile_terms(df: DataFrame, history_limit: int = K.HISTORY_LIMIT) -> DataFr
     if "profile_text" in types:
         parts.append(F.split(F.replace(clean("profile_text"), F.lit(","), F.lit(" ")), f"[{K.WHITESPACE}]+"))
     every = F.filter(F.concat(*[F.coalesce(p, _empty()) for p in parts], _empty()), lambda t: t != "")
-    df = df.withColumn("_all", every).withColumn("_low", F.transform("_all", lambda t: F.lower(t)))
-    first = F.filter("_all", lambda t, i: F.array_position(F.col("_low"), F.lower(t)) == i + 1)
+    first = let(every, lambda terms: let(
+        F.transform(terms, lambda t: F.lower(t)),
+        lambda low: F.filter(terms, lambda t, i: F.array_position(low, F.lower(t)) == i + 1),
+    ))
     return (
         df.withColumn("terms", first)
-        .drop("_all", "_low")
         .withColumn("profile_text", F.array_join("terms", " "))
         .withColumn("encoding_text", collapse_lines(F.array_join("terms", "\n")))
     )
@@ -81,12 +82,11 @@ def preference_terms(
     """Distinct normalised domain keys, their aliases and interests."""
     none = _empty()
     keys = F.transform(F.coalesce(F.col(preferred_domains), none), lambda d: F.replace(simple_key(d), F.lit(" "), F.lit("_")))
-    flat = []
-    for key, names in aliases.items():
-        for name in names:
-            flat.append(F.struct(F.lit(key).alias("k"), simple_key(F.lit(name)).alias("v")))
-    extra = F.transform(
-        F.filter(F.array(*flat), lambda a: F.array_contains(keys, a["k"])), lambda a: a["v"]
-    ) if flat else none
+    flat = [
+        F.struct(F.lit(key).alias("k"), simple_key(F.lit(name)).alias("v")) for key, names in aliases.items() for name in names
+    ]
+    extra = let(keys, lambda ks: F.transform(
+        F.filter(F.array(*flat), lambda a: F.array_contains(ks, a["k"])), lambda a: a["v"]
+    )) if flat else none
     wanted = F.transform(F.coalesce(F.col(interests), none), lambda i: simple_key(i))
     return F.filter(F.array_distinct(F.concat(keys, extra, wanted)), lambda t: t != "")

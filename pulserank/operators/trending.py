@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
-from pulserank.functions.text import bigrams
+from pulserank.functions.text import bigrams, let
 from pulserank.operators.classify import topic_votes
 
 # Token rules: runs of two or more letters, digits or underscores; and words that start
@@ -20,14 +20,15 @@ def terms_of(title: Column, stop_words: Sequence[str], token: str) -> Column:
     tokens = F.regexp_extract_all(F.lower(title), F.lit(f"({token})"))
     if stop_words:
         tokens = F.filter(tokens, lambda t: ~t.isin(*stop_words))
-    return F.concat(tokens, bigrams(tokens))
+    return let(tokens, lambda t: F.concat(t, bigrams(t)))
 
 
 def _term_counts(titles: DataFrame) -> DataFrame:
     """Total occurrences and number of titles per term, combined on the map side."""
-    per_title = titles.select(
-        F.explode(F.array_distinct("terms")).alias("topic"), F.col("terms")
-    ).select("topic", F.size(F.filter("terms", lambda t: t == F.col("topic"))).alias("tf"))
+    counted = let(F.col("terms"), lambda terms: F.transform(
+        F.array_distinct(terms), lambda x: F.struct(x.alias("topic"), F.size(F.filter(terms, lambda t: t == x)).alias("tf"))
+    ))
+    per_title = titles.select(F.inline(counted))
     return per_title.groupBy("topic").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
@@ -71,24 +72,23 @@ def trending(
         .agg(F.sort_array(F.collect_list(F.struct("topic", _idf(total, F.col("df")).alias("idf")))).alias("v"))
         .scalar()
     )
-    weights = terms.withColumn("_vocab", top).select(
-        F.filter(
-            F.transform(
-                F.col("_vocab"),
-                lambda v: F.struct(
-                    v["topic"].alias("topic"),
-                    (F.size(F.filter(F.col("terms"), lambda t: t == v["topic"])) * v["idf"]).alias("w"),
-                ),
-            ),
+
+    def weighed(both: Column) -> Column:
+        weights = F.filter(
+            F.transform(both["vocab"], lambda v: F.struct(
+                v["topic"].alias("topic"), (F.size(F.filter(both["terms"], lambda t: t == v["topic"])) * v["idf"]).alias("w")
+            )),
             lambda x: x["w"] > 0,
-        ).alias("w")
-    ).where(F.size("w") > 0)
-    length = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
+        )
+        return let(weights, lambda ws: let(
+            F.sqrt(F.aggregate(ws, F.lit(0.0), lambda s, x: s + x["w"] * x["w"])),
+            lambda length: F.transform(ws, lambda x: F.struct(x["topic"].alias("topic"), (x["w"] / length).alias("w"))),
+        ))
+
     return (
-        weights.withColumn("length", length)
-        .select(F.explode("w").alias("x"), "length")
-        .groupBy(F.col("x.topic").alias("topic"))
-        .agg(F.sum(F.col("x.w") / F.col("length")).alias("score"))
+        terms.withColumn("vocab", top).select(F.inline(let(F.struct("terms", "vocab"), weighed)))
+        .groupBy("topic")
+        .agg(F.sum("w").alias("score"))
         .orderBy(F.desc("score"), F.asc("topic"))
     )
 

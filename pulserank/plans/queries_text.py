@@ -10,6 +10,7 @@ from pulserank.operators.shaping import analytics_view, good_first_issues, snaps
 from pulserank.operators.trending import trending, trends_board
 from pulserank.plans import adapters as A, oracle_parts as O
 from pulserank.plans.catalog import listed, query, r6
+from pulserank.session import materialise
 
 _STOP = O.in_list(K.ANALYTICS_STOP_WORDS)
 
@@ -139,12 +140,17 @@ kbest AS (
 
 
 def _rows(spark, sf):
-    return snapshot_features(A.classified(spark, sf), A.REFERENCE_TS)
+    """Rows and profiles are stored tables, as they are outside this catalog."""
+    return materialise(snapshot_features(A.classified(spark, sf), A.REFERENCE_TS), "rows")
+
+
+def _users(spark, sf):
+    return materialise(A.terms(A.profiles(spark, sf)), "profiles")
 
 
 @query("keyword_match", f"WITH {KEYWORD} SELECT user_id, id, round(m, 6) AS profile_match_score FROM kmatch WHERE m > 0")
 def keyword_match(spark, sf):
-    found = keyword.keyword_match(_rows(spark, sf), A.terms(A.profiles(spark, sf)))
+    found = keyword.keyword_match(_rows(spark, sf), _users(spark, sf))
     return found.select("user_id", "id", r6("profile_match_score"))
 
 
@@ -155,7 +161,7 @@ SELECT r.user_id, r.id, r.rank, round(r.m, 6) AS profile_match_score, round(r.s,
   CASE WHEN len(r.w) = 0 THEN 'closest available match in ' || {O.TOPIC_LABEL} ELSE array_to_string(r.w[1:3], ' | ') END AS why
 FROM reasons r JOIN classed c ON c.id = r.id""")
 def keyword_ranker(spark, sf):
-    users = A.terms(A.profiles(spark, sf))
+    users = _users(spark, sf)
     best = keyword.keyword_rank(_rows(spark, sf), users, 20).join(users, "user_id")
     return best.select(
         "user_id", "id", F.col("rank").cast("bigint").alias("rank"), r6("profile_match_score"), r6("recommendation_score"),
