@@ -56,10 +56,11 @@ def label_distribution(spark, sf):
     return pivot_counts(labelled(spark, sf), ["user_id"], "interaction", tuple(K.RELEVANCE))
 
 
-@query("users_with_vectors", f"""WITH {O.ITEMS}, {_GIVEN} SELECT DISTINCT user_id FROM given WHERE user_id IN (SELECT 'user-' || label FROM embeddings WHERE label >= 3)""")
+@query("users_with_vectors", """SELECT CAST(doc_id AS VARCHAR) AS user_id, lang FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings)""")
 def users_with_vectors(spark, sf):
-    vectors = A.table(spark, sf, "embeddings").where("label >= 3").select(F.concat(F.lit("user-"), "label").alias("user_id"))
-    return E.users_with_vectors(labelled(spark, sf).select("user_id").distinct(), vectors)
+    people = A.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("user_id"), "lang")
+    vectors = A.table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("user_id"))
+    return E.users_with_vectors(people, vectors)
 
 
 _TOKENS = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"

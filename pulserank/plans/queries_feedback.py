@@ -116,14 +116,14 @@ def preference_grades(spark, sf):
 
 _SEEN = O.SIMPLE + """,
 seen AS (SELECT user_id, opportunity_id, count(*) AS n FROM simple WHERE source = 'hackernews' GROUP BY ALL),
-grades AS (SELECT user_id, opportunity_id, CAST(score % 4 AS INT) AS simulated_relevance FROM simple WHERE num_comments % 2 = 0),
+grades AS (SELECT user_id, opportunity_id, CAST(score % 4 AS INT) AS simulated_relevance FROM simple WHERE score > num_comments),
 recs AS (SELECT s.*, coalesce(g.simulated_relevance, 0) AS simulated_relevance, coalesce(n, 0) AS seen
   FROM simple s LEFT JOIN grades g USING (user_id, opportunity_id) LEFT JOIN seen USING (user_id, opportunity_id))"""
 
 
 def _recommended(spark, sf):
     ranked = rerank(scored(spark, sf), "simple")
-    grades = ranked.where(F.col("num_comments") % 2 == 0).select(
+    grades = ranked.where(F.col("score") > F.col("num_comments")).select(
         "user_id", "opportunity_id", (F.col("score") % 4).cast("int").alias("simulated_relevance")
     )
     return B.attach_grades(ranked, grades)

@@ -1 +1,310 @@
+"""Queries that read files Spark wrote from the tables before, and samples."""
+from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.sql import functions as F
+
+from pulserank.functions import constants as K
+from pulserank.operators import encode as C, sampling
+from pulserank.operators.analytics import quota_attainment
+from pulserank.operators.quality import archive_rules, report
+from pulserank.operators.shaping import standardize
+from pulserank.plans import adapters as A, oracle_parts as O
+from pulserank.plans.catalog import query, r6
+from pulserank.plans.queries_evaluation import _GIVEN, labelled
+from pulserank.plans.queries_shaping import _word_or_sign
+from pulserank.session import scratch_path
+from pulserank.sources import archive, files, hits as H, sinks
+
+_TYPES = K.ARCHIVE_EVENT_TYPES
+
+
+def _archive_rows(spark, sf):
+    n = A.table(spark, sf, "documents").agg(F.count("*").alias("n")).scalar()
+    docs = A.table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("body"), "lang")
+    return A.feed(spark, sf).withColumn("doc", F.col("event_id") % n).join(docs, "doc")
+
+
+def archive_lines(spark, sf):
+    """Archive lines of all events, with one malformed and one blank line per page."""
+    k, e = F.col("num_comments"), F.col("event_id").cast("string")
+    repo = F.when(k % 17 == 0, "norepo").otherwise(F.concat(F.lit("org/repo"), k.cast("string")))
+    base = F.concat(F.lit("https://github.com/"), repo)
+
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+    title, body = F.col("title"), F.col("body")
+    payload = F.struct(
+        F.lit("opened").alias("action"),
+        text("refs/heads/", F.col("lang")).alias("ref"),
+        F.when(k % 2 == 0, "branch").otherwise("").alias("ref_type"),
+        title.alias("description"),
+        F.struct(
+            F.when(k % 3 == 0, "").otherwise(title).alias("title"), body.alias("body"), text(base, "/issues/", e).alias("html_url"),
+            F.lit("the").alias("node_id"),
+        ).alias("issue"),
+        F.struct(text("PR ", title).alias("title"), F.lit("short").alias("body"), text(base, "/pull/", e).alias("html_url")).alias("pull_request"),
+        F.struct(text("Comment ", body).alias("body"), text(base, "/comment/", e).alias("html_url")).alias("comment"),
+        F.when(k % 5 == 0, F.array().cast("array<struct<message:string,url:string>>")).otherwise(F.array(
+            F.struct(text(" One ", title).alias("message"), F.lit("").alias("url")),
+            F.struct(text("Two ", F.col("lang")).alias("message"), text(base, "/commit/", e).alias("url")),
+        )).alias("commits"),
+        F.struct(
+            F.when(k % 2 == 0, "").otherwise(text("Release ", title)).alias("name"), text("v", k.cast("string")).alias("tag_name"),
+            F.lit("Notes").alias("body"), text(base, "/releases/", e).alias("html_url"),
+        ).alias("release"),
+        F.array(F.struct(text("Page ", title).alias("title")), F.struct(F.lit("More").alias("title"))).alias("pages"),
+        F.struct(text("fork/", k.cast("string")).alias("full_name")).alias("forkee"),
+    )
+    line = F.to_json(F.struct(
+        (F.col("user_id") % 10 != 0).alias("public"),
+        e.alias("id"),
+        F.element_at(F.array(*[F.lit(t) for t in _TYPES]), (k % len(_TYPES) + 1).cast("int")).alias("type"),
+        F.struct(F.when(F.col("user_id") % 11 == 0, "[bot]").otherwise(text("u", F.col("user_id").cast("string"))).alias("login")).alias("actor"),
+        F.struct(repo.alias("name")).alias("repo"),
+        F.date_format("created_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
+        payload.alias("payload"),
+    ))
+    broken = A.table(spark, sf, "pages").select(F.explode(F.array(F.col("url"), F.lit(" "))).alias("value"))
+    return _archive_rows(spark, sf).select(line.alias("value")).unionByName(broken)
+
+
+def _archive_sql() -> str:
+    base = "'https://github.com/' || repo_name"
+    kinds = "CASE num_comments % 13 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_TYPES)) + " END"
+    blob = "lower(concat_ws(chr(10), repo_name, title, text, T, X, lang, 'opened', 'branch', 'PR ' || T, 'short', 'Comment ' || X, 'Notes', 'More', 'Release'))"
+    matches = ", ".join(
+        f"CASE WHEN {_word_or_sign(t, w).replace('lower(text)', 'blob')} THEN {O.quoted(t)} END" for t, w in A.WORD_TOPICS.items()
+    )
+    return O.FEED + f""",
+ev AS (
+  SELECT CAST(f.event_id AS VARCHAR) AS id, f.num_comments AS k, f.num_comments, f.user_id, f.title AS T, d.text AS X, d.lang, f.created_utc, {kinds} AS event_type,
+    CASE WHEN f.num_comments % 17 = 0 THEN 'norepo' ELSE 'org/repo' || f.num_comments END AS repo_name,
+    CASE WHEN f.user_id % 11 = 0 THEN '[bot]' ELSE 'u' || f.user_id END AS actor_login
+  FROM feed f JOIN documents d ON d.doc_id = f.event_id % (SELECT count(*) FROM documents)),
+ok AS (SELECT * FROM ev WHERE user_id % 10 <> 0 AND actor_login <> '[bot]' AND repo_name <> 'norepo' AND date_trunc('second', created_utc) >= TIMESTAMP '2024-01-03 00:00:00'),
+tt AS (
+  SELECT *, CASE
+    WHEN event_type = 'PushEvent' THEN CASE WHEN k % 5 = 0 THEN 'Push to refs/heads/' || lang ELSE 'One ' || T END
+    WHEN event_type = 'IssuesEvent' THEN CASE WHEN k % 3 = 0 THEN '' ELSE T END
+    WHEN event_type = 'PullRequestEvent' THEN 'PR ' || T
+    WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent') THEN CASE WHEN k % 3 = 0 THEN substr('Comment ' || X, 1, 200) ELSE T END
+    WHEN event_type IN ('PullRequestReviewCommentEvent', 'PullRequestReviewEvent') THEN 'PR ' || T
+    WHEN event_type = 'ReleaseEvent' THEN CASE WHEN k % 2 = 0 THEN 'v' || k ELSE 'Release ' || T END
+    WHEN event_type = 'CreateEvent' THEN CASE WHEN k % 2 = 0 THEN 'Create branch refs/heads/' || lang ELSE T END
+    WHEN event_type = 'GollumEvent' THEN 'Page ' || T WHEN event_type = 'WatchEvent' THEN 'Starred ' || repo_name
+    WHEN event_type = 'ForkEvent' THEN 'Forked ' || repo_name || ' to fork/' || k ELSE 'Repository ' || repo_name || ' made public' END AS t0,
+  CASE
+    WHEN event_type = 'PushEvent' THEN CASE WHEN k % 5 = 0 THEN '' ELSE 'Two ' || lang END
+    WHEN event_type = 'IssuesEvent' THEN substr({O.strip('X')}, 1, 8000) WHEN event_type = 'PullRequestEvent' THEN 'short'
+    WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent', 'PullRequestReviewCommentEvent', 'PullRequestReviewEvent') THEN substr({O.strip("'Comment ' || X")}, 1, 8000)
+    WHEN event_type = 'ReleaseEvent' THEN 'Notes' WHEN event_type = 'CreateEvent' THEN T WHEN event_type = 'GollumEvent' THEN 'More' ELSE '' END AS text
+  FROM ok),
+named AS (SELECT *, CASE WHEN t0 = '' THEN event_type || ': opened' ELSE {O.strip('t0')} END AS title FROM tt),
+blobs AS (SELECT *, {blob} AS blob FROM named),
+matched AS (SELECT * FROM (SELECT *, [x FOR x IN [{matches}] IF x IS NOT NULL] AS topics FROM blobs) WHERE len(topics) > 0),
+flat AS (SELECT id, unnest(topics) AS topic, generate_subscripts(topics, 1) AS i FROM matched),
+totals AS (SELECT topic, count(*) AS n FROM flat GROUP BY 1),
+picked AS (SELECT id, arg_min(topic, n * 100 + i) AS topic FROM flat JOIN totals USING (topic) GROUP BY id),
+records AS (
+  SELECT m.id, 'github' AS source, event_type, repo_name, actor_login, title, text, CASE
+    WHEN event_type = 'IssuesEvent' THEN {base} || '/issues/' || m.id
+    WHEN event_type IN ('PullRequestEvent', 'PullRequestReviewCommentEvent') THEN {base} || '/pull/' || m.id
+    WHEN event_type = 'PushEvent' AND k % 5 <> 0 THEN {base} || '/commit/' || m.id
+    WHEN event_type = 'ReleaseEvent' THEN {base} || '/releases/' || m.id
+    WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent') THEN {base} || '/comment/' || m.id ELSE {base} END AS url,
+    strftime(created_utc, '%Y-%m-%dT%H:%M:%SZ') AS created_utc, 'github.com' AS domain, topic
+  FROM matched m JOIN picked USING (id))"""
+
+
+ARCHIVE = _archive_sql()
+_CUTOFF = "2024-01-03 00:00:00"
+
+
+def archive_records(spark, sf):
+    path = scratch_path(spark, "archive")
+    archive_lines(spark, sf).write.option("compression", "gzip").text(path)
+    return archive.archive_events(archive.read_archive(spark, path), _CUTOFF, A.WORD_TOPICS)
+
+
+@query("archive_events", f"WITH {ARCHIVE} SELECT * FROM records")
+def archive_events(spark, sf):
+    return archive_records(spark, sf).drop("score", "num_comments")
+
+
+@query("archive_checks", "SELECT unnest(['wrong_source', 'wrong_domain', 'missing_id', 'missing_text_field', 'empty_title', 'bad_repo', 'counts_not_null', 'bad_time', 'unknown_topic', 'duplicate_key']) AS rule, 0::BIGINT AS violations")
+def archive_checks(spark, sf):
+    return report(archive_records(spark, sf), archive_rules(tuple(A.WORD_TOPICS)), unique=("id",))
+
+
+@query("payload_strings", f"""WITH {O.FEED}, docs AS (SELECT f.event_id, f.num_comments AS k, f.title, d.text, d.lang FROM feed f JOIN documents d ON d.doc_id = f.event_id % (SELECT count(*) FROM documents))
+SELECT event_id, len(s) AS leaves, CAST(list_sum([length(x) FOR x IN s]) AS BIGINT) AS characters FROM (
+  SELECT event_id, [title, lang, text, title] AS s FROM docs)""")
+def payload_strings(spark, sf):
+    rows = _archive_rows(spark, sf).select("event_id", F.try_parse_json(F.to_json(F.struct(
+        "title",
+        F.struct(F.col("lang"), F.array(F.struct(F.col("body").alias("text"), F.lit("hidden").alias("sha")), F.struct("title")).alias("list")).alias("deep"),
+        F.struct(F.struct(F.struct(F.struct(F.struct(F.struct(F.lit("too deep").alias("g")).alias("f")).alias("e")).alias("d")).alias("c")).alias("b")).alias("a"),
+        F.col("num_comments").alias("number"), F.lit("hidden").alias("id"),
+    ))).alias("payload"))
+    found = archive.payload_strings(rows)
+    total = F.aggregate("payload_strings", F.lit(0).cast("bigint"), lambda s, x: s + F.length(x))
+    return found.select("event_id", F.size("payload_strings").cast("bigint").alias("leaves"), total.alias("characters"))
+
+
+def _hit_files(spark, sf):
+    k = F.col("num_comments")
+    rows = A.feed(spark, sf)
+    pages, items = scratch_path(spark, "hits"), scratch_path(spark, "items")
+    rows.select(F.array(F.struct(
+        F.col("event_id").cast("string").alias("objectID"),
+        F.when(k % 2 == 0, F.col("event_id")).alias("story_id"),
+        F.when(F.col("user_id") % 9 == 0, "[deleted]").otherwise(F.concat(F.lit(" "), "title")).alias("title"),
+        F.nullif("url", F.lit("")).alias("url"),
+        F.when(k % 4 != 0, F.col("score")).alias("points"),
+        k.alias("num_comments"),
+        F.unix_seconds("created_utc").alias("created_at_i"),
+        F.when(k == 0, "").otherwise("someone").alias("author"),
+        F.col("title").alias("story_text"),
+    )).alias("hits")).write.json(pages)
+    docs = A.table(spark, sf, "documents").select(F.col("doc_id").alias("event_id"), F.col("text").alias("body"))
+    rows.join(docs, "event_id").select(
+        F.col("event_id").cast("string").alias("id"),
+        F.lit("someone").alias("by"),
+        F.when(k % 7 == 0, "job").when(k % 6 != 0, "story").alias("type"),
+        F.when(k % 3 == 0, F.concat(F.lit("Item "), "title")).alias("title"),
+        F.col("body").alias("text"),
+        F.when(k % 5 == 0, "https://www.items.example.org/x").alias("url"),
+        F.when(k % 4 == 0, 0).otherwise(F.col("score") + 1).alias("score"),
+        F.when(k % 8 != 0, k + 1).alias("descendants"),
+        F.when(k % 10 != 0, F.unix_seconds("created_utc") + 60).alias("time"),
+        F.when(k == 3, True).alias("deleted"),
+        F.when(k == 5, True).alias("dead"),
+    ).write.json(items)
+    return pages, items
+
+
+_RECENT = 1704326400  # 2024-01-04 00:00:00 UTC
+_HITS = O.FEED + f""",
+hit AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, num_comments AS k, 'hackernews' AS source, {O.strip('title')} AS title, '' AS text,
+    '{K.ITEM_PAGE}' || event_id AS url, CASE WHEN num_comments % 4 = 0 THEN 0 ELSE score END AS score, num_comments,
+    strftime(created_utc, '%Y-%m-%dT%H:%M:%SZ') AS created_utc, {O.host('url')} AS domain, nullif(url, '') AS external_url, created_utc AS at, score AS raw, event_id
+  FROM feed WHERE user_id % 9 <> 0 AND num_comments <> 0 AND epoch(date_trunc('second', created_utc)) >= {_RECENT})"""
+
+
+@query("search_hits", f"WITH {_HITS} SELECT id, source, title, text, url, score, num_comments, created_utc, domain FROM hit")
+def search_hits(spark, sf):
+    pages, _ = _hit_files(spark, sf)
+    return H.search_records(H.read_hits(spark, pages), _RECENT).drop("external_url")
+
+
+@query("hits_items_join", f"""WITH {_HITS}
+SELECT id, source, {O.strip("CASE WHEN k % 3 = 0 THEN 'Item ' || title ELSE title END")} AS title, {O.strip('d.text')} AS text, url,
+  CASE WHEN k % 4 = 0 THEN score ELSE raw + 1 END AS score, CASE WHEN k % 8 = 0 THEN num_comments ELSE k + 1 END AS num_comments,
+  CASE WHEN k % 10 = 0 THEN hit.created_utc ELSE strftime(at + INTERVAL 60 SECOND, '%Y-%m-%dT%H:%M:%SZ') END AS created_utc,
+  CASE WHEN k % 5 = 0 THEN 'items.example.org' ELSE domain END AS domain
+FROM hit JOIN documents d ON d.doc_id = event_id WHERE k % 7 <> 0 AND k <> 3 AND k <> 5""")
+def hits_items_join(spark, sf):
+    pages, items = _hit_files(spark, sf)
+    return H.join_items(H.search_records(H.read_hits(spark, pages), _RECENT), H.read_items(spark, items))
+
+
+@query("beginner_hits", f"""WITH {O.FEED} SELECT CAST(event_id AS VARCHAR) AS id, 'hackernews' AS source, CASE WHEN user_id % 9 = 0 THEN '[deleted]' ELSE {O.strip('title')} END AS title, {O.strip('title')} AS text,
+  CASE WHEN url = '' THEN '{K.ITEM_PAGE}' || event_id ELSE url END AS url, CASE WHEN num_comments % 4 = 0 THEN 0 ELSE score END AS score, num_comments,
+  strftime(created_utc, '%Y-%m-%dT%H:%M:%SZ') AS created_utc, CASE WHEN url = '' THEN 'news.ycombinator.com' ELSE {O.host('url')} END AS domain FROM feed""")
+def beginner_hits(spark, sf):
+    pages, _ = _hit_files(spark, sf)
+    return H.beginner_records(H.read_hits(spark, pages))
+
+
+def _order(id_: str) -> str:
+    return f"md5('42:' || {id_}), {id_}"
+
+
+_SAMPLE = f"""rows_in AS (SELECT 'doc-' || doc_id AS id, lang AS topic FROM documents),
+sampled AS (SELECT * FROM rows_in QUALIFY row_number() OVER (PARTITION BY topic ORDER BY {_order('id')}) <= 150)"""
+
+
+def _docs(spark, sf):
+    return A.table(spark, sf, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("id"), F.col("lang").alias("topic"))
+
+
+@query("quota_sample", f"WITH {_SAMPLE} SELECT id, topic FROM sampled")
+def quota_sample(spark, sf):
+    return sampling.quota_sample(_docs(spark, sf), 150).select("id", "topic")
+
+
+@query("quota_fill", f"""WITH {_SAMPLE}, have AS (SELECT topic, count(*) AS n FROM sampled GROUP BY 1),
+extra AS (SELECT id, topic, row_number() OVER (PARTITION BY topic ORDER BY {_order('id')}) AS place FROM (
+  SELECT 'page-' || page_id AS id, regexp_extract(html, 'lang="([a-z]+)"', 1) AS topic FROM pages))
+SELECT id, topic FROM sampled UNION ALL SELECT id, topic FROM extra LEFT JOIN have USING (topic) WHERE place <= 150 - coalesce(n, 0)""")
+def quota_fill(spark, sf):
+    pages = A.table(spark, sf, "pages").select(
+        F.concat(F.lit("page-"), "page_id").alias("id"), F.regexp_extract("html", 'lang="([a-z]+)"', 1).alias("topic")
+    )
+    return sampling.fill_quota(sampling.quota_sample(_docs(spark, sf), 150).select("id", "topic"), pages, 150)
+
+
+@query("quota_attainment", """SELECT topic, coalesce(n, 0) AS collected, 150::BIGINT AS target, greatest(150 - coalesce(n, 0), 0)::BIGINT AS shortfall
+FROM (SELECT unnest(['en', 'fr', 'de', 'es', 'it']) AS topic) LEFT JOIN (SELECT lang AS topic, count(*) AS n FROM documents GROUP BY 1) USING (topic)""")
+def attainment(spark, sf):
+    return quota_attainment(_docs(spark, sf), ("en", "fr", "de", "es", "it"), 150)
+
+
+@query("csv_round_trip", f"WITH {O.STD} SELECT id, source, title, text, url, score, num_comments, strftime(created_utc, '%Y-%m-%d %H:%M:%S') AS created_utc, domain FROM std")
+def csv_round_trip(spark, sf):
+    """Two folders of CSV files with different headers, read back as one frame."""
+    path = scratch_path(spark, "csv")
+    rows = A.opportunities(spark, sf).withColumn("created_utc", F.date_format("created_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    rows = rows.select("id", "source", "title", "text", "url", "score", "num_comments", "created_utc")
+    own = F.col("source") == "github"
+    sinks.write_csv(rows.where(own), f"{path}/a")
+    other = rows.where(~own).withColumnsRenamed({"score": "points", "num_comments": "comments", "created_utc": "created_at"})
+    sinks.write_csv(other.select("points", "comments", "id", "source", "url", "created_at", "text", "title"), f"{path}/b")
+    out = files.raw_csv(spark, path, recursive=True)
+    return out.withColumn("created_utc", F.date_format("created_utc", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("jsonl_embeddings", f"WITH {O.ITEMS} SELECT opportunity_id, len(embedding) AS dim, round(list_sum(embedding), 5) AS total FROM items")
+def jsonl_embeddings(spark, sf):
+    path = scratch_path(spark, "vectors")
+    sinks.write_jsonl(A.items(spark, sf).select("opportunity_id", "embedding"), path)
+    rows = files.embeddings(spark, path, "opportunity_id string, embedding array<float>", check=64)
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return rows.select("opportunity_id", F.size("embedding").cast("bigint").alias("dim"), F.round(total, 5).alias("total"))
+
+
+@query("label_files", f"WITH {O.ITEMS}, {_GIVEN} SELECT *, unnest(['parquet', 'csv', 'jsonl']) AS format FROM given")
+def label_files(spark, sf):
+    out = None
+    for kind in ("parquet", "csv", "jsonl"):
+        path = f"{scratch_path(spark, 'labels')}.{kind}"
+        sinks.write_table(labelled(spark, sf), path)
+        part = files.label_file(spark, path).withColumn("format", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+class Shape:
+    """A tiny encoder: length, number of blanks, number of lines."""
+
+    def __call__(self, texts: Sequence[str]):
+        return [[float(len(t)), float(t.count(" ")), float(t.count("\n") + 1)] for t in texts]
+
+
+@query("encode_texts", f"""WITH texts AS (SELECT doc_id, trim(regexp_replace(regexp_replace({O.strip('text')}, {O.quoted('[' + K.BLANKS + ']+')}, ' ', 'g'), {O.quoted(' ?[' + K.LINE_BREAKS + '][ ' + K.LINE_BREAKS + ']*')}, chr(10), 'g'), ' ' || chr(10)) AS t FROM documents)
+SELECT doc_id, CAST(length(t) AS DOUBLE) AS characters, CAST(length(t) - length(replace(t, ' ', '')) AS DOUBLE) AS blanks, CAST(length(t) - length(replace(t, chr(10), '')) + 1 AS DOUBLE) AS lines FROM texts""")
+def encode_texts(spark, sf):
+    rows = C.encode(A.table(spark, sf, "documents").select("doc_id", "text"), "text", Shape)
+    v = F.col("embedding")
+    return rows.select("doc_id", *[v[i].cast("double").alias(n) for i, n in enumerate(("characters", "blanks", "lines"))])
+
+
+@query("opportunity_records", f"WITH {O.CLASSED} SELECT source || '::' || id AS opportunity_id, source, {O.first_label(('topic_category', 'domain_category', 'domain'), K.EMPTY_LABELS_FOR_EMBEDDING)} AS domain, 3::BIGINT AS dim FROM classed")
+def opportunity_records(spark, sf):
+    return C.opportunity_records(A.classified(spark, sf), Shape).select(
+        "opportunity_id", "source", "domain", F.size("embedding").cast("bigint").alias("dim")
+    )

@@ -1 +1,72 @@
+"""Structured Streaming queries: each reads the events as a stream until they are exhausted and returns what the sink holds."""
+from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from pulserank.operators.dedup import keep_best
+from pulserank.plans import adapters as A, oracle_parts as O
+from pulserank.plans.catalog import query
+from pulserank.plans.queries_feedback import FOLD, vector_view
+from pulserank.session import scratch_path
+from pulserank.streaming import feed, user_state
+
+_DELAY = "45 days"
+
+
+def events(spark, sf):
+    schema = A.table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    return stream.withColumn("ingested_at", F.col("ts").cast("timestamp"))
+
+
+def drain(df, name):
+    """Run the stream to its end into a Parquet folder; the folder and the query."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    running = feed.append(df, path, f"{path}-checkpoint", fmt="parquet")
+    running.awaitTermination()
+    return spark.read.schema(df.schema).parquet(path), running
+
+
+def _fingerprint():
+    return F.md5(F.concat("event_type", F.lit("::"), F.col("user_id").cast("string")))
+
+
+@query("stream_dedup", "SELECT DISTINCT event_type, user_id, md5(event_type || '::' || user_id) AS fp FROM events")
+def stream_dedup(spark, sf):
+    once = feed.dedup(events(spark, sf), _DELAY, _fingerprint())
+    return drain(once.select("event_type", "user_id", "fp"), "dedup")[0]
+
+
+@query("stream_dedup_forever", "SELECT DISTINCT event_type, user_id, md5(event_type || '::' || user_id) AS fp FROM events")
+def stream_dedup_forever(spark, sf):
+    once = feed.dedup(events(spark, sf), None, _fingerprint())
+    return drain(once.select("event_type", "user_id", "fp"), "dedup")[0]
+
+
+@query("stream_throughput", """SELECT count(DISTINCT event_type || '::' || user_id) AS processed, count(*) - count(DISTINCT event_type || '::' || user_id) AS duplicates, count(*) AS total FROM events""")
+def stream_throughput(spark, sf):
+    _, running = drain(feed.dedup(events(spark, sf), _DELAY, _fingerprint()).select("fp"), "throughput")
+    return spark.createDataFrame([feed.throughput(running)], "processed bigint, duplicates bigint, total bigint")
+
+
+@query("stream_volume", """WITH w AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS events FROM events GROUP BY ALL)
+SELECT CAST(day AS VARCHAR) AS day, event_type, events FROM w WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY""")
+def stream_volume(spark, sf):
+    """Windows that the watermark has closed."""
+    counted = feed.volume(events(spark, sf), "1 day", "2 days", "ingested_at", "event_type")
+    closed, _ = drain(counted, "volume")
+    return closed.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "events")
+
+
+@query("stream_feedback", f"WITH {FOLD} SELECT user_id, events, round(e[1], 6) AS first, round(list_sum(e), 6) AS total, round(list_inner_product(e, e), 6) AS square FROM folded WHERE events > 0")
+def stream_feedback(spark, sf):
+    """The change log of the user vectors, reduced to the latest vector of every user."""
+    n = A.table(spark, sf, "embeddings").count()
+    acts = events(spark, sf).select(
+        F.col("user_id").cast("string").alias("user_id"), (F.col("event_id") % n).cast("string").alias("opportunity_id"),
+        A._case("event_type", A.ACTIONS, F.lit(None).cast("string")).alias("action"), F.col("ingested_at").alias("ts"), "event_id",
+    )
+    moved = user_state.vector_state(acts, A.feedback_users(spark, sf), A.feedback_items(spark, sf))
+    log, _ = drain(moved, "vectors")
+    return vector_view(keep_best(log, F.col("user_id"), [F.desc("events")]))

@@ -42,11 +42,16 @@ class UserVector(StatefulProcessor):
 
 
 def vector_state(
-    feedback: DataFrame, users: DataFrame, items: DataFrame, weights: Mapping[str, tuple[float, float]] = K.FEEDBACK_WEIGHTS
+    feedback: DataFrame,
+    users: DataFrame,
+    items: DataFrame,
+    weights: Mapping[str, tuple[float, float]] = K.FEEDBACK_WEIGHTS,
+    mode: str = "Append",
 ) -> DataFrame:
-    """Updated vector of every user that has feedback in a micro-batch (output mode update).
+    """Updated vector of every user that has feedback in a micro-batch.
 
-    Gives the vectors of :func:`pulserank.operators.feedback.fold` as long as the batches
+    In append mode the rows are a change log: the row with most ``events`` is a user's
+    current vector.  Gives the vectors of :func:`pulserank.operators.feedback.fold` as long as the batches
     arrive in time order.  Needs the RocksDB state store.
     """
     feedback.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -55,5 +60,5 @@ def vector_state(
     return (
         steps.join(start, "user_id")
         .groupBy("user_id")
-        .transformWithStateInPandas(UserVector(), outputStructType=_OUT, outputMode="Update", timeMode="None")
+        .transformWithStateInPandas(UserVector(), outputStructType=_OUT, outputMode=mode, timeMode="None")
     )
