@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
 
@@ -52,6 +52,16 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def computed(df: DataFrame, keep: Sequence[str] = (), **columns: Column) -> DataFrame:
+    """``keep`` and new columns, each computed exactly once per row.
+
+    Spark moves a filter below a projection by copying the column's expression into the
+    condition, which repeats parsing and matching.  A generator of one row stops that.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
 def contains_any(text: Column, phrases: Sequence[str]) -> Column:
     """True if ``text`` contains one of the phrases."""
     def test(t: Column) -> Column:

@@ -106,11 +106,10 @@ def topic_matches(blob: str | Column, vocab: Vocabulary) -> Column:
 
 def _word_pattern(words: Sequence[str]) -> str:
     """One alternation for a topic; keywords without any word character need no border."""
-    bordered = [re.escape(w.lower()) for w in words if re.search(r"\w", w)]
+    # The text is searched for the keyword first; its borders are tested only at a hit.
+    bordered = [rf"{re.escape(w.lower())}(?<!\w{re.escape(w.lower())})" for w in words if re.search(r"\w", w)]
     plain = [re.escape(w.lower()) for w in words if w and not re.search(r"\w", w)]
-    parts = []
-    if bordered:
-        parts.append(rf"(?<!\w)(?:{'|'.join(bordered)})(?!\w)")
+    parts = [rf"(?:{'|'.join(bordered)})(?!\w)"] if bordered else []
     parts += plain
     return "(?iU)" + "|".join(parts) if parts else ""
 

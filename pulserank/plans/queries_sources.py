@@ -100,9 +100,9 @@ tt AS (
     WHEN event_type = 'PushEvent' THEN CASE WHEN k % 5 = 0 THEN '' ELSE 'Two ' || lang END
     WHEN event_type = 'IssuesEvent' THEN substr({O.strip('X')}, 1, 8000) WHEN event_type = 'PullRequestEvent' THEN 'short'
     WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent', 'PullRequestReviewCommentEvent', 'PullRequestReviewEvent') THEN substr({O.strip("'Comment ' || X")}, 1, 8000)
-    WHEN event_type = 'ReleaseEvent' THEN 'Notes' WHEN event_type = 'CreateEvent' THEN T WHEN event_type = 'GollumEvent' THEN 'More' ELSE '' END AS text
+    WHEN event_type = 'ReleaseEvent' THEN 'Notes' WHEN event_type = 'CreateEvent' THEN {O.strip('T')} WHEN event_type = 'GollumEvent' THEN 'More' ELSE '' END AS text
   FROM ok),
-named AS (SELECT *, CASE WHEN t0 = '' THEN event_type || ': opened' ELSE {O.strip('t0')} END AS title FROM tt),
+named AS (SELECT *, CASE WHEN t0 = '' THEN event_type || ': opened' WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent') THEN t0 ELSE {O.strip('t0')} END AS title FROM tt),
 blobs AS (SELECT *, {blob} AS blob FROM named),
 matched AS (SELECT * FROM (SELECT *, [x FOR x IN [{matches}] IF x IS NOT NULL] AS topics FROM blobs) WHERE len(topics) > 0),
 flat AS (SELECT id, unnest(topics) AS topic, generate_subscripts(topics, 1) AS i FROM matched),
@@ -145,7 +145,9 @@ SELECT event_id, len(s) AS leaves, CAST(list_sum([length(x) FOR x IN s]) AS BIGI
 def payload_strings(spark, sf):
     rows = _archive_rows(spark, sf).select("event_id", F.try_parse_json(F.to_json(F.struct(
         "title",
-        F.struct(F.col("lang"), F.array(F.struct(F.col("body").alias("text"), F.lit("hidden").alias("sha")), F.struct("title")).alias("list")).alias("deep"),
+        F.struct(F.col("lang"), F.array(
+            F.struct(F.col("body").alias("text"), F.lit("hidden").alias("sha")), F.struct(F.col("title").alias("text"), F.lit("hidden").alias("sha"))
+        ).alias("list")).alias("deep"),
         F.struct(F.struct(F.struct(F.struct(F.struct(F.struct(F.lit("too deep").alias("g")).alias("f")).alias("e")).alias("d")).alias("c")).alias("b")).alias("a"),
         F.col("num_comments").alias("number"), F.lit("hidden").alias("id"),
     ))).alias("payload"))
@@ -186,12 +188,12 @@ def _hit_files(spark, sf):
     return pages, items
 
 
-_RECENT = 1704326400  # 2024-01-04 00:00:00 UTC
+_RECENT = 1704153600  # 2024-01-02 00:00:00 UTC
 _HITS = O.FEED + f""",
 hit AS (
   SELECT CAST(event_id AS VARCHAR) AS id, num_comments AS k, 'hackernews' AS source, {O.strip('title')} AS title, '' AS text,
     '{K.ITEM_PAGE}' || event_id AS url, CASE WHEN num_comments % 4 = 0 THEN 0 ELSE score END AS score, num_comments,
-    strftime(created_utc, '%Y-%m-%dT%H:%M:%SZ') AS created_utc, {O.host('url')} AS domain, nullif(url, '') AS external_url, created_utc AS at, score AS raw, event_id
+    strftime(created_utc, '%Y-%m-%dT%H:%M:%SZ') AS created_utc, {O.host('url')} AS domain, nullif(url, '') AS external_url, created_utc AS landed, score AS raw, event_id
   FROM feed WHERE user_id % 9 <> 0 AND num_comments <> 0 AND epoch(date_trunc('second', created_utc)) >= {_RECENT})"""
 
 
@@ -202,9 +204,9 @@ def search_hits(spark, sf):
 
 
 @query("hits_items_join", f"""WITH {_HITS}
-SELECT id, source, {O.strip("CASE WHEN k % 3 = 0 THEN 'Item ' || title ELSE title END")} AS title, {O.strip('d.text')} AS text, url,
+SELECT id, hit.source, {O.strip("CASE WHEN k % 3 = 0 THEN 'Item ' || title ELSE title END")} AS title, {O.strip('d.text')} AS text, url,
   CASE WHEN k % 4 = 0 THEN score ELSE raw + 1 END AS score, CASE WHEN k % 8 = 0 THEN num_comments ELSE k + 1 END AS num_comments,
-  CASE WHEN k % 10 = 0 THEN hit.created_utc ELSE strftime(at + INTERVAL 60 SECOND, '%Y-%m-%dT%H:%M:%SZ') END AS created_utc,
+  CASE WHEN k % 10 = 0 THEN hit.created_utc ELSE strftime(landed + INTERVAL 60 SECOND, '%Y-%m-%dT%H:%M:%SZ') END AS created_utc,
   CASE WHEN k % 5 = 0 THEN 'items.example.org' ELSE domain END AS domain
 FROM hit JOIN documents d ON d.doc_id = event_id WHERE k % 7 <> 0 AND k <> 3 AND k <> 5""")
 def hits_items_join(spark, sf):

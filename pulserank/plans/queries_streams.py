@@ -15,7 +15,8 @@ _DELAY = "45 days"
 
 def events(spark, sf):
     schema = A.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    # The pattern matches a single file as well as a folder of part files.
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
     return stream.withColumn("ingested_at", F.col("ts").cast("timestamp"))
 
 

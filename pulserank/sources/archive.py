@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulserank.functions import constants as K
-from pulserank.functions.text import clean
+from pulserank.functions.text import clean, computed, let
 from pulserank.operators.classify import rarest_topic, topic_matches
 from pulserank.operators.dedup import keep_best
 
@@ -23,7 +23,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    parsed = lines.where(F.trim("value") != "").select(F.try_parse_json("value").alias("event"))
+    parsed = computed(lines.where(F.trim("value") != ""), event=F.try_parse_json("value"))
     return parsed.where(F.col("event").isNotNull())
 
 
@@ -37,17 +37,19 @@ def _text(source: str | Column, path: str) -> Column:
 
 def envelope(events: DataFrame) -> DataFrame:
     """Columns of the event envelope; the payload stays a variant."""
-    return events.select(
-        (F.to_json(_get("event", "$.public", "variant")) == "true").alias("public"),
-        _get("event", "$.id").alias("id"),
-        _text("event", "$.type").alias("event_type"),
-        _text("event", "$.actor.login").alias("actor_login"),
-        _text("event", "$.repo.name").alias("repo_name"),
-        _text("event", "$.created_at").alias("created_at"),
-        _get("event", "$.payload", "variant").alias("payload"),
-        _first_text("event", ("$.repo.description", "$.repo.repo_description", "$.org.description",
-                              "$.payload.description.description", "$.payload.repository.description",
-                              "$.payload.repo.description")).alias("repo_description"),
+    return computed(
+        events,
+        public=F.to_json(_get("event", "$.public", "variant")) == "true",
+        id=_get("event", "$.id"),
+        event_type=_text("event", "$.type"),
+        actor_login=_text("event", "$.actor.login"),
+        repo_name=_text("event", "$.repo.name"),
+        created_at=_text("event", "$.created_at"),
+        payload=_get("event", "$.payload", "variant"),
+        repo_description=_first_text("event", (
+            "$.repo.description", "$.repo.repo_description", "$.org.description", "$.payload.description.description",
+            "$.payload.repository.description", "$.payload.repo.description",
+        )),
     )
 
 
@@ -198,20 +200,22 @@ def archive_events(events: DataFrame, cutoff: str | Column, vocab: Mapping[str,
     A row's topic is the rarest of those it matches.
     """
     df = valid(envelope(events), cutoff)
-    df = df.withColumn("_tt", title_and_text())
-    named = F.when(F.col("_tt.title") != "", F.col("_tt.title")).otherwise(
-        F.when(_text("payload", "$.action") != "", F.concat_ws(": ", "event_type", _text("payload", "$.action")))
-        .otherwise(F.concat_ws(" on ", "event_type", "repo_name"))
-    )
-    df = payload_strings(df.withColumns({"title": named, "text": F.col("_tt.text")}))
+    same = ("id", "event_type", "actor_login", "repo_name", "repo_description", "created_utc", "payload")
+    action = _text("payload", "$.action")
+    other = F.when(action != "", F.concat_ws(": ", "event_type", action)).otherwise(F.concat_ws(" on ", "event_type", "repo_name"))
+    df = computed(df, same, _tt=title_and_text(), _other=other, url=event_url())
+    df = df.select(
+        *same, "url", F.when(F.col("_tt.title") != "", F.col("_tt.title")).otherwise(F.col("_other")).alias("title"), F.col("_tt.text").alias("text")
+    ).where(~F.lower("title").isin(*K.DELETED_MARKERS) & F.col("url").isNotNull())
+    df = payload_strings(df)
     parts = F.concat(F.array("repo_name", "repo_description", "title", "text"), "payload_strings")
     blob = F.lower(F.array_join(F.filter(parts, lambda p: p != ""), "\n"))
-    df = df.withColumn("topics", topic_matches(blob, vocab)).where(F.size("topics") > 0)
-    df = df.where(~F.lower("title").isin(*K.DELETED_MARKERS)).withColumn("url", event_url())
+    shown = ("id", "event_type", "repo_name", "actor_login", "title", "text", "url", "created_utc")
+    df = computed(df, shown, topics=let(blob, lambda b: topic_matches(b, vocab))).where(F.size("topics") > 0)
     flat = df.select(
         "id", F.lit("github").alias("source"), "event_type", "repo_name", "actor_login", "title", "text", "url",
         F.lit(None).cast("bigint").alias("score"), F.lit(None).cast("bigint").alias("num_comments"), "created_utc",
         F.lit("github.com").alias("domain"), "topics",
-    ).where(F.col("url").isNotNull())
+    )
     once = keep_best(flat, F.col("id"), [F.asc("created_utc"), F.asc("event_type"), F.asc("title"), F.asc("text"), F.asc("url")])
     return rarest_topic(once, "topics").select(*RECORD_COLUMNS)
