@@ -90,7 +90,7 @@ tt AS (
     WHEN event_type = 'PushEvent' THEN CASE WHEN k % 5 = 0 THEN 'Push to refs/heads/' || lang ELSE 'One ' || T END
     WHEN event_type = 'IssuesEvent' THEN CASE WHEN k % 3 = 0 THEN '' ELSE T END
     WHEN event_type = 'PullRequestEvent' THEN 'PR ' || T
-    WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent') THEN CASE WHEN k % 3 = 0 THEN substr('Comment ' || X, 1, 200) ELSE T END
+    WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent') THEN CASE WHEN k % 3 = 0 THEN substr({O.strip("'Comment ' || X")}, 1, 200) ELSE {O.strip('T')} END
     WHEN event_type IN ('PullRequestReviewCommentEvent', 'PullRequestReviewEvent') THEN 'PR ' || T
     WHEN event_type = 'ReleaseEvent' THEN CASE WHEN k % 2 = 0 THEN 'v' || k ELSE 'Release ' || T END
     WHEN event_type = 'CreateEvent' THEN CASE WHEN k % 2 = 0 THEN 'Create branch refs/heads/' || lang ELSE T END
