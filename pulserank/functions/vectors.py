@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from pulserank.functions.text import col
+from pulserank.functions.text import col, let
 
 
 def dot(a: str | Column, b: str | Column) -> Column:
@@ -24,10 +24,9 @@ def norm(v: str | Column) -> Column:
 
 def unit(v: str | Column) -> Column:
     """Vector of length one; a zero vector stays as it is."""
-    length = norm(v)
-    return F.when(
+    return let(norm(v), lambda length: F.when(
         length > 0, F.transform(col(v), lambda x: x.cast("double") / length)
-    ).otherwise(col(v).cast("array<double>"))
+    ).otherwise(col(v).cast("array<double>")))
 
 
 def blend(a: str | Column, wa: float | Column, b: str | Column, wb: float | Column) -> Column:

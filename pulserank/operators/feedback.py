@@ -58,10 +58,11 @@ def fold(
         "user_id", F.lit(0).alias("kind"), none.cast("timestamp").alias("ts"), none.cast("bigint").alias("event_id"),
         F.lit(0.0).alias("own"), F.lit(0.0).alias("other"), start.alias("v"),
     )
-    steps = feedback_steps(events, items, weights)
+    vector = unit("embedding") if normalize else F.col("embedding").cast("array<double>")
+    steps = feedback_steps(events, items.select("opportunity_id", vector.alias("embedding")), weights)
     steps = steps.select(
         "user_id", F.lit(1).alias("kind"), F.col("ts").cast("timestamp"), F.col("event_id").cast("bigint"), "own", "other",
-        (unit("item") if normalize else F.col("item").cast("array<double>")).alias("v"),
+        F.col("item").alias("v"),
     )
     ordered = first.unionByName(steps).repartition("user_id").sortWithinPartitions("user_id", "kind", "ts", "event_id")
     return ordered.select("user_id", "kind", "own", "other", "v").mapInArrow(

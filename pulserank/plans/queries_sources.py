@@ -68,7 +68,9 @@ def archive_lines(spark, sf):
         payload.alias("payload"),
     ))
     broken = A.table(spark, sf, "pages").select(F.explode(F.array(F.col("url"), F.lit(" "))).alias("value"))
-    return _archive_rows(spark, sf).select(line.alias("value")).unionByName(broken)
+    # Several files, as archives come by the hour.
+    spread = _archive_rows(spark, sf).repartition(spark.sparkContext.defaultParallelism, "event_id")
+    return spread.select(line.alias("value")).unionByName(broken)
 
 
 def _archive_sql() -> str:

@@ -9,6 +9,7 @@ from pulserank.functions import constants as K
 from pulserank.functions.text import clean, computed, let
 from pulserank.operators.classify import rarest_topic, topic_matches
 from pulserank.operators.dedup import keep_best
+from pulserank.session import materialise
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 RECORD_COLUMNS = (
@@ -197,7 +198,9 @@ def payload_strings(
 def archive_events(events: DataFrame, cutoff: str | Column, vocab: Mapping[str, Sequence[str]]) -> DataFrame:
     """Flat records of valid events that match at least one topic; one row per event id.
 
-    A row's topic is the rarest of those it matches.
+    A row's topic is the rarest of those it matches, which needs the totals over all rows
+    first: the matched rows are written once to the shared folder, so that no archive is
+    parsed twice.
     """
     df = valid(envelope(events), cutoff)
     same = ("id", "event_type", "actor_login", "repo_name", "repo_description", "created_utc", "payload")
@@ -218,4 +221,4 @@ def archive_events(events: DataFrame, cutoff: str | Column, vocab: Mapping[str,
         F.lit("github.com").alias("domain"), "topics",
     )
     once = keep_best(flat, F.col("id"), [F.asc("created_utc"), F.asc("event_type"), F.asc("title"), F.asc("text"), F.asc("url")])
-    return rarest_topic(once, "topics").select(*RECORD_COLUMNS)
+    return rarest_topic(materialise(once, "archive-matches"), "topics").select(*RECORD_COLUMNS)
