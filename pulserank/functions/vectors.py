@@ -37,4 +37,6 @@ def blend(a: str | Column, wa: float | Column, b: str | Column, wb: float | Colu
 
 
 def similarity_from_distance(distance: str | Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.greatest(col(distance).cast("double"), F.lit(0.0)))
+    """1 / (1 + distance), negative distances as 0; null stays null."""
+    value = col(distance).cast("double")
+    return F.when(value.isNotNull(), F.lit(1.0) / (F.lit(1.0) + F.greatest(value, F.lit(0.0))))

@@ -261,4 +261,5 @@ def snapshot_features(df: DataFrame, reference_ts: str | Column) -> DataFrame:
 def whole_days(created: Column, reference: Column) -> Column:
     """Whole days between two time stamps, never below 0; null if ``created`` is null."""
     micros = F.unix_micros(reference.cast("timestamp")) - F.unix_micros(created.cast("timestamp"))
-    return F.greatest(F.floor(micros / F.lit(86_400_000_000)), F.lit(0)).cast("bigint")
+    days = F.greatest(F.floor(micros / F.lit(86_400_000_000)), F.lit(0)).cast("bigint")
+    return F.when(micros.isNotNull(), days)  # greatest() would turn null into 0
