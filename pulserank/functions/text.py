@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
 
-# White space that the plain \\s of a regular expression does not know.  Character classes
+# White space that the plain \s of a regular expression does not know.  Character classes
 # with Unicode members are slow; one translation before a plain pattern is not.
 _RARE = "".join(c for c in K.WHITESPACE if c not in " \t\n\r\x0b\x0c")
 

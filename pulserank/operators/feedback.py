@@ -200,6 +200,7 @@ def similarity_cutoffs(
     one returns the values of the few bins that hold a wanted rank; the rank is then
     found inside them.  Linear interpolation between neighbouring ranks.
     """
+    scan.setdefault("max_users", max(1, (64 << 20) // (8 * bins)))  # bin counts of one task: 64 MB
     hist = scan_pairs(users, items, partial(_Histogram, bins=bins), "user_id string, bin int, n bigint", **scan)
     hist = hist.groupBy("user_id", "bin").agg(F.sum("n").alias("n"))
     by_user = Window.partitionBy("user_id")

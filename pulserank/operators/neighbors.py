@@ -21,6 +21,7 @@ from pulserank.operators.shaping import with_opportunity_id
 
 _OUT = "user_id string, opportunity_id string, distance double"
 _CELLS = 4_000_000  # entries of one distance block in memory
+_KEPT = 2_000_000  # finalists that one task keeps for all its users
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, normalize: bool) -> np.ndarray:
@@ -116,6 +117,7 @@ def scan_pairs(
     method: str = "auto",
     max_broadcast_bytes: int = 64 << 20,
     block_rows: int = 8192,
+    max_users: int = 100_000,
     carry: str | None = None,
 ) -> DataFrame:
     """Run ``worker`` over all (user, item) vector pairs without ever listing them.
@@ -125,7 +127,9 @@ def scan_pairs(
     ``add(items, ids)`` and asked for its ``table()`` at the end, so a task hands on a
     summary only.  ``method='broadcast'`` ships the users to the corpus tasks;
     ``'grid'`` lets bounded blocks of both sides meet and has no limit on either side;
-    ``'auto'`` measures the users and takes the first form below ``max_broadcast_bytes``.
+    ``'auto'`` measures the users and takes the first form below ``max_broadcast_bytes``
+    and ``max_users``; the latter also limits a block of users, and with it the memory of
+    the worker.
     """
     if method not in ("auto", "broadcast", "grid"):
         raise ValueError("method is 'auto', 'broadcast' or 'grid'")
@@ -133,12 +137,14 @@ def scan_pairs(
     if method != "grid":
         left.persist()
         try:
-            size = left.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
-            if size <= max_broadcast_bytes:
+            size = left.agg(
+                F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes"), F.count("*").alias("rows")
+            ).first()
+            if size["bytes"] <= max_broadcast_bytes and size["rows"] <= max_users:
                 return _ship_users(left, right, worker, schema, normalize, carry)
         finally:
             left.unpersist()
-    left, right = _grid(left, right, left.count(), right.count(), block_rows)
+    left, right = _grid(left, right, left.count(), right.count(), min(block_rows, max_users), block_rows)
     return _meet_blocks(left, right, ["qb", "cb"], worker, schema, normalize, carry)
 
 
@@ -171,9 +177,9 @@ def _meet_blocks(queries: DataFrame, corpus: DataFrame, keys: list[str], worker,
     return queries.groupBy(*keys).cogroup(corpus.groupBy(*keys)).applyInArrow(meet, schema)
 
 
-def _grid(queries: DataFrame, corpus: DataFrame, n_queries: int, n_items: int, block_rows: int):
+def _grid(queries: DataFrame, corpus: DataFrame, n_queries: int, n_items: int, user_rows: int, item_rows: int):
     """Every block of users against every block of items, both of bounded size."""
-    rows, columns = max(1, math.ceil(n_queries / block_rows)), max(1, math.ceil(n_items / block_rows))
+    rows, columns = max(1, math.ceil(n_queries / user_rows)), max(1, math.ceil(n_items / item_rows))
 
     def block(name: str, n: int) -> Column:
         return F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
@@ -213,7 +219,8 @@ def knn(
     if metric not in ("l2", "dot"):
         raise ValueError("metric is 'l2' or 'dot'")
     partials = scan_pairs(
-        queries, corpus, partial(_TopK, k=k, metric=metric), _OUT, normalize, method, max_broadcast_bytes, block_rows
+        queries, corpus, partial(_TopK, k=k, metric=metric), _OUT, normalize, method, max_broadcast_bytes, block_rows,
+        max_users=max(1, _KEPT // max(k, 1)),
     )
     return _finish(partials, k, metric)
 

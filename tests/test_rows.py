@@ -188,3 +188,17 @@ def test_archive_lines(spark):
     lines = spark.createDataFrame([(json.dumps(e),) for e in [ok, ok] + bad] + [("{broken",), ("",)], "value string")
     rows = archive.archive_events(archive.parse_lines(lines), "2024-01-01 00:00:00", {"Data": ["spark"]}).collect()
     assert [(r["id"], r["title"], r["url"], r["topic"]) for r in rows] == [("1", "Starred o/spark", "https://github.com/o/spark", "Data")]
+
+
+def test_published_rows(spark):
+    """Two rows of a published result list."""
+    rows = [
+        ("a", 0.5028623550643885, 0.8830205448442005, 0.0038399816597890868, 1.0, 1.0, 191, "unknown", "other", "blog.genesmindsmachines.com"),
+        ("b", 0.4899705828685336, 0.9999999999999999, 0.0003391682839969097, 0.7011776764422875, 1.0, 583, "Trending Open-Source", "other", "bloomberg.com"),
+    ]
+    df = spark.createDataFrame(rows, "user_id string, similarity double, engagement_score double, freshness_score double, trend_score double, "
+                               "effort_score double, days_old int, topic_category string, domain_category string, domain string")
+    got = {r["user_id"]: r for r in explain.with_reasons(ranking.score(df.withColumn("title", F.lit("")))).collect()}
+    assert got["a"]["final_score"] == pytest.approx(0.6034681659967832) and got["b"]["final_score"] == pytest.approx(0.5906554051776685)
+    assert got["a"]["why"] == ["high community engagement", "matches your interest in blog.genesmindsmachines.com", "strong recent activity trend"]
+    assert got["b"]["why"] == ["high community engagement", "matches your interest in Trending Open-Source", "low effort to engage"]
