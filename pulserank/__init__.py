@@ -1 +1,7 @@
 """Engagement analytics, retrieval and ranking as plain Spark DataFrame operators."""
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
