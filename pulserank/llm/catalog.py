@@ -1,10 +1,11 @@
 """The registered queries of this subpackage and their SQL twins."""
 from __future__ import annotations
 
-from pulserank.llm import q_bpe, q_decontaminate, q_line_dedup
+from pulserank.llm import q_bpe, q_decontaminate, q_line_dedup, q_simhash
 
 QUERIES = {
     "op4_line_dedup": q_line_dedup.op4_line_dedup,
+    "op5_simhash": q_simhash.op5_simhash,
     "op6_decontaminate": q_decontaminate.op6_decontaminate,
     "op8_bpe": q_bpe.op8_bpe,
 }
