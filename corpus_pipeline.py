@@ -1,26 +1,68 @@
 """The corpus pipeline: stages of (name, function of (spark, docs, sf_dir)) over ``documents``.
 
 Each stage's result is written as Parquet below ``spark.checkpoint.dir`` and reread, so a lost executor
-costs a task of one stage and no stage is computed twice.
+costs a task of one stage and no stage is computed twice. Rows without an id pass every stage that decides by
+id; a null text is an empty one. Columns other than those of ``documents`` are dropped.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pulserank.llm import bpe_automaton, toxicity as tox
 from pulserank.llm.common import materialise, read
 from pulserank.llm.line_runs import dedup_lines
+from pulserank.llm.q_decontaminate import marked
+from pulserank.llm.simhash import near_groups
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: No SQL expresses the stages; tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents with a score of 0.5 or more; the machine learns from ``labels``."""
+    docs = docs.select(*COLUMNS)
+    machine = tox.train(docs, read(spark, sf_dir, "labels"))
+    return tox.score(docs, machine).where(F.col("score") < 0.5).select(*COLUMNS)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that at least 3 documents share, keeps every document."""
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+    """Drops lines that at least 3 documents share, except in one of them; keeps every document."""
+    return dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each SimHash group. Rows of one id count as one document."""
+    docs = docs.select(*COLUMNS)
+    groups = materialise(near_groups(docs).select("doc_id", "component_id"), "near-groups")
+    losers = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(losers, "doc_id", "left_anti").select(*COLUMNS)
+    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    others = [c for c in COLUMNS if c != "doc_id"]
+    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("row"))
+    return kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(one.select("doc_id", "row.*"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold 10 consecutive words of a benchmark item."""
+    docs = docs.select(*COLUMNS)
+    found = marked(docs, read(spark, sf_dir, "benchmark"))
+    hit = found.where(F.size("spans") > 0).select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the token ids and of the decoded text."""
+    ids = bpe_automaton.encode(docs.select("doc_id", "text")).select("doc_id", "ids")
+    return bpe_automaton.digests(bpe_automaton.decode(ids))
 
 
-STAGES = [("line_dedup", line_dedup)]
+STAGES = [
+    ("toxicity", toxicity), ("line_dedup", line_dedup), ("simhash_dedup", near_dedup),
+    ("decontaminate", decontaminate), ("bpe", bpe),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
