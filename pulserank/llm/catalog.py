@@ -1,13 +1,20 @@
 """The registered queries of this subpackage and their SQL twins."""
 from __future__ import annotations
 
-from pulserank.llm import q_bpe, q_decontaminate, q_line_dedup, q_simhash, q_toxicity
+from pulserank.llm import (
+    q_bpe, q_decontaminate, q_line_dedup, q_simhash, q_toxicity, q_vectors,
+)
 
 QUERIES = {
+    "op1_vector_dedup": q_vectors.op1_vector_dedup,
     "op4_line_dedup": q_line_dedup.op4_line_dedup,
     "op5_simhash": q_simhash.op5_simhash,
     "op6_decontaminate": q_decontaminate.op6_decontaminate,
     "op8_bpe": q_bpe.op8_bpe,
     "op10_toxicity": q_toxicity.op10_toxicity,
 }
-ORACLES = {"op4_line_dedup": q_line_dedup.SQL, "op6_decontaminate": q_decontaminate.SQL}
+ORACLES = {
+    "op1_vector_dedup": q_vectors.SQL,
+    "op4_line_dedup": q_line_dedup.SQL,
+    "op6_decontaminate": q_decontaminate.SQL,
+}
