@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from pulserank.llm import (
-    q_bpe, q_decontaminate, q_line_dedup, q_simhash, q_toxicity, q_vectors,
+    q_bpe, q_decontaminate, q_line_dedup, q_pii, q_simhash, q_toxicity, q_vectors,
 )
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_simhash": q_simhash.op5_simhash,
     "op6_decontaminate": q_decontaminate.op6_decontaminate,
     "op8_bpe": q_bpe.op8_bpe,
+    "op9_pii": q_pii.op9_pii,
     "op10_toxicity": q_toxicity.op10_toxicity,
 }
 ORACLES = {
