@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulserank.llm.common import pieces
 
@@ -212,8 +213,6 @@ def find_phrases(
 
 
 def _searcher(phrases: Phrases, schema: T.StructType):
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(schema)
         for shard in _shards(batches):
@@ -274,7 +273,7 @@ def find_near(index: DataFrame, queries: list[list[str]], slop: int) -> DataFram
                 out["start"] += (first - shard.starts[document]).tolist()
                 out["end"] += (end + 1 - shard.starts[document]).tolist()
             if out["query"]:
-                yield pa.RecordBatch.from_pydict(out)
+                yield pa.RecordBatch.from_pydict(out, schema=to_arrow_schema(schema))
 
     return index.mapInArrow(search, schema)
 
