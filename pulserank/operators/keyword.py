@@ -120,7 +120,7 @@ def phrase_hits_by_triples(base: DataFrame, phrases: DataFrame, id_column: str)
     shorter); a row is probed with its distinct pieces of one to three characters, and
     the match is verified on the text.
     """
-    filed = phrases.select("key").distinct().withColumn("_piece", F.substring("key", 1, 3))
+    filed = phrases.select("key").where("key <> ''").distinct().withColumn("_piece", F.substring("key", 1, 3))
     starts = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)))
     pieces = F.array_distinct(F.flatten(F.transform(
         starts, lambda i: F.array(*[F.substring(F.col("_text"), i, F.lit(w)) for w in (1, 2, 3)])

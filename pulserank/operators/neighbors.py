@@ -192,10 +192,17 @@ def _grid(queries: DataFrame, corpus: DataFrame, n_queries: int, n_items: int, u
     return left, right
 
 
+def finite(embedding: str | Column) -> Column:
+    """Vectors with nothing but finite components; others have no distance to anything."""
+    vector = F.col(embedding) if isinstance(embedding, str) else embedding
+    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(vector.isNotNull() & good, F.lit(False))
+
+
 def _vectors(df: DataFrame, id_column: str, carry: str | None = None) -> DataFrame:
     return df.select(
         F.col(id_column).cast("string").alias(id_column), F.col("embedding"), *([carry] if carry else [])
-    ).where(F.col("embedding").isNotNull())
+    ).where(F.col(id_column).isNotNull() & finite("embedding"))
 
 
 def knn(
@@ -211,6 +218,8 @@ def knn(
     """The ``k`` nearest items of every user: ``user_id, opportunity_id, retrieval_rank, retrieval_distance``.
 
     ``queries`` has ``user_id, embedding`` and ``corpus`` ``opportunity_id, embedding``.
+    Rows without an id and vectors with null, NaN or infinite components take no part;
+    ``quality.vector_rules`` counts them.
     ``metric='l2'`` ranks by squared distance, ``'dot'`` by inner product (reported as
     ``score``, larger first).  Ties go to the smaller id.  Distances are computed in
     double precision.
@@ -314,6 +323,7 @@ def join_candidates(neighbors: DataFrame, snapshot: DataFrame, order: list[Colum
     Popular items repeat on the neighbour side; adaptive execution splits them.
     """
     rows = with_opportunity_id(snapshot)
+    rows = rows.join(neighbors.select("opportunity_id").distinct(), "opportunity_id", "left_semi")  # the rest is never sorted
     wanted = order or [F.desc_nulls_last(c) for c in ("score", "num_comments") if c in rows.columns]
     rows = keep_best(rows, F.col("opportunity_id"), wanted + [F.asc(c) for c in ("title", "url") if c in rows.columns] or [F.asc("opportunity_id")])
     return neighbors.join(rows.drop("user_id"), "opportunity_id").withColumn(

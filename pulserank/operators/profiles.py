@@ -29,9 +29,10 @@ def _empty() -> Column:
     return F.array().cast("array<string>")
 
 
-def _history(df: DataFrame, name: str, limit: int) -> Column:
+def _history(df: DataFrame, name: str, limit: int | None) -> Column:
     element = df.schema[name].dataType.elementType
-    entries = F.slice(F.coalesce(F.col(name), F.array().cast(df.schema[name].dataType.simpleString())), 1, limit)
+    entries = F.coalesce(F.col(name), F.array().cast(df.schema[name].dataType.simpleString()))
+    entries = entries if limit is None else F.slice(entries, 1, limit)
     if not isinstance(element, StructType):
         return F.coalesce(_strings(entries, ArrayType(element)), _empty())
     types = {f.name: f.dataType for f in element.fields}
@@ -43,11 +44,11 @@ def _history(df: DataFrame, name: str, limit: int) -> Column:
     return F.flatten(F.transform(entries, entry))
 
 
-def profile_terms(df: DataFrame, history_limit: int = K.HISTORY_LIMIT) -> DataFrame:
+def profile_terms(df: DataFrame, history_limit: int | None = None) -> DataFrame:
     """Add ``terms``, ``profile_text`` and ``encoding_text``.
 
-    Terms come from the profile fields, then from up to ``history_limit`` history
-    entries, then from the free text.  A term that differs only in case from an earlier
+    Terms come from the profile fields, then from the history (its first
+    ``history_limit`` entries if that is given), then from the free text.  A term that differs only in case from an earlier
     one is left out.  The order is stable.
     """
     types = {f.name: f.dataType for f in df.schema.fields}

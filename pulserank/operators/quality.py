@@ -100,4 +100,5 @@ def vector_rules(id_column: str, dim: int, column: str = "embedding") -> dict[st
         "empty_vector": F.col(column).isNull() | (F.size(column) == 0),
         "wrong_dimension": F.size(column) != dim,
         "null_component": F.exists(column, lambda x: x.isNull()),
+        "not_finite": F.exists(column, lambda x: F.isnan(x) | (F.abs(x) == F.lit(float("inf")))),
     }

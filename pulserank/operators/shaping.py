@@ -207,8 +207,8 @@ def prompt_pick(
             key = F.when(F.contains(column, F.lit(name)), name).otherwise(key)
     chosen = literal_map({k: "\x00".join(v) for k, v in templates.items()})[key]
     options = F.split(chosen, "\x00")
-    digit = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_column).cast("string"))), 1, 1)
-    position = (F.instr(F.lit("0123456789abcdef"), digit) - 1) % F.size(options)
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_column).cast("string"))), 1, 12)
+    position = (F.conv(digits, 16, 10).cast("bigint") % F.size(options)).cast("int")
     filled = F.replace(F.element_at(options, position + 1), F.lit("{topic}"), topic_label(df))
     return df.withColumn("writing_prompt", F.replace(filled, F.lit("{title}"), F.coalesce(F.col("title"), F.lit("Untitled"))))
 
@@ -223,15 +223,18 @@ def is_beginner(df: DataFrame) -> Column:
     return contains_any(domain, K.BEGINNER_DOMAINS) | contains_any(words, K.BEGINNER_PHRASES)
 
 
-def good_first_issues(df: DataFrame, min_rows: int = 5, source: str = "github") -> DataFrame:
-    """Rows for newcomers; fewer than ``min_rows`` fall back to the source, then to all rows.
+def good_first_issues(df: DataFrame, min_rows: int = 0, source: str = "github") -> DataFrame:
+    """Rows for newcomers.
 
-    The three counts are one aggregate, used as a scalar subquery: no driver branch.
+    With ``min_rows``, fewer rows than that fall back to the source, then to all rows; the
+    counts are one aggregate, used as a scalar subquery: no driver branch.
     """
     fields = [F.col(n).cast("string") for n in ("title", "text", "topic_category", "domain_category", "domain") if n in df.columns]
     hit = contains_any(F.lower(F.concat_ws("\n", *fields)), K.FIRST_ISSUE_PHRASES)
     from_source = F.coalesce(F.lower(col("source")) == source, F.lit(False))
     wanted = hit | from_source
+    if not min_rows:
+        return df.where(wanted)
     counts = df.agg(
         F.struct(
             F.count_if(wanted).alias("wanted"), F.count_if(from_source).alias("from_source")

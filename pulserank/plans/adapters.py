@@ -1,7 +1,8 @@
 """The driver's tables as opportunities, feed events, vectors, profiles and feedback.
 
-Nothing is filtered out: an opportunity is a document with the event and the page of the
-same number (pages are fewer, so they repeat), a feed row is an event with a page.
+Nothing is filtered out: an opportunity is an event with the document and the page of its
+number (these are fewer, so they repeat), a feed row is an event with a page, and labels and profiles
+take the vector of their number.
 """
 from __future__ import annotations
 
@@ -63,18 +64,30 @@ def _event_columns() -> dict[str, Column]:
 
 
 def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw opportunity per document."""
+    """One raw opportunity per event. One in four has the page's own url, which repeats; the others have a url of their own."""
     pages, n = _pages(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("page_id", F.col("doc_id") % n)
-    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "user_id", F.struct(
-        *[v.alias(k) for k, v in _event_columns().items()]
-    ).alias("e"))
-    return docs.join(events, "doc_id").join(pages, "page_id").select(
-        F.col("doc_id").cast("string").alias("id"), "e.source", "title", "text", "url", "e.score", "e.num_comments",
+    docs, n_docs = _documents(spark, sf_dir)
+    event = F.col("event_id")
+    events = table(spark, sf_dir, "events").select(
+        event.cast("string").alias("id"), "user_id", (event % n).alias("page_id"), (event % n_docs).alias("doc_id"),
+        F.struct(*[v.alias(k) for k, v in _event_columns().items()]).alias("e"),
+        F.when(event % 4 == 0, "").otherwise(F.concat(F.lit("?item="), event.cast("string"))).alias("mark"),
+    )
+    return events.join(docs, "doc_id").join(pages, "page_id").select(
+        "id", "e.source", "title", "text", F.concat("url", "mark").alias("url"), "e.score", "e.num_comments",
         "e.created_utc", "lang", "user_id",
     )
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return docs, table(spark, sf_dir, "documents").agg(F.count("*").alias("n")).scalar()
+
+
+def _vector_count(spark: SparkSession, sf_dir: str) -> Column:
+    return table(spark, sf_dir, "embeddings").agg(F.count("*").alias("n")).scalar()
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed row per event; ids and urls repeat, and a part of the rows has no url."""
     pages, n = _pages(spark, sf_dir)
@@ -110,8 +123,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("id"), _case("event_type", SOURCES, F.col("event_type")).alias("source")
     )
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"))
-    known = with_opportunity_id(docs.join(events, "id")).select("id", "opportunity_id")
+    known = with_opportunity_id(events).select("id", "opportunity_id")
     return vectors.join(known, "id", "left").select(
         F.coalesce("opportunity_id", F.concat(F.lit("vec::"), "id")).alias("opportunity_id"), "embedding", "label", "id"
     )
@@ -124,12 +136,12 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested profile per user, from the opportunities that carry the user's vector label."""
-    labels = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").cast("string").alias("id"), F.concat(F.lit("user-"), F.col("label").cast("string")).alias("user_id")
-    )
-    langs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang")
-    rows = classified(spark, sf_dir).drop("text").join(labels, "id").join(langs, "id")
+    """One nested profile per user, from the opportunities whose vector, by number, has the user's label."""
+    labels = table(spark, sf_dir, "embeddings").select("vec_id", F.concat(F.lit("user-"), F.col("label").cast("string")).alias("user_id"))
+    docs, n_docs = _documents(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    rows = classified(spark, sf_dir).drop("text").withColumns({"vec_id": number % _vector_count(spark, sf_dir), "doc_id": number % n_docs})
+    rows = rows.join(labels, "vec_id").join(docs.select("doc_id", "lang"), "doc_id")
 
     def best(df: DataFrame, value: str, n: int, name: str) -> DataFrame:
         counted = df.groupBy("user_id", value).agg(F.count("*").alias("n"))
@@ -167,9 +179,14 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Interactions with the item identifier and the user of the item's vector label."""
-    owner = items(spark, sf_dir).select("id", "opportunity_id", F.concat(F.lit("user-"), F.col("label").cast("string")).alias("user_id"))
-    return interactions(spark, sf_dir).join(owner, "id").select("user_id", "opportunity_id", "interaction")
+    """Interactions with the opportunity of the document's number and the user of its vector's label."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.concat(F.lit("user-"), F.col("label").cast("string")).alias("user_id"))
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("id"), _case("event_type", SOURCES, F.col("event_type")).alias("source")
+    )
+    rows = interactions(spark, sf_dir).withColumn("vec_id", F.col("id").cast("bigint") % _vector_count(spark, sf_dir))
+    named = rows.join(vectors, "vec_id").join(events, "id", "left").select("user_id", "id", F.coalesce("source", F.lit("doc")).alias("source"), "interaction")
+    return with_opportunity_id(named).select("user_id", "opportunity_id", "interaction")
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,11 +70,12 @@ _COMMENTS = """CAST(regexp_extract(e.props, '"k": (\\d+)', 1) AS BIGINT)"""
 
 OPP = f"""
 opp AS (
-  SELECT CAST(d.doc_id AS VARCHAR) AS id, {_SOURCE} AS source, {_TITLE} AS title, d.text AS text, p.url AS url,
+  SELECT CAST(e.event_id AS VARCHAR) AS id, {_SOURCE} AS source, {_TITLE} AS title, d.text AS text,
+         CASE WHEN e.event_id % 4 = 0 THEN p.url ELSE p.url || '?item=' || e.event_id END AS url,
          CAST(floor(e.value) AS BIGINT) AS score, {_COMMENTS} AS num_comments, e.ts AS created_utc, d.lang AS lang,
          e.user_id AS user_id
-  FROM documents d JOIN events e ON e.event_id = d.doc_id
-  JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages))"""
+  FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
+  JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages))"""
 
 FEED = f"""
 feed AS (
@@ -124,8 +125,7 @@ items AS (
   SELECT coalesce(k.source || '::' || k.id, 'vec::' || v.vec_id) AS opportunity_id, v.embedding::DOUBLE[] AS embedding,
          v.label, CAST(v.vec_id AS VARCHAR) AS id
   FROM embeddings v LEFT JOIN (
-    SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS id, {_SOURCE} AS source
-    FROM documents d JOIN events e ON e.event_id = d.doc_id) k ON k.doc_id = v.vec_id)"""
+    SELECT e.event_id, CAST(e.event_id AS VARCHAR) AS id, {_SOURCE} AS source FROM events e) k ON k.event_id = v.vec_id)"""
 
 
 def centroids(source: str, key: str, name: str, vector: str = "embedding") -> str:
@@ -227,7 +227,7 @@ def listed(source: str, value: str, name: str) -> str:
 PROFILES = CLASSED + f""",
 prof_rows AS (
   SELECT c.* EXCLUDE (text), o.lang, 'user-' || v.label AS user_id
-  FROM classed c JOIN embeddings v ON c.id = CAST(v.vec_id AS VARCHAR) JOIN opp o ON o.id = c.id),
+  FROM classed c JOIN embeddings v ON v.vec_id = CAST(c.id AS BIGINT) % (SELECT count(*) FROM embeddings) JOIN opp o ON o.id = c.id),
 prof_tokens AS (
   SELECT user_id, token, count(*) AS n FROM (
     SELECT user_id, unnest(regexp_extract_all(lower(title), '[\\p{{L}}\\p{{N}}_]{{3,}}')) AS token FROM prof_rows) GROUP BY ALL),

@@ -19,8 +19,8 @@ _GRADE = O.case("interaction", {k: str(v) for k, v in K.RELEVANCE.items()}, "NUL
 _GIVEN = f"""
 given AS (
   SELECT user_id, opportunity_id, interaction, CAST({_GRADE} AS INT) AS relevance_label FROM (
-    SELECT 'user-' || i.label AS user_id, i.opportunity_id, {_INTERACTION} AS interaction
-    FROM labels l JOIN items i ON i.id = CAST(l.doc_id AS VARCHAR)))"""
+    SELECT 'user-' || v.label AS user_id, coalesce({O._SOURCE}, 'doc') || '::' || l.doc_id AS opportunity_id, {_INTERACTION} AS interaction
+    FROM labels l JOIN embeddings v ON v.vec_id = l.doc_id % (SELECT count(*) FROM embeddings) LEFT JOIN events e ON e.event_id = l.doc_id))"""
 
 
 def labelled(spark, sf):

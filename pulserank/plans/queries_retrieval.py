@@ -28,6 +28,19 @@ def knn_topk(spark, sf):
     return _shown(_knn(spark, sf))
 
 
+@query("knn_with_bad_vectors", _TOP)
+def knn_with_bad_vectors(spark, sf):
+    """Copies of all items without an id or with a broken component change nothing."""
+    items = A.items(spark, sf).select("opportunity_id", "embedding")
+    broken = [items.withColumn("opportunity_id", F.lit(None).cast("string"))]
+    for value in (None, float("nan"), float("inf")):
+        bad = F.transform("embedding", lambda x, i: F.when(i == 3, F.lit(value).cast("float")).otherwise(x))
+        broken.append(items.select(F.concat(F.lit("bad::"), "opportunity_id").alias("opportunity_id"), bad.alias("embedding")))
+    for other in broken:
+        items = items.unionByName(other)
+    return _shown(N.knn(A.users(spark, sf), items, A.TOP_K))
+
+
 @query("knn_grid", _TOP)
 def knn_grid(spark, sf):
     return _shown(_knn(spark, sf, method="grid", block_rows=200))
@@ -69,7 +82,8 @@ def vector_centroids(spark, sf):
 @query("vector_checks", """SELECT 'missing_id' AS rule, count(*) FILTER (vec_id IS NULL) AS violations FROM embeddings UNION ALL
 SELECT 'empty_vector', count(*) FILTER (embedding IS NULL OR len(embedding) = 0) FROM embeddings UNION ALL
 SELECT 'wrong_dimension', count(*) FILTER (len(embedding) <> 32) FROM embeddings UNION ALL
-SELECT 'null_component', count(*) FILTER (len([x FOR x IN embedding IF x IS NULL]) > 0) FROM embeddings""")
+SELECT 'null_component', count(*) FILTER (len([x FOR x IN embedding IF x IS NULL]) > 0) FROM embeddings UNION ALL
+SELECT 'not_finite', count(*) FILTER (len([x FOR x IN embedding IF NOT isfinite(x)]) > 0) FROM embeddings""")
 def vector_checks(spark, sf):
     return report(A.table(spark, sf, "embeddings"), vector_rules("vec_id", 32))
 

@@ -216,7 +216,7 @@ _TEMPLATES = {
 
 def _template_sql() -> str:
     def branch(texts) -> str:
-        digit = "(instr('0123456789abcdef', substr(md5('7:' || id), 1, 1)) - 1)"
+        digit = "CAST(('0x' || substr(md5('7:' || id), 1, 12)) AS BIGINT)"
         items = "[" + ", ".join(O.quoted(t) for t in texts) + "]"
         return f"{items}[{digit} % {len(texts)} + 1]"
 

@@ -170,9 +170,8 @@ def keyword_ranker(spark, sf):
 
 
 @query("good_first_issue", f"""WITH {O.CLASSED}, marked AS (
-  SELECT *, source = 'github' AS own, source = 'github' OR ({' OR '.join(O._any(f"lower(coalesce({c}, ''))", K.FIRST_ISSUE_PHRASES) for c in ('title', 'text', 'topic_category', 'domain_category', 'domain'))}) AS wanted FROM classed),
-n AS (SELECT count(*) FILTER (wanted) AS w, count(*) FILTER (own) AS o FROM marked)
-SELECT id, source FROM marked, n WHERE CASE WHEN w >= 5 THEN wanted WHEN o > 0 THEN own ELSE true END""")
+  SELECT *, source = 'github' AS own, source = 'github' OR ({' OR '.join(O._any(f"lower(coalesce({c}, ''))", K.FIRST_ISSUE_PHRASES) for c in ('title', 'text', 'topic_category', 'domain_category', 'domain'))}) AS wanted FROM classed)
+SELECT id, source FROM marked WHERE wanted""")
 def good_first_issue(spark, sf):
     return good_first_issues(A.classified(spark, sf)).select("id", "source")
 

@@ -76,66 +76,73 @@ def valid(df: DataFrame, cutoff: str | Column) -> DataFrame:
     ).withColumn("created_utc", F.date_format("_at", _ISO)).drop("_at")
 
 
-def _part(text: Column, length: int) -> Column:
-    return F.substring(text, 1, length)
+def _part(text: Column, length: int | None) -> Column:
+    return text if length is None else F.substring(text, 1, length)
 
 
 def _pair(title: Column, text: Column) -> Column:
     return F.struct(title.alias("title"), text.alias("text"))
 
 
-def title_and_text(event_type: str = "event_type", payload: str = "payload", repo: str = "repo_name") -> Column:
-    """Title and text of an event by its type; the title may be empty."""
+def title_and_text(
+    event_type: str = "event_type", payload: str = "payload", repo: str = "repo_name", title_limit: int | None = None,
+    text_limit: int | None = None, comment_title: int | None = None, commits: int | None = None, pages: int | None = None,
+) -> Column:
+    """Title and text of an event by its type; the title may be empty.
+
+    By default nothing is cut. The limits are in characters, those of ``commits`` and ``pages`` in entries.
+    """
     kind = F.col(event_type)
     empty = F.lit("")
 
-    def listed(path: str, key: str, limit: int) -> Column:
-        entries = F.slice(F.coalesce(_get(payload, path, "array<variant>"), F.array().cast("array<variant>")), 1, limit)
+    def listed(path: str, key: str, limit: int | None) -> Column:
+        entries = F.coalesce(_get(payload, path, "array<variant>"), F.array().cast("array<variant>"))
+        entries = entries if limit is None else F.slice(entries, 1, limit)
         return F.filter(F.transform(entries, lambda e: clean(F.try_variant_get(e, key, "string"))), lambda t: t != "")
 
     def first_and_rest(texts: Column, otherwise: Column) -> Column:
         found = F.size(texts) > 0
-        rest = F.array_join(F.slice(texts, 2, 50), "\n")
+        rest = F.array_join(F.slice(texts, F.lit(2), F.size(texts)), "\n")
         return _pair(
-            F.when(found, _part(F.try_element_at(texts, F.lit(1)), 500)).otherwise(otherwise),
-            F.when(found, _part(rest, 8000)).otherwise(empty),
+            F.when(found, _part(F.try_element_at(texts, F.lit(1)), title_limit)).otherwise(otherwise),
+            F.when(found, _part(rest, text_limit)).otherwise(empty),
         )
 
     def entry(name: str) -> Column:
-        return _pair(_part(_text(payload, f"$.{name}.title"), 500), _part(_text(payload, f"$.{name}.body"), 8000))
+        return _pair(_part(_text(payload, f"$.{name}.title"), title_limit), _part(_text(payload, f"$.{name}.body"), text_limit))
 
     ref = _text(payload, "$.ref")
     comment = _text(payload, "$.comment.body")
-    issue_title = _part(_text(payload, "$.issue.title"), 500)
+    issue_title = _part(_text(payload, "$.issue.title"), title_limit)
     release = _get(payload, "$.release.name")
     created, ref_type = _text(payload, "$.description"), _text(payload, "$.ref_type")
     fork = _text(payload, "$.forkee.full_name")
     name = F.col(repo)
     return (
         F.when(kind == "PushEvent", first_and_rest(
-            listed("$.commits", "$.message", 20),
+            listed("$.commits", "$.message", commits),
             F.when(ref != "", F.concat(F.lit("Push to "), ref)).otherwise(empty),
         ))
         .when(kind == "IssuesEvent", entry("issue"))
         .when(kind == "PullRequestEvent", entry("pull_request"))
         .when(kind.isin("IssueCommentEvent", "CommitCommentEvent"), _pair(
-            F.when(issue_title != "", issue_title).otherwise(_part(comment, 200)), _part(comment, 8000)
+            F.when(issue_title != "", issue_title).otherwise(_part(comment, comment_title)), _part(comment, text_limit)
         ))
         .when(kind.isin("PullRequestReviewCommentEvent", "PullRequestReviewEvent"), _pair(
-            _part(_text(payload, "$.pull_request.title"), 500), _part(comment, 8000)
+            _part(_text(payload, "$.pull_request.title"), title_limit), _part(comment, text_limit)
         ))
         .when(kind == "ReleaseEvent", _pair(
-            _part(F.when(release != "", clean(release)).otherwise(_text(payload, "$.release.tag_name")), 500),
-            _part(_text(payload, "$.release.body"), 8000),
+            _part(F.when(release != "", clean(release)).otherwise(_text(payload, "$.release.tag_name")), title_limit),
+            _part(_text(payload, "$.release.body"), text_limit),
         ))
         .when(kind == "CreateEvent", _pair(
-            F.when((ref_type != "") & (ref != ""), F.concat_ws(" ", F.lit("Create"), ref_type, ref)).otherwise(_part(created, 500)),
-            _part(created, 8000),
+            F.when((ref_type != "") & (ref != ""), F.concat_ws(" ", F.lit("Create"), ref_type, ref)).otherwise(_part(created, title_limit)),
+            _part(created, text_limit),
         ))
-        .when(kind == "GollumEvent", first_and_rest(listed("$.pages", "$.title", 10), empty))
+        .when(kind == "GollumEvent", first_and_rest(listed("$.pages", "$.title", pages), empty))
         .when(kind == "WatchEvent", _pair(F.concat(F.lit("Starred "), name), empty))
         .when(kind == "ForkEvent", _pair(
-            _part(F.concat(F.lit("Forked "), name, F.when(fork != "", F.concat(F.lit(" to "), fork)).otherwise(empty)), 500), empty
+            _part(F.concat(F.lit("Forked "), name, F.when(fork != "", F.concat(F.lit(" to "), fork)).otherwise(empty)), title_limit), empty
         ))
         .when(kind == "PublicEvent", _pair(F.concat(F.lit("Repository "), name, F.lit(" made public")), empty))
         .otherwise(_pair(empty, empty))
@@ -163,25 +170,42 @@ def event_url(event_type: str = "event_type", payload: str = "payload", repo: st
     )
 
 
+def _depth(document: Column) -> Column:
+    """How deep objects and lists of a JSON text nest: the highest count of open brackets outside its strings."""
+    bare = F.regexp_replace(document, r'"(?:[^"\\]++|\\.)*+"', "")
+    brackets = F.filter(F.split(F.translate(F.regexp_replace(bare, r"[^\[\]{}]", ""), "[]{}", "()()"), ""), lambda c: c != "")
+    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
+
+    def step(state: Column, c: Column) -> Column:
+        now = state["open"] + F.when(c == "(", 1).otherwise(-1)
+        return F.struct(now.alias("open"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(brackets, start, step, lambda s: s["most"])
+
+
 def payload_strings(
     df: DataFrame,
     payload: str = "payload",
     out: str = "payload_strings",
-    depth: int = K.PAYLOAD_DEPTH,
-    items: int = K.PAYLOAD_LIST_ITEMS,
+    depth: int | None = None,
+    items: int | None = None,
     skipped: Sequence[str] = K.PAYLOAD_SKIPPED_KEYS,
 ) -> DataFrame:
-    """Add all string leaves of a free-form payload down to ``depth``.
+    """Add all string leaves of a free-form payload.
 
     Level by level inside the row: values of objects without the skipped keys, and the
-    first ``items`` entries of lists, are the next level.  No explode and no shuffle.
+    entries of lists, are the next level.  No explode and no shuffle.  The number of levels is that of
+    the deepest payload, found in a pass of its own, unless ``depth`` limits it; ``items`` limits the entries of a list.
     """
+    if depth is None:
+        depth = df.agg(F.max(_depth(F.to_json(payload)))).first()[0] or 0
     none = F.array().cast("array<variant>")
 
     def children(v: Column) -> Column:
         fields = F.try_variant_get(v, "$", "map<string,variant>")
+        entries = F.try_variant_get(v, "$", "array<variant>")
         kept = F.map_values(F.map_filter(fields, lambda k, _: ~k.isin(*skipped)))
-        return F.coalesce(kept, F.slice(F.try_variant_get(v, "$", "array<variant>"), 1, items), none)
+        return F.coalesce(kept, entries if items is None else F.slice(entries, 1, items), none)
 
     level = F.when(F.col(payload).isNotNull(), F.array(F.col(payload))).otherwise(none)
     df = df.withColumn("_level", level).withColumn("_found", F.array().cast("array<string>"))

@@ -21,8 +21,8 @@ def snapshot(spark: SparkSession, path: str, fallback: str | None = None) -> Dat
     """A Parquet snapshot; the fallback is read if the path does not exist."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        if fallback is None:
+    except AnalysisException as error:
+        if fallback is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.read.parquet(fallback)
 
@@ -46,17 +46,32 @@ def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
     return tuple(spark.read.options(**_CSV).csv(file).columns)
 
 
+def files_by_header_line(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
+    """The files by their first line. Rows of a split keep their order, so it is the first row of the split at 0."""
+    lines = spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("row")
+    )
+    first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("line"))
+    found: dict[str, list[str]] = {}
+    for row in first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("line").collect():
+        found[row["line"]] = list(row["files"])
+    return found
+
+
 def raw_csv(
     spark: SparkSession, path: str, recursive: bool = False, aliases: Mapping[str, str] = K.RAW_ALIASES
 ) -> DataFrame:
     """All CSV files of a folder in the nine raw columns, each read with its own header.
 
-    Files that share a header are one scan.  The file name without its suffix is the
+    One job finds the first lines of all files, one more per distinct header names its columns, and files that
+    share a header are one scan.  The file name without its suffix is the
     source of rows that have none.
     """
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in csv_files(spark, path, recursive):
-        by_header.setdefault(header_of(spark, file), []).append(file)
+    for line, files in files_by_header_line(spark, csv_files(spark, path, recursive)).items():
+        broken = line.count('"') % 2  # a name with a line break: the first line is not the whole header
+        for group in [[f] for f in files] if broken else [files]:
+            by_header.setdefault(header_of(spark, group[0]), []).extend(group)
     stem = F.regexp_replace(F.url_decode(F.col("_metadata.file_name")), r"\.[^.]*$", "")
     frames = []
     for header, files in by_header.items():

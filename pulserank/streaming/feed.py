@@ -1,8 +1,11 @@
 """The live feed: read, deduplicate, append, measure."""
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from pulserank.functions.text import clean
 
@@ -32,12 +35,13 @@ def fingerprint(source: str | Column = "source", url: str | Column = "url") -> C
     return F.md5(F.concat(clean(source), F.lit("::"), clean(url)))
 
 
-def dedup(df: DataFrame, delay: str | None = "1 hour", key: Column | None = None, time: str = "ingested_at") -> DataFrame:
+def dedup(df: DataFrame, delay: str | None = None, key: Column | None = None, time: str = "ingested_at") -> DataFrame:
     """First event per fingerprint.
 
+    Every fingerprint is remembered for ever; the RocksDB state store keeps them on disk.
     With a ``delay`` the state of a fingerprint is dropped once the watermark passes it,
-    so the state is bounded by the event rate; repeats further apart count as new.
-    ``delay=None`` remembers every fingerprint for ever.
+    so the state is bounded by the event rate; repeats further apart count as new and rows
+    later than the watermark are dropped, which :class:`FeedCounts` counts as ``late``.
     """
     marked = df.withColumn("fp", fingerprint() if key is None else key)
     if delay is None:
@@ -45,8 +49,8 @@ def dedup(df: DataFrame, delay: str | None = "1 hour", key: Column | None = None
     return marked.withWatermark(time, delay).dropDuplicatesWithinWatermark(["fp"])
 
 
-def volume(df: DataFrame, window: str = "10 seconds", delay: str | None = "1 hour", time: str = "ingested_at", *by: str) -> DataFrame:
-    """Events per time window (and key); rows later than the watermark are dropped."""
+def volume(df: DataFrame, window: str = "10 seconds", delay: str | None = None, time: str = "ingested_at", *by: str) -> DataFrame:
+    """Events per time window (and key). With a ``delay`` windows are closed by the watermark, and rows later than it are dropped and counted as ``late``."""
     marked = df.withWatermark(time, delay) if delay and df.isStreaming else df
     return (
         marked.groupBy(F.window(time, window).alias("w"), *by)
@@ -62,11 +66,41 @@ def append(df: DataFrame, path: str, checkpoint: str, fmt: str = "json", availab
     return writer.start()
 
 
-def throughput(query: StreamingQuery) -> dict[str, int]:
-    """Rows read, stored and dropped as duplicates, from the query's own progress."""
-    read = dropped = 0
-    for step in query.recentProgress:
-        read += int(step["numInputRows"])
-        for state in step["stateOperators"]:
-            dropped += int(state.get("customMetrics", {}).get("numDroppedDuplicateRows", 0))
-    return {"processed": read - dropped, "duplicates": dropped, "total": read}
+class FeedCounts(StreamingQueryListener):
+    """Rows read, stored, dropped as duplicates and dropped as late, summed over all micro-batches of a feed.
+
+    Use as a context around the start of the query; ``totals`` waits until the query has reported its end. The sums
+    hold however many batches there are, while a query remembers the progress of its last ones only.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._streams, self._done = spark.streams, threading.Event()
+        self._read = self._duplicates = self._late = 0
+
+    def __enter__(self) -> FeedCounts:
+        self._streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._read += event.progress.numInputRows
+        for state in event.progress.stateOperators:
+            self._duplicates += int(state.customMetrics.get("numDroppedDuplicateRows", 0))
+            self._late += state.numRowsDroppedByWatermark
+
+    def onQueryTerminated(self, event) -> None:
+        self._done.set()
+
+    def totals(self, seconds: float = 60) -> dict[str, int]:
+        if not self._done.wait(seconds):
+            raise TimeoutError("the feed has not reported its end")
+        stored = self._read - self._duplicates - self._late
+        return {"processed": stored, "duplicates": self._duplicates, "late": self._late, "total": self._read}

@@ -70,25 +70,37 @@ def event(i, source, url, at):
 
 
 def run(spark, folder, out, delay):
-    query = feed.append(feed.dedup(feed.read_feed(spark, folder), delay), out, f"{out}-check", fmt="parquet")
-    query.awaitTermination()
-    return feed.throughput(query)
+    with feed.FeedCounts(spark) as counts:
+        query = feed.append(feed.dedup(feed.read_feed(spark, folder, max_files=1), delay), out, f"{out}-check", fmt="parquet")
+        query.awaitTermination()
+        return counts.totals()
 
 
 def test_feed_restarts_without_repeats(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     put(tmp_path / "in" / "1.json", "\n".join([event(1, "hn", "u1", 1000.5), event(2, "hn", "u1", 1001.0), event(3, "reddit", "u1", 1002.0)]))
-    assert run(spark, folder, out, "1 hour") == {"processed": 2, "duplicates": 1, "total": 3}
+    assert run(spark, folder, out, "1 hour") == {"processed": 2, "duplicates": 1, "late": 0, "total": 3}
     put(tmp_path / "in" / "2.json", "\n".join([event(4, "hn", "u1", 1100.0), event(5, "hn", "u2", 20000.0)]))
     run(spark, folder, out, "1 hour")
     assert spark.read.parquet(out).count() == 3
-    # The watermark is now past the first events: u1 is new again, a late row is dropped.
+    # The watermark is now past the first events: u1 is new again, a late row is dropped and counted.
     put(tmp_path / "in" / "3.json", "\n".join([event(6, "hn", "u1", 20001.0), event(7, "hn", "u9", 1000.0)]))
-    run(spark, folder, out, "1 hour")
+    assert run(spark, folder, out, "1 hour")["late"] == 1
     assert spark.read.parquet(out).where("url = 'u1' AND source = 'hn'").count() == 2
     assert spark.read.parquet(out).where("url = 'u9'").count() == 0
 
 
+def test_counts_outlive_the_progress_a_query_remembers(spark, tmp_path):
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    for i in range(6):
+        put(tmp_path / "in" / f"{i}.json", "\n".join([event(1, "hn", f"u{i}", 1000.0 + i), event(2, "hn", "u0", 5.0)]))
+    got = run(spark, str(tmp_path / "in"), str(tmp_path / "out"), None)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert got == {"processed": 6, "duplicates": 6, "late": 0, "total": 12}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+
+
 def test_batch_volume(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (15.0,)], "s double").select(F.timestamp_seconds("s").alias("ingested_at"))
     assert sorted(r["events"] for r in feed.volume(df).collect()) == [1, 2]
