@@ -1,16 +1,20 @@
 """Keyword ranking: profiles against rows without vectors."""
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
 from pulserank.functions.text import word_count
 from pulserank.operators.dedup import top_n
-from pulserank.operators.matching import phrase_list, substring_hits
 from pulserank.operators.shaping import topic_label
 
+_PARTS = ("quality_score", "freshness_score", "effort_score_normalized")
+_TOKEN = re.compile(r"[a-z0-9+#.-]+")
 TEXT_FIELDS = ("title", "text", "platform", "domain", "domain_category", "topic_category")
 
 
@@ -72,66 +76,105 @@ def with_row_scores(df: DataFrame) -> DataFrame:
     })
 
 
-def keyword_match(rows: DataFrame, profiles: DataFrame, id_column: str = "id", max_phrase_bytes: int = 8 << 20) -> DataFrame:
-    """Match score of every (user, row) pair that shares a phrase or a token.
+def keyword_match(rows: DataFrame, profiles: DataFrame, n: int, id_column: str = "id", max_profile_bytes: int = 8 << 20) -> DataFrame:
+    """The best ``n`` matching rows of every user by match score, ties by id: ``user_id``, id, ``profile_match_score``.
 
     ``profiles`` has ``user_id`` and ``terms``.  Score = 0.7 · share of the user's terms
     that are substrings of the row + 0.3 · share of the user's tokens among the row's
-    tokens, at most 1.  Pairs that share nothing have score 0 and are not produced, so
-    the work follows the matches and not users times rows.
+    tokens, at most 1.  Rows that share nothing with a user are not produced.
+    """
+    plain = rows.withColumns({p: F.lit(0.0) for p in _PARTS})
+    only_match = {"match": 1.0, "quality": 0.0, "freshness": 0.0, "effort": 0.0}
+    found = _best_matches(plain, profiles, n, only_match, id_column, max_profile_bytes)
+    best = top_n(found, ["user_id"], [F.desc("profile_match_score"), F.asc(id_column)], n)
+    return best.select("user_id", id_column, "profile_match_score")
+
+
+def _best_matches(
+    rows: DataFrame, profiles: DataFrame, n: int, weights: Mapping[str, float], id_column: str, max_profile_bytes: int = 8 << 20,
+) -> DataFrame:
+    """The best ``n`` matching rows of every user in every task, so users x n rows leave a task and no pair is listed.
 
-    Each row finds the phrases and tokens it contains by itself; the pairs then come
-    from an equi-join on phrase or token.  The phrase dictionary is shipped to the tasks
-    only if it stays below ``max_phrase_bytes``; larger ones are joined by character
-    triples (:func:`phrase_hits_by_triples`), with the same result.
+    Profiles are handed to the tasks in blocks of about ``max_profile_bytes``, measured first; each block is a pass
+    over the rows.  A task finds the phrases and tokens that its rows contain and counts them per user.
     """
     users = profiles.select(
         "user_id",
         F.transform("terms", lambda t: F.lower(t)).alias("phrases"),
         tokens(F.array_join("terms", " ")).alias("tokens"),
     )
-    phrases = users.select("user_id", F.explode("phrases").alias("key"))
-    words = users.select("user_id", F.explode("tokens").alias("key"))
-    dictionary = phrase_list(phrases, "key", max_phrase_bytes)
-    base = rows.select(F.col(id_column), row_text(rows).alias("_text"))
-    if dictionary is None:
-        phrase_hits = phrase_hits_by_triples(base, phrases, id_column)
-    else:
-        phrase_hits = base.select(id_column, F.explode(substring_hits(F.col("_text"), dictionary)).alias("key"))
-    token_hits = base.select(id_column, F.explode(tokens(F.col("_text"))).alias("key"))
-    hits = phrase_hits.withColumn("kind", F.lit("p")).unionByName(token_hits.withColumn("kind", F.lit("t")))
-    terms = phrases.withColumn("kind", F.lit("p")).unionByName(words.withColumn("kind", F.lit("t")))
-    sizes = users.select("user_id", F.size("phrases").alias("np"), F.size("tokens").alias("nt"))
-    counted = (
-        hits.join(terms, ["kind", "key"])
-        .groupBy("user_id", id_column)
-        .agg(F.count_if(F.col("kind") == "p").alias("p"), F.count_if(F.col("kind") == "t").alias("t"))
-    )
-    score = F.lit(0.7) * (F.col("p") / F.greatest("np", F.lit(1))) + F.lit(0.3) * (F.col("t") / F.greatest("nt", F.lit(1)))
-    return counted.join(sizes, "user_id").select(
-        "user_id", id_column, F.least(F.lit(1.0), score).alias("profile_match_score")
-    )
-
-
-def phrase_hits_by_triples(base: DataFrame, phrases: DataFrame, id_column: str) -> DataFrame:
-    """(row, phrase) for every phrase that is a substring of the row's ``_text``, by equi-join.
-
-    A phrase is filed under its first three characters (or under itself if it is
-    shorter); a row is probed with its distinct pieces of one to three characters, and
-    the match is verified on the text.
-    """
-    filed = phrases.select("key").where("key <> ''").distinct().withColumn("_piece", F.substring("key", 1, 3))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)))
-    pieces = F.array_distinct(F.flatten(F.transform(
-        starts, lambda i: F.array(*[F.substring(F.col("_text"), i, F.lit(w)) for w in (1, 2, 3)])
-    )))
-    return (
-        base.withColumn("_piece", F.explode(pieces))
-        .join(filed, "_piece")
-        .where(F.contains("_text", "key"))
-        .select(id_column, "key")
-        .distinct()
-    )
+    size = users.agg(F.sum(F.octet_length(F.array_join("phrases", "")) + F.size("phrases") * 16 + 64)).first()[0] or 0
+    blocks = max(1, -(-size // max_profile_bytes))
+    texts = rows.select(F.col(id_column).cast("string").alias("id"), row_text(rows).alias("text"), *_PARTS)
+    found = None
+    for block in range(blocks):
+        part = users if blocks == 1 else users.where(F.pmod(F.xxhash64("user_id"), F.lit(blocks)) == block)
+        shipped = rows.sparkSession.sparkContext.broadcast([tuple(r) for r in part.collect()])
+        partial = texts.mapInArrow(_matcher(shipped, n, dict(weights)), "user_id string, id string, profile_match_score double, " + ", ".join(f"{p} double" for p in _PARTS))
+        found = partial if found is None else found.unionByName(partial)
+    return found.withColumnRenamed("id", id_column)
+
+
+def _matcher(shipped, n: int, weights: dict[str, float]):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = _BestMatches(shipped.value, n, weights)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                task.add(batch.slice(start, 1000))
+        yield task.batch()
+
+    return scan
+
+
+class _BestMatches:
+    """The best ``n`` matches per user among the rows seen so far."""
+
+    def __init__(self, users: list[tuple], n: int, weights: dict[str, float]):
+        self.names, self.n, self.weights = [u[0] for u in users], n, weights
+        self.sizes = np.array([[max(1, len(u[1])), max(1, len(u[2]))] for u in users], float).reshape(len(users), 2)
+        self.phrases, self.tokens = _owners([u[1] for u in users]), _owners([u[2] for u in users])
+        self.kept = {"user": np.zeros(0, int), "id": np.zeros(0, "U1"), "total": np.zeros(0), "score": np.zeros(0), **{p: np.zeros(0) for p in _PARTS}}
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        in_text = [[owners for phrase, owners in self.phrases.items() if phrase in t] for t in texts]
+        in_words = [[self.tokens[w] for w in set(_TOKEN.findall(t)) if w in self.tokens] for t in texts]
+        counts = []
+        for hits in (in_text, in_words):
+            users = [np.concatenate(h) for h in hits if h]
+            at = np.repeat(np.arange(len(hits)), [sum(map(len, h)) for h in hits])
+            counts.append((np.concatenate(users) if users else np.zeros(0, int)) * len(texts) + at)
+        code, place = np.unique(np.concatenate(counts), return_inverse=True)
+        p = np.bincount(place[:len(counts[0])], minlength=len(code))
+        t = np.bincount(place[len(counts[0]):], minlength=len(code))
+        user, row = np.divmod(code, max(1, len(texts)))
+        score = np.minimum(1.0, 0.7 * (p / self.sizes[user, 0]) + 0.3 * (t / self.sizes[user, 1]))
+        parts = {name: batch.column(name).to_numpy(zero_copy_only=False)[row] for name in _PARTS}
+        w = self.weights
+        total = w["match"] * score + w["quality"] * parts["quality_score"] + w["freshness"] * parts["freshness_score"] + w["effort"] * parts["effort_score_normalized"]
+        ids = np.array([str(i) for i in batch.column("id").to_pylist()] or [""])[row]
+        new = {"user": user, "id": ids, "total": total, "score": score, **parts}
+        merged = {k: np.concatenate([v, new[k]]) for k, v in self.kept.items()}
+        order = np.lexsort((merged["id"], -merged["total"], merged["user"]))
+        sorted_users = merged["user"][order]
+        first = np.arange(len(order)) - np.searchsorted(sorted_users, sorted_users) < self.n
+        self.kept = {k: v[order][first] for k, v in merged.items()}
+
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({
+            "user_id": [self.names[u] for u in self.kept["user"]], "id": self.kept["id"].tolist(), "profile_match_score": self.kept["score"],
+            **{p: self.kept[p] for p in _PARTS},
+        }, schema=pa.schema([("user_id", pa.string()), ("id", pa.string()), *((c, pa.float64()) for c in ("profile_match_score", *_PARTS))]))
+
+
+def _owners(lists: list[list[str]]) -> dict[str, np.ndarray]:
+    """The users of each key, once per occurrence; the empty text is no key."""
+    found: dict[str, list[int]] = {}
+    for user, keys in enumerate(lists):
+        for key in keys:
+            if key:
+                found.setdefault(key, []).append(user)
+    return {k: np.array(v) for k, v in found.items()}
 
 
 def keyword_rank(
@@ -145,8 +188,8 @@ def keyword_rank(
 
     A row that matches nothing scores the same for every user.  If such a row is among a
     user's best ``n``, it is among the best ``n`` by that common part, because every row
-    ahead of it there is ahead of it for the user too.  So the matched pairs and the
-    global best ``n`` give the exact result.
+    ahead of it there is ahead of it for the user too.  So the best ``n`` matches of each
+    task and the global best ``n`` give the exact result.  Ids are compared as text.
     """
     scored = with_row_scores(rows).withColumn(
         "_base",
@@ -154,7 +197,7 @@ def keyword_rank(
         + F.lit(weights["freshness"]) * F.col("freshness_score")
         + F.lit(weights["effort"]) * F.col("effort_score_normalized"),
     )
-    parts = ["quality_score", "freshness_score", "effort_score_normalized"]
+    parts = list(_PARTS)
     facts = scored.select(id_column, "_base", *parts)
     common = facts.orderBy(F.desc("_base"), F.asc(id_column)).limit(n)
     users = profiles.select("user_id")
@@ -166,7 +209,7 @@ def keyword_rank(
         .select("user_id", "_row.*")
         .withColumn("profile_match_score", F.lit(0.0))
     )
-    matched = keyword_match(rows, profiles, id_column).join(facts, id_column)
+    matched = _best_matches(scored, profiles, n, weights, id_column)
     pairs = matched.unionByName(fallback, allowMissingColumns=True)
     # A pair from both sides keeps its match; scores follow the published order of terms.
     pairs = pairs.groupBy("user_id", id_column).agg(

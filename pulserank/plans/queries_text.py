@@ -148,9 +148,10 @@ def _users(spark, sf):
     return materialise(A.terms(A.profiles(spark, sf)), "profiles")
 
 
-@query("keyword_match", f"WITH {KEYWORD} SELECT user_id, id, round(m, 6) AS profile_match_score FROM kmatch WHERE m > 0")
+@query("keyword_match", f"""WITH {KEYWORD} SELECT user_id, id, round(m, 6) AS profile_match_score FROM kmatch WHERE m > 0
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY m DESC, id) <= 50""")
 def keyword_match(spark, sf):
-    found = keyword.keyword_match(_rows(spark, sf), _users(spark, sf))
+    found = keyword.keyword_match(_rows(spark, sf), _users(spark, sf), 50)
     return found.select("user_id", "id", r6("profile_match_score"))
 
 

@@ -92,8 +92,10 @@ def test_phrase_triples_equal_scan(spark):
 def test_keyword_paths_agree(spark):
     rows = spark.createDataFrame([(str(i), f"title {w}", w) for i, w in enumerate(("spark sql", "rust", "spark", "pandas sql"))], "id string, title string, text string")
     users = spark.createDataFrame([("u", ["spark", "sql"]), ("v", ["pandas"]), ("w", ["nothing"])], "user_id string, terms array<string>")
-    pairs = lambda **o: sorted((r["user_id"], r["id"], round(r["profile_match_score"], 9)) for r in keyword.keyword_match(rows, users, **o).collect())
-    assert pairs() == pairs(max_phrase_bytes=0)
+    pairs = lambda **o: sorted((r["user_id"], r["id"], round(r["profile_match_score"], 9)) for r in keyword.keyword_match(rows, users, 9, **o).collect())
+    assert pairs() == pairs(max_profile_bytes=70) == [("u", "0", 1.0), ("u", "2", 0.5), ("u", "3", 0.5), ("v", "3", 1.0)]
+    scored = keyword.with_row_scores(rows.union(rows.withColumn("id", F.concat("id", F.lit("x")))))
+    assert keyword._best_matches(scored.coalesce(2), users, 1, K.KEYWORD_WEIGHTS, "id").count() <= 2 * 2  # users x n of each task
     best = keyword.keyword_rank(rows, users, 2)
     assert best.groupBy("user_id").count().where("count = 2").count() == 3
 
