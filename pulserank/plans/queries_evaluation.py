@@ -13,6 +13,7 @@ from pulserank.plans.catalog import query, r6
 from pulserank.plans.queries_ranking import scored
 from pulserank.plans.queries_retrieval import candidates
 from pulserank.plans.queries_text import PREFERENCES_SQL
+from pulserank.session import materialise
 
 _INTERACTION = """CASE WHEN quality = 1 AND toxic = 0 THEN 'engaged' WHEN quality = 1 THEN 'bookmarked' WHEN toxic = 0 THEN 'clicked' ELSE 'skipped' END"""
 _GRADE = O.case("interaction", {k: str(v) for k, v in K.RELEVANCE.items()}, "NULL")
@@ -151,5 +152,5 @@ def relevance(spark, sf):
 a AS ({ndcg_sql('top', 'user_id', 'rel', 'reranked_score', 10)}), b AS ({ndcg_sql('pool', 'user_id', 'rel', 'final_score', 10)})
 SELECT a.user_id, round(a.ndcg, 6) AS ndcg_at_k, round(b.ndcg, 6) AS ndcg_at_k_before FROM a JOIN b USING (user_id)""")
 def list_quality(spark, sf):
-    out = R.list_quality(candidates(spark, sf), A.REFERENCE_TS, method="simple", top_n=25)
+    out = R.list_quality(materialise(candidates(spark, sf), "candidates"), A.REFERENCE_TS, method="simple", top_n=25)
     return out.select("user_id", r6("ndcg_at_k"), r6("ndcg_at_k_before"))

@@ -8,6 +8,7 @@ from pulserank.operators.shaping import page_label, topic_label
 from pulserank.plans import adapters as A, oracle_parts as O, recommend as R
 from pulserank.plans.catalog import listed, query, r6
 from pulserank.plans.queries_retrieval import candidates
+from pulserank.session import materialise
 
 KEYS = ["user_id", "opportunity_id"]
 
@@ -135,10 +136,10 @@ def weekly_brief(spark, sf):
     return explain.brief(board(spark, sf)).withColumn("reranked_score", r6("reranked_score"))
 
 
-def skips(spark, sf):
+def skips(shown):
     """Feedback on the ranked rows themselves: the action of each row's source."""
     action = F.when(F.col("source").isin("github", "newsletter"), "skip").otherwise("engage")
-    return board(spark, sf).select("user_id", "id", "domain", action.alias("action"))
+    return shown.select("user_id", "id", "domain", action.alias("action"))
 
 
 @query("skip_penalty", f"""WITH {_TOPIC_ROWS}, fb AS (SELECT user_id, id, domain, CASE WHEN source IN ('github', 'newsletter') THEN 'skip' ELSE 'engage' END AS action FROM board),
@@ -148,5 +149,6 @@ low AS (SELECT b.user_id, b.id, b.rank AS before, b.reranked_score - (CASE WHEN
   FROM board b LEFT JOIN skipped s ON s.user_id = b.user_id AND s.id = b.id LEFT JOIN doms ON doms.user_id = b.user_id AND d = lower(b.domain))
 SELECT user_id, id, round(s, 6) AS reranked_score, row_number() OVER (PARTITION BY user_id ORDER BY s DESC, before) AS rank FROM low""")
 def skip_penalty(spark, sf):
-    rows = ranking.skip_penalty(board(spark, sf), skips(spark, sf))
+    shown = materialise(board(spark, sf), "board")
+    rows = ranking.skip_penalty(shown, skips(shown))
     return rows.select("user_id", "id", r6("reranked_score"), "rank")

@@ -10,6 +10,8 @@ from pulserank.operators.quality import report, vector_rules
 from pulserank.plans import adapters as A, oracle_parts as O, recommend as R
 from pulserank.plans.catalog import query, r6
 from pulserank.plans.queries_snapshot import _snapshot
+from pulserank.session import materialise, scratch_path
+from pulserank.sources import files, sinks
 
 _VECTORS = O.ITEMS + "," + O.USERS + "," + O.PAIRS
 _TOP = f"WITH {_VECTORS}, {O.knn(A.TOP_K)} SELECT user_id, opportunity_id, retrieval_rank, round(distance, 6) AS retrieval_distance FROM knn"
@@ -99,6 +101,19 @@ def candidates(spark, sf):
     return R.candidates(A.users(spark, sf), A.items(spark, sf), _snapshot(spark, sf), A.TOP_K)
 
 
+@query("candidate_files", f"WITH {O.CAND} SELECT user_id, opportunity_id, CAST(retrieval_rank AS BIGINT) AS retrieval_rank, round(retrieval_distance, 6) AS retrieval_distance, title, url FROM cand")
+def candidate_files(spark, sf):
+    """Candidates written as CSV and Parquet and read again, one half from each."""
+    rows = materialise(candidates(spark, sf).select("user_id", "opportunity_id", "retrieval_rank", "retrieval_distance", "title", "url"), "candidates")
+    paths = {kind: f"{scratch_path(spark, 'candidate-files')}.{kind}" for kind in ("csv", "parquet")}
+    odd = F.col("retrieval_rank") % 2 == 1
+    sinks.write_csv(rows.where(odd), paths["csv"])
+    rows.where(~odd).write.parquet(paths["parquet"])
+    both = [files.candidates(spark, path) for path in paths.values()]
+    shown = [df.select("user_id", "opportunity_id", F.col("retrieval_rank").cast("bigint"), r6("retrieval_distance"), "title", "url") for df in both]
+    return shown[0].unionByName(shown[1])
+
+
 @query("lsh_recall")
 def lsh_recall(spark, sf):
     """Recall of the approximate search against the exact one; depends on the projections, so it has no SQL twin."""

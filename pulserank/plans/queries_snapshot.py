@@ -9,6 +9,7 @@ from pulserank.operators.quality import report, snapshot_rules
 from pulserank.operators.shaping import standardize
 from pulserank.plans import adapters as A, oracle_parts as O, snapshot as S
 from pulserank.plans.catalog import query
+from pulserank.session import materialise
 
 _FEED_STD = O.FEED + f""",
 fstd AS (
@@ -97,5 +98,5 @@ SELECT 'standardised' AS stage, count(*) AS rows FROM std UNION ALL
 SELECT 'after_source_id', count(*) FROM best_1 UNION ALL SELECT 'after_url', count(*) FROM best""")
 def stage_counts(spark, sf):
     raw = standardize(A.opportunities(spark, sf).select(*K.RAW_COLUMNS[:-1]))
-    first = dedup.dedup_source_id(raw)
+    first = materialise(dedup.dedup_source_id(raw), "after-source-id")
     return analytics.stage_counts({"standardised": raw, "after_source_id": first, "after_url": dedup.dedup_url(first)})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pulserank.functions import constants as K
 from pulserank.operators import encode as C, sampling
 from pulserank.operators.analytics import quota_attainment
-from pulserank.operators.quality import archive_rules, report
+from pulserank.operators.quality import archive_rules, hit_rules, report
 from pulserank.operators.shaping import standardize
 from pulserank.plans import adapters as A, oracle_parts as O
 from pulserank.plans.catalog import query, r6
@@ -209,6 +209,22 @@ def search_hits(spark, sf):
     return H.search_records(H.read_hits(spark, pages), _RECENT).drop("external_url")
 
 
+@query("hit_checks", f"""WITH {_HITS}, shown AS (SELECT *, CASE WHEN event_id % 50 = 7 THEN 'elsewhere' ELSE source END AS s, CASE WHEN event_id % 40 = 3 THEN NULL ELSE url END AS u, CASE WHEN event_id % 60 = 11 THEN 'soon' ELSE created_utc END AS c FROM hit)
+SELECT 'wrong_source' AS rule, count(*) FILTER (s <> 'hackernews') AS violations FROM shown UNION ALL SELECT 'missing_id', 0 UNION ALL
+SELECT 'missing_text_field', count(*) FILTER (u IS NULL) FROM shown UNION ALL SELECT 'empty_title', count(*) FILTER (title = '') FROM shown UNION ALL
+SELECT 'wrong_url', count(*) FILTER (u IS NULL) FROM shown UNION ALL SELECT 'missing_count', 0 UNION ALL
+SELECT 'bad_time', count(*) FILTER (c = 'soon') FROM shown""")
+def hit_checks(spark, sf):
+    """Search records, some of them broken on purpose."""
+    pages, _ = _hit_files(spark, sf)
+    rows, number = H.search_records(H.read_hits(spark, pages), _RECENT), F.col("id").cast("bigint")
+    broken = rows.withColumns({
+        "source": F.when(number % 50 == 7, "elsewhere").otherwise(F.col("source")), "url": F.when(number % 40 != 3, F.col("url")),
+        "created_utc": F.when(number % 60 == 11, "soon").otherwise(F.col("created_utc")),
+    })
+    return report(broken, hit_rules())
+
+
 @query("hits_items_join", f"""WITH {_HITS}
 SELECT id, hit.source, {O.strip("CASE WHEN k % 3 = 0 THEN 'Item ' || title ELSE title END")} AS title, {O.strip('d.text')} AS text, url,
   CASE WHEN k % 4 = 0 THEN score ELSE raw + 1 END AS score, CASE WHEN k % 8 = 0 THEN num_comments ELSE k + 1 END AS num_comments,

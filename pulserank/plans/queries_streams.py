@@ -3,7 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pulserank.operators import analytics
 from pulserank.operators.dedup import keep_best
+from pulserank.operators.shaping import analytics_view
 from pulserank.plans import adapters as A, oracle_parts as O
 from pulserank.plans.catalog import query
 from pulserank.plans.queries_feedback import FOLD, vector_view
@@ -67,6 +69,36 @@ def stream_volume(spark, sf):
     return closed.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "events")
 
 
+def landed(spark, sf):
+    """The feed as landed JSON files, read two files a micro-batch."""
+    path = scratch_path(spark, "landed")
+    A.feed(spark, sf).select(
+        F.col("event_id").cast("string").alias("event_id"), "source", "title", "url", "score", "num_comments",
+        F.when(F.col("url") == "", "").otherwise(F.regexp_extract("url", "//([^/]*)", 1)).alias("domain"),
+        (F.unix_micros("created_utc") / 1_000_000).alias("ingested_at"),
+    ).repartition(6, "event_id").write.json(path)
+    return feed.read_feed(spark, path, max_files=2).withColumnRenamed("ingested_at", "created_utc")
+
+
+def current(report, name):
+    """The report after the whole feed."""
+    spark = report.sparkSession
+    path = scratch_path(spark, name)
+    feed.publish(report, path, f"{path}-checkpoint").awaitTermination()
+    return spark.read.schema(report.schema).parquet(path)
+
+
+@query("stream_live_daily", f"WITH {O.FEED} SELECT CAST(CAST(created_utc AS DATE) AS VARCHAR) AS day, count(*) AS count FROM feed GROUP BY 1")
+def stream_live_daily(spark, sf):
+    return current(analytics.daily_volume(analytics_view(landed(spark, sf))), "daily").withColumn("day", F.col("day").cast("string"))
+
+
+@query("stream_live_communities", f"""WITH {O.FEED} SELECT source || '::' || CASE WHEN url = '' THEN 'unknown' ELSE regexp_extract(url, '//([^/]*)', 1) END AS community, count(*) AS post_count
+FROM feed GROUP BY 1""")
+def stream_live_communities(spark, sf):
+    return current(analytics.active_communities(analytics_view(landed(spark, sf))), "communities")
+
+
 @query("stream_feedback", f"WITH {FOLD} SELECT user_id, events, round(e[1], 6) AS first, round(list_sum(e), 6) AS total, round(list_inner_product(e, e), 6) AS square FROM folded WHERE events > 0")
 def stream_feedback(spark, sf):
     """The change log of the user vectors, reduced to the latest vector of every user."""

@@ -66,6 +66,20 @@ def append(df: DataFrame, path: str, checkpoint: str, fmt: str = "json", availab
     return writer.start()
 
 
+def publish(df: DataFrame, path: str, checkpoint: str, available_now: bool = True, every: str = "10 seconds") -> StreamingQuery:
+    """Keep ``path`` at the current rows of a report over a stream: every micro-batch rewrites the (small) result.
+
+    ``df`` aggregates the whole feed, as the reports of ``operators.analytics`` do; its groups are the state.
+    """
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = df.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
+    return writer.start()
+
+
 class FeedCounts(StreamingQueryListener):
     """Rows read, stored, dropped as duplicates and dropped as late, summed over all micro-batches of a feed.
 
