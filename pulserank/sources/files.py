@@ -49,7 +49,7 @@ def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
 def files_by_header_line(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
     """The files by their first line. Rows of a split keep their order, so it is the first row of the split at 0."""
     lines = spark.read.text(files).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("row")
+        F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("row")
     )
     first = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "row").alias("line"))
     found: dict[str, list[str]] = {}

@@ -82,13 +82,6 @@ def test_automaton_equals_expression(spark):
     assert values(classify.topic_votes(rows, vocab), "topic_category") == ["First", "Second"]
 
 
-def test_phrase_triples_equal_scan(spark):
-    rows = spark.createDataFrame([("1", "abcd ef"), ("2", "bcd"), ("3", "")], "id string, _text string")
-    phrases = spark.createDataFrame([("bcd",), ("a",), ("ef",), ("abcd e",), ("zz",)], "key string")
-    got = {(r["id"], r["key"]) for r in keyword.phrase_hits_by_triples(rows, phrases, "id").collect()}
-    assert got == {("1", "bcd"), ("1", "a"), ("1", "ef"), ("1", "abcd e"), ("2", "bcd")}
-
-
 def test_keyword_paths_agree(spark):
     rows = spark.createDataFrame([(str(i), f"title {w}", w) for i, w in enumerate(("spark sql", "rust", "spark", "pandas sql"))], "id string, title string, text string")
     users = spark.createDataFrame([("u", ["spark", "sql"]), ("v", ["pandas"]), ("w", ["nothing"])], "user_id string, terms array<string>")
@@ -136,7 +129,7 @@ def test_profile_terms(spark):
     }
     df = spark.read.json(spark.sparkContext.parallelize([json.dumps(profile)]))
     row = profiles.profile_terms(df).first()
-    assert row["terms"] == ["RAG", "Spark", "python", "SQL", "Kafka", "t0", "D"] + [f"t{i}" for i in range(1, 20)] + ["one", "two"]
+    assert row["terms"] == ["RAG", "Spark", "python", "SQL", "Kafka", "t0", "D"] + [f"t{i}" for i in range(1, 21)] + ["one", "two"]
     assert row["encoding_text"].split("\n")[0] == "RAG"
 
 
@@ -180,8 +173,10 @@ def test_trending_terms(spark):
 def test_payload_depth(spark):
     nested = {"a": {"b": {"c": {"d": {"e": {"f": "in", "g": {"h": "out"}}}}}}, "sha": "no", "list": ["x"] * 60, "n": 1}
     events = spark.createDataFrame([(json.dumps(nested),)], "j string").select(F.try_parse_json("j").alias("payload"))
-    leaves = archive.payload_strings(events).first()["payload_strings"]
+    leaves = archive.payload_strings(events, depth=6, items=50).first()["payload_strings"]
     assert leaves.count("x") == 50 and "in" in leaves and "out" not in leaves and "no" not in leaves
+    leaves = archive.payload_strings(events).first()["payload_strings"]
+    assert leaves.count("x") == 60 and "in" in leaves and "out" in leaves and "no" not in leaves
 
 
 def test_archive_lines(spark):
