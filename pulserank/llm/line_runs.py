@@ -65,10 +65,18 @@ class LineRuns:
 
 
 def _merged(runs: list[DataFrame]) -> DataFrame:
-    rows = runs[0]
-    for run in runs[1:]:
-        rows = rows.unionByName(run)
-    return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+    """Runs merged pair by pair: a full outer merge join, as both sides are bucketed and sorted by the key.
+
+    Not a union and an aggregate: Spark 4.1 takes a union of bucketed tables for partitioned by their buckets and
+    leaves out the shuffle, then reads the tables without buckets, so a key can keep several rows.
+    """
+    rows, *others = runs
+    for run in others:
+        run = run.select(*KEYS, F.col("n_docs").alias("n2"), F.col("keeper").alias("k2"))
+        rows = rows.join(run.hint("merge"), KEYS, "full").select(
+            *KEYS, (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n_docs"), F.greatest("keeper", "k2").alias("keeper")
+        )
+    return rows
 
 
 def line_key(line: Column) -> Column:
@@ -129,7 +137,8 @@ def dedup_lines(
     store = LineRuns(spark, fanout=fanout)
     for batch in batches(found, batch_count):
         store.add(batch)
-    repeated = store.merged().where(F.col("n_docs") >= min_docs).select(*KEYS, "keeper")
+    # a table of its own: joined from there, a line with a third of all rows can be split, or the few keys sent to the rows
+    repeated = materialise(store.merged().where(F.col("n_docs") >= min_docs).select(*KEYS, "keeper"), "repeated-lines")
     drops = (
         found.join(repeated, KEYS).where(F.col("doc_id") != F.col("keeper"))
         .groupBy(F.col("doc_id").alias("__drop_id"), F.col("text_hash").alias("__drop_hash")).agg(F.collect_list("pos").alias("__drop"))
