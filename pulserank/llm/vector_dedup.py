@@ -91,7 +91,8 @@ def _tiles(rows: DataFrame, block_rows: int) -> DataFrame:
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(names[1]),
         )
 
-    return side(0, "nq", "nt", ("qb", "tb")).unionByName(side(1, "nt", "nq", ("tb", "qb")))
+    # by tile: both sides are partitioned by (label, cell), which would keep a large cell's tiles in one task
+    return side(0, "nq", "nt", ("qb", "tb")).unionByName(side(1, "nt", "nq", ("tb", "qb"))).repartition(*group, "qb", "tb")
 
 
 def _tile_links(table: pa.Table, cosine: float) -> pa.Table:
