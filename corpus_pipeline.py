@@ -55,8 +55,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the token ids and of the decoded text."""
-    ids = bpe_automaton.encode(docs.select("doc_id", "text")).select("doc_id", "ids")
-    return bpe_automaton.digests(bpe_automaton.decode(ids))
+    return bpe_automaton.digests(bpe_automaton.round_trip(docs.select("doc_id", "text")))
 
 
 STAGES = [

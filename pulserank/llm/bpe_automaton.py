@@ -29,6 +29,8 @@ from pulserank.llm.common import column_free, pieces
 #: Fixed: the pattern by which the byte-level vocabulary splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 START = -1
+#: Chunks of text whose tokens a worker remembers, in each of two generations, and arcs in its transition table.
+CHUNKS, ARCS = 120_000, 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -58,16 +60,13 @@ class Automaton:
             u, v = pair if isinstance(pair, list) else pair.split(" ")
             self._gadget(time, vocabulary[u], vocabulary[v], vocabulary[u + v])
         self.longest = max(map(len, self.tokens), default=0)
-        self.step: dict[int, int] = {}
-        self.accept = array("i", [-1])
+        self.sizes = array("i", [len(self.labels.get(i, b"")) for i in range(size)])
+        self.spelling: dict = {}  # a trie of the labels: byte -> node, -1 -> the label that ends there
         for label, state in self.tokens.items():
-            node = 0
+            node = self.spelling
             for byte in label:
-                key = node << 8 | byte
-                node = self.step.setdefault(key, len(self.accept))
-                if node == len(self.accept):
-                    self.accept.append(-1)
-            self.accept[node] = state
+                node = node.setdefault(byte, {})
+            node[-1] = state
 
     def _add(self, label: bytes, state: int) -> None:
         self.tokens[label] = state
@@ -99,48 +98,47 @@ class Automaton:
             found = self.table[key] = self._resolve(state, label)
         return found
 
-    def _labels_at(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """(end, label) of the labels that spell the word from ``at``, shortest first."""
-        found, node, end, step, accept = [], 0, at, self.step, self.accept
-        for byte in word[at:at + self.longest]:
-            node = step.get(node << 8 | byte)
-            if node is None:
-                break
-            end += 1
-            if accept[node] >= 0:
-                found.append((end, accept[node]))
-        return found
-
     def encode(self, word: bytes) -> list[int]:
         """The labels of the only path that spells ``word``: longest label first, with steps back.
 
         The states of a path are fixed by the position they are at, so an end that fails once fails always.
         """
-        arc, n = self.arc, len(word)
+        table, sizes, n = self.table, self.sizes, len(word)
         path, choices, failed, state = [], [], set(), START
         at = 0
         while at < n:
             if len(choices) == len(path):
-                choices.append(self._labels_at(word, at))
+                options, node = [], self.spelling  # the labels that spell the word from here, shortest first
+                for byte in word[at:at + self.longest]:
+                    node = node.get(byte)
+                    if node is None:
+                        break
+                    label = node.get(-1)
+                    if label is not None:
+                        options.append(label)
+                choices.append(options)
             options = choices[-1]
             while options:
-                end, label = options.pop()
-                if end not in failed and (state == START or arc(state, label)):
-                    path.append(label)
-                    at, state = end, label
-                    break
+                label = options.pop()
+                if state != START:
+                    has = table.get(state << 32 | label)
+                    if not (self.arc(state, label) if has is None else has):
+                        continue
+                if failed and at + sizes[label] in failed:
+                    continue
+                path.append(label)
+                at += sizes[label]
+                state = label
+                break
             else:
                 if not path:
                     raise ValueError("a byte of the text is not in the vocabulary")
                 failed.add(at)
                 choices.pop()
-                at -= len(self.labels[path.pop()])
+                at -= sizes[path.pop()]
                 state = path[-1] if path else START
         return path
 
-    def decode(self, ids) -> str:
-        return b"".join([self.labels[i] for i in ids]).decode("utf-8", "replace")
-
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Automaton:
@@ -151,6 +149,21 @@ def load(path: str) -> Automaton:
     return Automaton(model["vocab"], model["merges"], {a["content"]: a["id"] for a in parts["added_tokens"]})
 
 
+@lru_cache(maxsize=4)
+def arc_labels(path: str) -> dict[int, bytes]:
+    """What each token id emits; special tokens emit their own string."""
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    letters = byte_letters()
+    labels = {i: bytes(letters[c] for c in s) for s, i in parts["model"]["vocab"].items()}
+    return labels | {a["id"]: a["content"].encode() for a in parts["added_tokens"]}
+
+
+def emit(labels: dict[int, bytes], ids) -> str:
+    """The text that the labels of a path spell."""
+    return b"".join([labels[i] for i in ids]).decode("utf-8", "replace")
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -184,17 +197,17 @@ class Encoder:
     before such a character is the chunks between its spaces, each with its space; other texts are one chunk.
     """
 
-    def __init__(self, automaton: Automaton, chunks: int = 300_000, pattern: str = PATTERN):
+    def __init__(self, automaton: Automaton, chunks: int = CHUNKS, pattern: str = PATTERN):
         self.automaton = automaton
         self.split = regex.compile(pattern).findall
         self.odd_space = regex.compile(r" (?:\s|$)").search
         marks = sorted(automaton.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
-        self.spelled = _Spelled(lambda chunk: self._spell(" " + chunk), chunks)
+        self.spelled = _Spelled(lambda chunk: self.words[" " + chunk] if chunk.isalpha() else self._spell(" " + chunk), chunks)
         self.words = _Spelled(self._word, chunks // 2)
 
     def _word(self, word: str) -> bytes:
-        if len(self.automaton.table) > 4_000_000:
+        if len(self.automaton.table) > ARCS:
             self.automaton.table.clear()
         return array("i", self.automaton.encode(word.encode("utf-8", "replace"))).tobytes()
 
@@ -222,27 +235,37 @@ def encoder(path: str, chunks: int) -> Encoder:
     return Encoder(load(path), chunks)
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, chunks: int = 300_000) -> DataFrame:
+def _encoded(rows: Iterator[pa.RecordBatch], text: str, name: str, path: str, chunks: int) -> Iterator[pa.RecordBatch]:
+    spell = encoder(path, chunks)
+    for part in pieces(rows, text, 4 << 20):
+        packed = [spell(value) for value in part.column(text).to_pylist()]
+        ends = array("i", [0])
+        for ids in packed:
+            ends.append(ends[-1] + len(ids) // 4)
+        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(packed))])
+        lists = pa.ListArray.from_arrays(pa.array(memoryview(ends), pa.int32()), values)
+        yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, name])
+
+
+def _decoded(rows: Iterator[pa.RecordBatch], ids: str, name: str, path: str) -> Iterator[pa.RecordBatch]:
+    labels = arc_labels(path)
+    for part in pieces(rows, ids, 4 << 20):
+        texts = [emit(labels, v.values.to_numpy(zero_copy_only=False).tolist() if v.is_valid else ()) for v in part.column(ids)]
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, name])
+
+
+_IDS, _DECODED = T.ArrayType(T.IntegerType()), T.StringType()
+
+
+def encode(docs: DataFrame, text: str = "text", path: str | None = None, chunks: int = CHUNKS) -> DataFrame:
     """``docs`` with ``ids`` (array of int): the tokens of each whole text.
 
     Null and empty texts have no tokens. The strings of special tokens in a text are those tokens.
     If ``docs`` has a column of that name the new one starts with an underscore. Other columns pass.
     """
-    path = path or default_path()
-    name = column_free(docs, "ids")
-
-    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = encoder(path, chunks)
-        for part in pieces(rows, text, 4 << 20):
-            packed = [spell(value) for value in part.column(text).to_pylist()]
-            ends = array("i", [0])
-            for ids in packed:
-                ends.append(ends[-1] + len(ids) // 4)
-            values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(packed))])
-            lists = pa.ListArray.from_arrays(pa.array(memoryview(ends), pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, name])
-
-    return docs.mapInArrow(batches, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]))
+    path, name = path or default_path(), column_free(docs, "ids")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, _IDS)])
+    return docs.mapInArrow(lambda rows: _encoded(rows, text, name, path, chunks), schema)
 
 
 def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -250,16 +273,25 @@ def decode(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataFr
 
     Bytes that are no UTF-8 become U+FFFD. A clash of names is solved as in :func:`encode`.
     """
+    path, name = path or default_path(), column_free(rows, "decoded")
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, _DECODED)])
+    return rows.mapInArrow(lambda parts: _decoded(parts, ids, name, path), schema)
+
+
+def round_trip(docs: DataFrame, text: str = "text", path: str | None = None, chunks: int = CHUNKS) -> DataFrame:
+    """``docs`` without ``text``, with the ``ids`` of :func:`encode` and the text that :func:`decode` makes of them.
+
+    Both steps in one Python process: a task needs one worker's memory and ids cross to the JVM once.
+    """
     path = path or default_path()
-    name = column_free(rows, "decoded")
+    names = [column_free(docs, "ids"), column_free(docs, "decoded")]
+    kept = [f for f in docs.schema.fields if f.name != text]
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = load(path)
-        for part in pieces(parts, ids, 4 << 20):
-            texts = [automaton.decode(v.values.to_numpy(zero_copy_only=False).tolist() if v.is_valid else ()) for v in part.column(ids)]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, name])
+    def both(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _decoded(_encoded(rows, text, names[0], path, chunks), names[0], names[1], path):
+            yield part.select([f.name for f in kept] + names)
 
-    return rows.mapInArrow(batches, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
+    return docs.mapInArrow(both, T.StructType([*kept, T.StructField(names[0], _IDS), T.StructField(names[1], _DECODED)]))
 
 
 def digests(rows: DataFrame) -> DataFrame:

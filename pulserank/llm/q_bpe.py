@@ -1,9 +1,9 @@
 """op8: texts encoded and decoded, as digests."""
 from __future__ import annotations
 
-from pulserank.llm.bpe_automaton import decode, digests, encode
+from pulserank.llm.bpe_automaton import digests, round_trip
 from pulserank.llm.common import read
 
 
 def op8_bpe(spark, sf_dir):
-    return digests(decode(encode(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")))
+    return digests(round_trip(read(spark, sf_dir, "documents").select("doc_id", "text")))

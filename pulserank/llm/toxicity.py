@@ -40,7 +40,7 @@ def terms(chunk: str) -> list[int]:
 class _Terms(dict):
     """The features of chunks; ``limit`` chunks are remembered at most."""
 
-    def __init__(self, places: dict[int, int] | None = None, limit: int = 300_000):
+    def __init__(self, places: dict[int, int] | None = None, limit: int = 150_000):
         super().__init__()
         self.places, self.limit = places, limit
 
@@ -129,7 +129,7 @@ def train(
     ones, zeros = [int(v or 0) for v in chosen.agg(F.sum("__label"), F.sum(1 - F.col("__label"))).first()]
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms()
+        known = _Terms(limit=50_000)
         for part in pieces(batches, "__text", 2 << 20):
             lists = [known.of(t) for t in part.column("__text").to_pylist()]
             flat = np.array([t for r in lists for t in r], np.int64)

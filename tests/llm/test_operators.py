@@ -138,7 +138,10 @@ def test_bpe_is_the_tokenizers_library(spark, docs, none):
         want = library.encode(r.text or "", add_special_tokens=False).ids
         assert r.codes == want and r.ids == "mine"
         assert r.decoded == library.decode(want, skip_special_tokens=False)
-    assert bpe_automaton.encode(none).count() == 0
+    trip = bpe_automaton.round_trip(frame)
+    assert trip.columns == ["doc_id", "ids", "_ids", "decoded"]
+    assert {r.doc_id: (r["_ids"], r.decoded) for r in trip.collect()} == {r.doc_id: (r.codes, r.decoded) for r in rows}
+    assert bpe_automaton.encode(none).count() == 0 and bpe_automaton.round_trip(none).count() == 0
     assert bpe_automaton.decode(spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")).collect()[0].decoded == ""
 
 
