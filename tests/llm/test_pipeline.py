@@ -53,7 +53,7 @@ def test_pipeline(spark, corpus):
         want[i] = (len(ids), brute.sha(",".join(map(str, ids))), brute.sha(t))
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, folder).collect()}
     assert got == want
-    assert 1 in got and 300 not in got and 303 not in got and 305 in got and 306 not in got
+    assert got[302][0] > 0 and got[1][0] == 0 and not {300, 301, 303, 304, 305, 306} & set(got)
 
 
 def test_stages_take_awkward_rows(spark, corpus):
