@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulserank.llm import bpe_automaton, toxicity as tox
 from pulserank.llm.common import materialise, read
 from pulserank.llm.line_runs import dedup_lines
+from pulserank.llm.near_copies import similar_groups
 from pulserank.llm.q_decontaminate import marked
-from pulserank.llm.simhash import near_groups
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: No SQL expresses the stages; tests/llm compares run() with a brute-force version.
@@ -32,9 +32,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each SimHash group. Rows of one id count as one document."""
+    """Keeps the document with the smallest id of each group of near copies: texts linked by a similarity of 0.8 or more.
+
+    Similarity is Jaccard's, over sets of five-word shingles. Rows of one id count as one document.
+    """
     docs = docs.select(*COLUMNS)
-    groups = materialise(near_groups(docs).select("doc_id", "component_id"), "near-groups")
+    groups = materialise(similar_groups(docs), "near-rows")
     losers = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(losers, "doc_id", "left_anti").select(*COLUMNS)
     repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")

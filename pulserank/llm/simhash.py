@@ -32,17 +32,24 @@ LEVELS = 4
 
 def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     """A bit is 1 if it is set in over half of the hashes of the text's word shingles; no words: 0."""
-    tokens = lower_bytes(text).split()
+    return fingerprint_of(shingle_hashes(lower_bytes(text).split(), words, seed))
+
+
+def shingle_hashes(tokens: list[bytes], words: int, seed: int) -> np.ndarray:
+    """The hashes of the runs of ``words`` tokens; fewer tokens are one run, none give no hash."""
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
     size = min(words, len(tokens))
-    ones, total, step = np.zeros(64, np.int64), len(tokens) - size + 1, 1 << 16
     digest = xxhash.xxh64_intdigest
+    shingles = map(b" ".join, zip(*(tokens[i:] for i in range(size))))
+    return np.fromiter((digest(s, seed) for s in shingles), "<u8", len(tokens) - size + 1)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of the hashes; no hashes: 0."""
+    ones, total, step = np.zeros(64, np.int64), len(hashes), 1 << 16
     for start in range(0, total, step):  # long texts in blocks
-        part = tokens[start:start + step + size - 1]
-        shingles = map(b" ".join, zip(*(part[i:] for i in range(size))))
-        hashes = np.fromiter((digest(s, seed) for s in shingles), "<u8", min(step, total - start))
-        ones += _bit_counts(hashes)
+        ones += _bit_counts(hashes[start:start + step])
     return sum(1 << i for i in range(64) if 2 * ones[i] > total)
 
 
@@ -207,7 +214,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rad
     stay repeated. Other columns are not returned. An empty table gives an empty result.
     """
     narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    prints = materialise(fingerprints(narrow).select("doc_id", "fingerprint"), "fingerprints")
+    prints = materialise(fingerprints(narrow, words=words, seed=seed).select("doc_id", "fingerprint"), "fingerprints")
     classes = materialise(prints.groupBy(F.col("fingerprint").alias("value")).agg(F.min("doc_id").alias("first")), "classes")
     nodes = components(near_links(classes.select("value"), radius))
     grouped = classes.join(nodes, classes.value == nodes.node, "left").select("value", F.coalesce("component", "value").alias("component"), "first")
