@@ -5,9 +5,9 @@ feature is whether a term occurs. Besides a weight per term the machine has a ve
 score adds the inner products of all pairs of terms: an insult next to a group's name can weigh more, or a
 quoting verb less, than both alone. The sum over pairs is ((sum v)^2 - sum v^2) / 2, linear in the terms.
 
-The fit is bounded: at most ``train_rows`` labelled rows, those with the smallest hash of their id, and
-``max_features`` terms. Terms are chosen by how far their rate differs between the classes; the hash space is so
-wide that unrelated terms of a long text do not fall on them. Every row is scored.
+The fit is bounded: at most ``train_rows`` labelled rows, those with the smallest hash of their id, and a bucket
+of ``buckets`` for each term, by its hash. A term's own rate in the classes does not decide whether it is fitted, so one that
+says nothing alone can count in a pair; only buckets that fewer than ``min_docs`` of these rows hold are left out. Every row is scored.
 """
 from __future__ import annotations
 
@@ -24,7 +24,9 @@ from pulserank.llm.common import column_free, pieces
 
 PREFIXES = (4, 5, 6)
 TRAIN_ROWS = 20_000
-MAX_FEATURES = 4_000
+BUCKETS = 1 << 20
+#: Small sets are gone through more often, for as many steps of 512 rows.
+LEAST_STEPS = 320
 _WORD = re.compile(r"\w+").findall
 
 
@@ -38,19 +40,18 @@ def terms(chunk: str) -> list[int]:
 
 
 class _Terms(dict):
-    """The features of chunks; ``limit`` chunks are remembered at most."""
+    """The buckets of chunks, or their ``places``; ``limit`` chunks are remembered at most."""
 
-    def __init__(self, places: dict[int, int] | None = None, limit: int = 150_000):
+    def __init__(self, buckets: int, places: dict[int, int] | None = None, limit: int = 150_000):
         super().__init__()
-        self.places, self.limit = places, limit
+        self.buckets, self.places, self.limit = buckets, places, limit
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        found = terms(chunk)
-        if self.places is not None:
-            found = [self.places[t] for t in found if t in self.places]
+        found = {t % self.buckets for t in terms(chunk)}
+        found = tuple(found if self.places is None else {self.places[b] for b in found if b in self.places})
         if len(self) >= self.limit:
             self.clear()
-        self[chunk] = found = tuple(set(found))
+        self[chunk] = found
         return found
 
     def of(self, text: str | None) -> list[int]:
@@ -59,12 +60,13 @@ class _Terms(dict):
 
 @dataclass
 class Machine:
-    """Bias, weights and vectors; ``places`` has the row of each hashed term."""
+    """Bias, and a weight and a vector per fitted bucket; ``places`` has the row of each."""
 
     bias: float
     weights: np.ndarray
     vectors: np.ndarray
     places: dict[int, int]
+    buckets: int = BUCKETS
 
     def score(self, features: list[int]) -> float:
         v = self.vectors[features]
@@ -73,8 +75,12 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit_machine(rows: list[list[int]], labels: np.ndarray, size: int, factors: int = 4, epochs: int = 30, rate: float = 0.05, decay: float = 1e-3, seed: int = 7):
-    """(bias, weights, vectors) by Adam on the logistic loss; rows are lists of features below ``size``."""
+def fit_machine(rows: list[list[int]], labels: np.ndarray, size: int, factors: int = 4, epochs: int = 30, rate: float = 0.05, decay: float = 1e-3, seed: int = 7, scale: np.ndarray | None = None, damp: float = 1e-8):
+    """(bias, weights, vectors) by Adam on the logistic loss; rows are lists of features below ``size``.
+
+    ``scale`` multiplies the steps of each feature, which then shrink to 0 by the last one. ``damp`` is added to the root of the mean
+    square of a slope, so that features of small slopes, the noise of rare terms, move less.
+    """
     rng = np.random.default_rng(seed)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     parts = [np.array([np.log(share / (1 - share))]), np.zeros(size), rng.normal(0, 0.01, (size, factors))]
@@ -82,30 +88,55 @@ def fit_machine(rows: list[list[int]], labels: np.ndarray, size: int, factors: i
         return parts[0][0], parts[1], parts[2]
     means, squares, step = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts], 0
     batch = 512
+    scales = [1.0, 1.0, 1.0] if scale is None else [1.0, scale, scale[:, None]]
+    last = epochs * -(-len(rows) // batch)
+    counts = np.array([len(r) for r in rows])
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for start in range(0, len(order), batch):
             chosen = order[start:start + batch]
-            x = np.zeros((len(chosen), size))
-            for i, r in enumerate(chosen):
-                x[i, rows[r]] = 1
+            flat = np.concatenate([np.asarray(rows[i], np.int64) for i in chosen])
+            owner = np.repeat(np.arange(len(chosen)), counts[chosen])
             bias, weights, vectors = parts
-            sums = x @ vectors
-            z = bias[0] + x @ weights + 0.5 * ((sums ** 2).sum(1) - x @ (vectors ** 2).sum(1))
+
+            def by_row(values: np.ndarray) -> np.ndarray:
+                return np.bincount(owner, values, len(chosen))
+
+            def by_feature(values: np.ndarray) -> np.ndarray:
+                return np.bincount(flat, values[owner], size)
+
+            v = vectors[flat]
+            sums = np.stack([by_row(v[:, k]) for k in range(factors)], axis=1)
+            z = bias[0] + by_row(weights[flat]) + 0.5 * ((sums ** 2).sum(1) - by_row((v ** 2).sum(1)))
             error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[chosen]) / len(chosen)
-            by_term = x.T @ error
+            by_term = by_feature(error)
             slopes = [
                 np.array([error.sum()]), by_term + decay * weights,
-                x.T @ (error[:, None] * sums) - vectors * by_term[:, None] + decay * vectors,
+                np.stack([by_feature(error * sums[:, k]) for k in range(factors)], axis=1) - vectors * by_term[:, None] + decay * vectors,
             ]
+            now = rate if scale is None else rate * (1 - step / last)
             step += 1
             for i, g in enumerate(slopes):
                 means[i] = 0.9 * means[i] + 0.1 * g
                 squares[i] = 0.999 * squares[i] + 0.001 * g * g
-                parts[i] = parts[i] - rate * (means[i] / (1 - 0.9 ** step)) / (np.sqrt(squares[i] / (1 - 0.999 ** step)) + 1e-8)
+                parts[i] = parts[i] - now * scales[i] * (means[i] / (1 - 0.9 ** step)) / (np.sqrt(squares[i] / (1 - 0.999 ** step)) + damp)
     return float(parts[0][0]), parts[1], parts[2]
 
 
+def _scales(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
+    """How far a step moves a feature: whole if its rates in the classes differ by 6 deviations, less if they differ less, never 0.
+
+    With few features all move whole; among very many, neutral ones move by a twentieth, or their sum would drown the others.
+    """
+    if not rows or not size:
+        return np.ones(size)
+    n = np.bincount(np.concatenate(rows), minlength=size)
+    p = np.bincount(np.concatenate(rows), np.repeat(labels, [len(r) for r in rows]), size)
+    share = labels.mean()
+    z = (p - n * share) / np.sqrt(n * share * (1 - share) + 1e-9)
+    return np.clip((z / 6) ** 2, max(0.05, min(1.0, 2000 / size)), 1)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that are never learned from: crc32 of the id as text is divisible by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -113,7 +144,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-    train_rows: int = TRAIN_ROWS, max_features: int = MAX_FEATURES, min_docs: int = 5, min_z: float = 6.0,
+    train_rows: int = TRAIN_ROWS, buckets: int = BUCKETS, min_docs: int = 5,
 ) -> Machine:
     """The machine learned from labelled rows that are not held out.
 
@@ -128,34 +159,23 @@ def train(
     rows = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__text")).join(F.broadcast(chosen), "__id")
     ones, zeros = [int(v or 0) for v in chosen.agg(F.sum("__label"), F.sum(1 - F.col("__label"))).first()]
 
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms(limit=50_000)
-        for part in pieces(batches, "__text", 2 << 20):
-            lists = [known.of(t) for t in part.column("__text").to_pylist()]
-            flat = np.array([t for r in lists for t in r], np.int64)
-            toxic = np.repeat(part.column("__label").to_numpy(zero_copy_only=False), [len(r) for r in lists])
-            term, place = np.unique(flat, return_inverse=True)
-            hit = np.bincount(place, toxic, len(term)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(hit), pa.array(np.bincount(place, minlength=len(term)))], ["term", "p", "n"])
-
-    both = rows.select("__text", "__label").mapInArrow(counts, "term long, p long, n long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
-    share = ones / max(1, ones + zeros)
-    z = (F.col("p") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
-    best = both.where(F.col("n") >= min_docs).select("term", F.abs(z).alias("z")).where(F.col("z") >= min_z)
-    picked = [r.term for r in best.orderBy(F.desc("z"), "term").limit(max_features).collect()] if 0 < ones and 0 < zeros else []
-    places = {t: i for i, t in enumerate(picked)}
-
-    def selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms(places)
+    def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Terms(buckets, limit=50_000)
         for part in pieces(batches, "__text", 2 << 20):
-            lists = [known.of(t) for t in part.column("__text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("__id").cast(pa.string()), part.column("__label"), pa.array(lists, pa.list_(pa.int32()))], ["id", "label", "features"])
+            lists = [np.array(known.of(t), np.int32).tobytes() for t in part.column("__text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("__id").cast(pa.string()), part.column("__label"), pa.array(lists, pa.binary())], ["id", "label", "features"])
 
-    found = rows.select("__id", "__text", "__label").mapInArrow(selected, "id string, label int, features array<int>").collect() if picked else []
-    found.sort(key=lambda r: (r.id, r.features))
+    found = rows.select("__id", "__text", "__label").mapInArrow(bucketed, "id string, label int, features binary").collect() if ones and zeros else []
+    found.sort(key=lambda r: (r.id, bytes(r.features)))
     target = np.array([r.label for r in found], float) if found else np.repeat([1.0, 0.0], [ones, zeros])
-    bias, weights, vectors = fit_machine([r.features for r in found], target, len(picked))
-    return Machine(bias, weights, vectors, places)
+    lists = [np.frombuffer(r.features, np.int32) for r in found]
+    often = np.bincount(np.concatenate(lists), minlength=buckets) >= min_docs if lists else np.zeros(buckets, bool)
+    seen, place = np.flatnonzero(often), np.cumsum(often) - 1
+    kept = [place[r[often[r]]] for r in lists]
+    scale = _scales(kept, target, len(seen))
+    epochs = max(10, min(300, -(-LEAST_STEPS * 512 // max(1, len(kept)))))
+    bias, weights, vectors = fit_machine(kept, target, len(seen), epochs=epochs, rate=0.02, scale=scale, damp=1e-3)
+    return Machine(bias, weights, vectors, {b: i for i, b in enumerate(seen.tolist())}, buckets)
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
@@ -166,7 +186,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
     name = column_free(docs, "score")
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Terms(machine.places)
+        known = _Terms(machine.buckets, machine.places)
         for part in pieces(rows, text):
             scores = [machine.score(known.of(t)) for t in part.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*part.schema.names, name])

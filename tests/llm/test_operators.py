@@ -341,3 +341,18 @@ def test_pairs_are_learned():
     bias, weights, vectors = toxicity.fit_machine(rows, target, 4, epochs=200, decay=1e-5)
     machine = toxicity.Machine(bias, weights, vectors, {})
     assert np.mean([(machine.score(r) >= 0.5) == t for r, t in zip(rows, target)]) > 0.95
+
+
+def test_train_learns_pairs_of_neutral_terms(spark):
+    """A group's name and a verb are neutral alone and toxic together, at half of all labels; no term passes a test of rates."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(2400):
+        parts = rng.sample(["the", "river", "bank", "of", "stone"], 3) + [w for w in ("grubfolk", "vanish") if rng.random() < 0.5]
+        rng.shuffle(parts)
+        rows.append((i, " ".join(parts)))
+        labels.append((i, int(("grubfolk" in parts) == ("vanish" in parts))))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    machine = toxicity.train(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = toxicity.score(frame, machine).where(toxicity.held_out(F.col("doc_id"))).collect()
+    assert np.mean([(r.score >= 0.5) == labels[r.doc_id][1] for r in got]) > 0.95
