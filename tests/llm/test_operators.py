@@ -356,3 +356,14 @@ def test_train_learns_pairs_of_neutral_terms(spark):
     machine = toxicity.train(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
     got = toxicity.score(frame, machine).where(toxicity.held_out(F.col("doc_id"))).collect()
     assert np.mean([(r.score >= 0.5) == labels[r.doc_id][1] for r in got]) > 0.95
+
+
+@pytest.mark.parametrize(("text", "value"), [
+    ('password := "xK9$mQ2vLp!7rTzz"', "xK9$mQ2vLp!7rTzz"), ('pwd:="xK9$mQ2vLp!7rTzz"', "xK9$mQ2vLp!7rTzz"), ("secret => xK9$mQ2vLp!7rTzz", "xK9$mQ2vLp!7rTzz"),
+    ("Authorization: Bearer mF_9.B5f-4.1JqM", "mF_9.B5f-4.1JqM"), ("auth: Bearer mF_9.B5f-4.1JqM", "mF_9.B5f-4.1JqM"),
+    ("password: xK9$mQ2v", "xK9$mQ2v"), ("pwd=k3j9x2mqz", "k3j9x2mqz"),
+    ("Password: required, token: missing", None), ("the bearer certificates of the bank", None), ("pwd: password123 secret: admin2020", None), ("passcode: 20240131", None),
+])
+def test_guessed_values(text, value):
+    found = secrets.guessed_spans(text, text.lower().encode(), 12.0, secrets.LEAST_MIXED)
+    assert [text[a:b] for a, b, _ in found] == ([value] if value else [])
