@@ -130,8 +130,10 @@ def _scales(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray
     """
     if not rows or not size:
         return np.ones(size)
-    n = np.bincount(np.concatenate(rows), minlength=size)
-    p = np.bincount(np.concatenate(rows), np.repeat(labels, [len(r) for r in rows]), size)
+    n, p = np.zeros(size), np.zeros(size)
+    for r, label in zip(rows, labels):
+        n[r] += 1
+        p[r] += label
     share = labels.mean()
     z = (p - n * share) / np.sqrt(n * share * (1 - share) + 1e-9)
     return np.clip((z / 6) ** 2, max(0.05, min(1.0, 2000 / size)), 1)
@@ -169,9 +171,13 @@ def train(
     found.sort(key=lambda r: (r.id, bytes(r.features)))
     target = np.array([r.label for r in found], float) if found else np.repeat([1.0, 0.0], [ones, zeros])
     lists = [np.frombuffer(r.features, np.int32) for r in found]
-    often = np.bincount(np.concatenate(lists), minlength=buckets) >= min_docs if lists else np.zeros(buckets, bool)
-    seen, place = np.flatnonzero(often), np.cumsum(often) - 1
+    held = np.zeros(buckets, np.int32)
+    for r in lists:  # a bucket stands once in a row
+        held[r] += 1
+    often = held >= max(1, min_docs)
+    seen, place = np.flatnonzero(often), np.cumsum(often, dtype=np.int32) - np.int32(1)
     kept = [place[r[often[r]]] for r in lists]
+    del found, lists
     scale = _scales(kept, target, len(seen))
     epochs = max(10, min(300, -(-LEAST_STEPS * 512 // max(1, len(kept)))))
     bias, weights, vectors = fit_machine(kept, target, len(seen), epochs=epochs, rate=0.02, scale=scale, damp=1e-3)
