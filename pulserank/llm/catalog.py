@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from pulserank.llm import (
-    q_bpe, q_collocations, q_decontaminate, q_duck_bpe, q_licenses, q_line_dedup, q_pii, q_secrets, q_simhash, q_tokens, q_toxicity, q_vectors,
+    q_bpe, q_collocations, q_decontaminate, q_duck_bpe, q_licenses, q_line_dedup, q_pii, q_secrets, q_simhash, q_spelling, q_tokens, q_toxicity, q_vectors,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_toxicity": q_toxicity.op10_toxicity,
     "op11_duck_bpe": q_duck_bpe.op11_duck_bpe,
     "op12_collocations": q_collocations.op12_collocations,
+    "op13_spelling": q_spelling.op13_spelling,
 }
 ORACLES = {
     "op1_vector_dedup": q_vectors.SQL,
