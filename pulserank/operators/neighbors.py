@@ -52,27 +52,29 @@ class _TopK:
         self.item = np.zeros(0, dtype="U1")
         self.distance = np.zeros(0)
 
-    def add(self, items: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, items: np.ndarray, ids: np.ndarray, chosen: np.ndarray | None = None) -> None:
+        """Compare ``items`` with all users, or with those at the places ``chosen``."""
         if not len(items) or not len(self.queries):
             return
         if items.shape[1] != self.queries.shape[1]:
             raise ValueError(f"dimension {items.shape[1]} does not match {self.queries.shape[1]}")
         step = max(1, _CELLS // len(items))
         own = (items * items).sum(axis=1)
+        chosen = np.arange(len(self.queries)) if chosen is None else chosen
         users, rows = [], []
-        for start in range(0, len(self.queries), step):
-            block = self.queries[start : start + step]
-            rough = -(block @ items.T)
+        for start in range(0, len(chosen), step):
+            here = chosen[start : start + step]
+            rough = -(self.queries[here] @ items.T)
             if self.metric == "l2":
-                rough = 2 * rough + own[None, :] + self.squares[start : start + step, None]
-            limit = self.bound[start : start + step]
+                rough = 2 * rough + own[None, :] + self.squares[here, None]
+            limit = self.bound[here]
             if len(items) > self.k:
                 limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
             # The slack covers the rounding of the block product; exact values decide below.
             slack = 1e-9 * (1.0 + np.abs(np.where(np.isfinite(limit), limit, 0.0)) + own.max())
             hit = rough <= (limit + slack)[:, None]
             u, r = np.nonzero(hit)
-            users.append(u + start)
+            users.append(here[u])
             rows.append(r)
         u, r = np.concatenate(users), np.concatenate(rows)
         exact = np.empty(len(u))
@@ -134,20 +136,24 @@ def scan_pairs(
     if method not in ("auto", "broadcast", "grid"):
         raise ValueError("method is 'auto', 'broadcast' or 'grid'")
     left, right = _vectors(queries, "user_id", carry), _vectors(corpus, "opportunity_id")
-    if method != "grid":
-        left.persist()
-        try:
-            size = left.agg(
-                F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes"), F.count("*").alias("rows")
-            ).first()
-            if size["bytes"] <= max_broadcast_bytes and size["rows"] <= max_users:
-                return _ship_users(left, right, worker, schema, normalize, carry)
-        finally:
-            left.unpersist()
+    if method != "grid" and (shipped := _shipped(left, right, worker, schema, normalize, carry, max_broadcast_bytes, max_users)) is not None:
+        return shipped
     left, right = _grid(left, right, left.count(), right.count(), min(block_rows, max_users), block_rows)
     return _meet_blocks(left, right, ["qb", "cb"], worker, schema, normalize, carry)
 
 
+def _shipped(users: DataFrame, corpus: DataFrame, worker, schema: str, normalize: bool, carry: str | None, max_bytes: int, max_users: int) -> DataFrame | None:
+    """The scan with all users in a broadcast, or None if their measured size is above the limits."""
+    users.persist()
+    try:
+        size = users.agg(F.coalesce(F.sum(F.size("embedding") * 8 + 64), F.lit(0)).alias("bytes"), F.count("*").alias("rows")).first()
+        if size["bytes"] <= max_bytes and size["rows"] <= max_users:
+            return _ship_users(users, corpus, worker, schema, normalize, carry)
+        return None
+    finally:
+        users.unpersist()
+
+
 def _users(table: pa.Table, normalize: bool, carry: str | None) -> tuple:
     names, vectors = table["user_id"].to_pylist(), _matrix(table["embedding"], normalize)
     return (names, vectors) if carry is None else (names, vectors, table[carry].to_pylist())
@@ -214,6 +220,7 @@ def knn(
     method: str = "auto",
     max_broadcast_bytes: int = 64 << 20,
     block_rows: int = 8192,
+    max_users: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest items of every user: ``user_id, opportunity_id, retrieval_rank, retrieval_distance``.
 
@@ -223,14 +230,27 @@ def knn(
     ``metric='l2'`` ranks by squared distance, ``'dot'`` by inner product (reported as
     ``score``, larger first).  Ties go to the smaller id.  Distances are computed in
     double precision.
-    ``method`` is the one of :func:`scan_pairs`.
+    ``'auto'`` measures the users and broadcasts them if they are at most ``max_broadcast_bytes`` and ``max_users`` (by default
+    2,000,000 / k). Beyond that it is ``'blocks'``, which leaves the corpus where it is and takes any number of users
+    (:func:`pulserank.operators.blocks.knn_blocks`). ``'grid'`` is the one of :func:`scan_pairs`.
     """
     if metric not in ("l2", "dot"):
         raise ValueError("metric is 'l2' or 'dot'")
-    partials = scan_pairs(
-        queries, corpus, partial(_TopK, k=k, metric=metric), _OUT, normalize, method, max_broadcast_bytes, block_rows,
-        max_users=max(1, _KEPT // max(k, 1)),
-    )
+    if method not in ("auto", "blocks", "grid"):
+        raise ValueError("method is 'auto', 'blocks' or 'grid'")
+    max_users, worker = max_users or max(1, _KEPT // max(k, 1)), partial(_TopK, k=k, metric=metric)
+    if method == "grid":
+        partials = scan_pairs(queries, corpus, worker, _OUT, normalize, method, max_broadcast_bytes, block_rows, max_users)
+        return _finish(partials, k, metric)
+    partials = None
+    if method == "auto":
+        partials = _shipped(
+            _vectors(queries, "user_id"), _vectors(corpus, "opportunity_id"), worker, _OUT, normalize, None, max_broadcast_bytes, max_users
+        )
+    if partials is None:
+        from pulserank.operators.blocks import knn_blocks
+
+        return knn_blocks(queries, corpus, k, metric, normalize, max_users=max_users)
     return _finish(partials, k, metric)
 
 

@@ -32,3 +32,17 @@ def fill_quota(
     placed = top_n(unseen, [topic], shuffled(id_column, seed), n, rank="_place")
     wanted = placed.join(have, topic, "left").where(F.col("_place") <= n - F.coalesce("_have", F.lit(0)))
     return sample.unionByName(wanted.select(*sample.columns))
+
+
+def bounded_sample(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
+    """At most ``n`` rows, those with the smallest hash of ``key``.
+
+    A threshold on the hash leaves about 1.2 n rows of all tasks together, and only those are sorted: what is gathered does not grow with
+    the number of partitions. Rows of one key share a hash; pass distinct rows if repeats must not fill the sample.
+    """
+    total = df.count()
+    code = F.xxhash64(*key)
+    if total > n:
+        share = min(1.0, 1.2 * (n + 100) / total)
+        df = df.where(F.pmod(code, F.lit(1 << 40)) < int(share * (1 << 40)))
+    return df.orderBy(F.pmod(code, F.lit(1 << 40)), *key).limit(n)

@@ -3,9 +3,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pulserank.functions.vectors import norm, unit
-from pulserank.operators import neighbors as N
+from pulserank.functions.vectors import norm, squared_distance, unit
+from pulserank.operators import ann, neighbors as N
 from pulserank.operators.feedback import centroid
+from pulserank.operators.sampling import bounded_sample
 from pulserank.operators.quality import report, vector_rules
 from pulserank.plans import adapters as A, oracle_parts as O, recommend as R
 from pulserank.plans.catalog import query, r6
@@ -48,6 +49,54 @@ def knn_grid(spark, sf):
     return _shown(_knn(spark, sf, method="grid", block_rows=200))
 
 
+_EVENT_USERS = """
+users AS (
+  SELECT CAST(u.user_id AS VARCHAR) AS user_id, v.embedding::DOUBLE[] AS embedding
+  FROM (SELECT DISTINCT user_id FROM events) u JOIN embeddings v ON v.vec_id = u.user_id % (SELECT count(*) FROM embeddings))"""
+
+
+@query("knn_event_users", f"""WITH {O.ITEMS}, {_EVENT_USERS}, {O.PAIRS}, {O.knn(20)}
+SELECT user_id, opportunity_id, retrieval_rank, round(distance, 6) AS retrieval_distance FROM knn""")
+def knn_event_users(spark, sf):
+    """All users of the events, in broadcasts that meet the blocks of the corpus in two passes."""
+    return _shown(N.knn(A.feedback_users(spark, sf), A.items(spark, sf), 20, method="blocks"))
+
+
+_FOUND = f"""WITH {{users}}
+SELECT user_id, CAST(20 AS BIGINT) AS found, CAST(0 AS BIGINT) AS unknown_ids, CAST(0 AS BIGINT) AS wrong_distances, true AS recall_reached FROM users"""
+
+
+def _ann_report(spark, sf, users):
+    """Per user: items found, ids that do not exist, distances that are not the true ones, and whether recall is 0.9 or more."""
+    items = materialise(A.items(spark, sf).select("opportunity_id", "embedding"), "ann-items")
+    users = materialise(users.select("user_id", "embedding"), "ann-askers")
+    index = ann.build_index(items)
+    asked = materialise(bounded_sample(users, ["user_id"], 256), "ann-sample")
+    probes, refine = ann.tune(asked, index, materialise(N.knn(asked, items, 20), "ann-true"), 20)
+    found = ann.search(users, index, 20, probes, refine)
+    ann.close_index(spark, index)
+    own = items.withColumnRenamed("embedding", "vector")
+    rows = found.join(users, "user_id").join(own, "opportunity_id", "left")
+    wrong = F.abs(F.col("retrieval_distance") - squared_distance("embedding", "vector")) > 1e-9
+    checked = rows.groupBy("user_id").agg(
+        F.count("*").alias("found"), F.count(F.when(F.col("vector").isNull(), 1)).alias("unknown_ids"), F.count(F.when(wrong, 1)).alias("wrong_distances")
+    )
+    recall = N.recall(found, N.knn(users, items, 20)).select("user_id", (F.col("recall") >= 0.9).alias("recall_reached"))
+    return checked.join(recall, "user_id", "full")
+
+
+@query("ann_recall", _FOUND.format(users=O.USERS))
+def ann_recall(spark, sf):
+    """The stored inverted file asked by the centroids of the labels, which lie far from every item."""
+    return _ann_report(spark, sf, A.users(spark, sf))
+
+
+@query("ann_event_users", _FOUND.format(users=_EVENT_USERS))
+def ann_event_users(spark, sf):
+    """The stored inverted file asked by all users of the events."""
+    return _ann_report(spark, sf, A.feedback_users(spark, sf))
+
+
 _UNIT = "[x / sqrt(list_inner_product(embedding, embedding)) FOR x IN embedding]"
 
 
