@@ -63,14 +63,11 @@ def computed(df: DataFrame, keep: Sequence[str] = (), **columns: Column) -> Data
 
 
 def contains_any(text: Column, phrases: Sequence[str]) -> Column:
-    """True if ``text`` contains one of the phrases."""
-    def test(t: Column) -> Column:
-        hit = F.lit(False)
-        for phrase in phrases:
-            hit = hit | F.contains(t, F.lit(phrase))
-        return hit
-
-    return let(text, test)
+    """True if ``text`` contains one of the phrases. Pass a column, not an expression: each phrase reads it."""
+    hit = F.lit(False)
+    for phrase in phrases:
+        hit = hit | F.contains(text, F.lit(phrase))
+    return hit
 
 
 def literal_map(mapping: dict) -> Column:

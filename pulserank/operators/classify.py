@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
-from pulserank.functions.text import clean, col, let, literal_map, word_count
-from pulserank.operators.matching import needs_automaton, substring_hits
+from pulserank.functions.text import clean, col, computed, let, literal_map, word_count
+from pulserank.operators.matching import constant, phrase_places
 
 Vocabulary = Mapping[str, Sequence[str]]
 
@@ -64,33 +64,36 @@ def domain_category_join(df: DataFrame, mapping: DataFrame, column: str = "domai
     )
 
 
-def topic_votes(df: DataFrame, vocab: Vocabulary, title: str = "title", text: str = "text") -> DataFrame:
+def topic_votes(df: DataFrame, vocab: Vocabulary, title: str = "title", text: str = "text", counts: Mapping[bytes, int] | None = None) -> DataFrame:
     """Add ``topic_category``: the topic with most distinct keywords found as substrings.
 
-    Ties go to the earlier topic; no keyword at all is ``unknown``.
+    Ties go to the earlier topic; no keyword at all is ``unknown``. Vocabularies of any size are matched by
+    :mod:`pulserank.operators.matching`; ``counts`` are gram counts for the choice of anchors.
     """
     content = F.lower(F.concat(F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.coalesce(F.col(text), F.lit(""))))
-    keywords = [k for words in vocab.values() for k in words]
-
-    def winner(hits: Column) -> Column:
-        votes = [
-            F.struct(
-                F.size(F.array_intersect(hits, F.array(*[F.lit(k) for k in dict.fromkeys(words)]))).alias("votes"),
-                F.lit(-position).alias("place"),
-                F.lit(topic).alias("topic"),
-            )
-            for position, (topic, words) in enumerate(vocab.items())
-            if words
-        ]
-        best = F.array_max(F.array(*votes))
-        return let(best, lambda b: F.when(b["votes"] > 0, b["topic"]).otherwise("unknown"))
-
+    topics = {topic: list(dict.fromkeys(w for w in words if w)) for topic, words in vocab.items()}
+    keywords = list(dict.fromkeys(k for words in topics.values() for k in words))
+    none = F.struct(F.lit(0).alias("votes"), F.lit(1).alias("place"), F.lit("unknown").alias("topic"))  # beats topics without votes
     if not keywords:
         return df.withColumn("topic_category", F.lit("unknown"))
-    if needs_automaton(keywords):
-        hit = df.withColumn("_hits", substring_hits(content, keywords))
-        return hit.withColumn("topic_category", let(F.col("_hits"), winner)).drop("_hits")
-    return df.withColumn("topic_category", let(substring_hits(content, keywords), winner))
+    place = {k: i for i, k in enumerate(keywords)}
+    owners: list[list[int]] = [[] for _ in keywords]
+    for i, words in enumerate(topics.values()):
+        for word in words:
+            owners[place[word]].append(i)
+    of, names = constant(owners, "array<array<int>>"), constant(list(topics), "array<string>")
+
+    def winner(voted: Column) -> Column:
+        votes = F.transform(F.array_distinct(voted), lambda t: F.struct(
+            F.size(F.filter(voted, lambda x: x == t)).alias("votes"), (-t).alias("place"), F.get(names, t).alias("topic")
+        ))
+        return F.array_max(F.concat(F.array(none), votes))["topic"]
+
+    # Computed once: a filter on the topic must not match the texts again.
+    columns = [c for c in df.columns if c != "topic_category"]
+    df = df.withColumn("_places", phrase_places(content, keywords, counts=counts))
+    voted = F.flatten(F.transform("_places", lambda i: F.get(of, i)))
+    return computed(df, columns, topic_category=let(voted, winner))
 
 
 def topic_matches(blob: str | Column, vocab: Vocabulary) -> Column:

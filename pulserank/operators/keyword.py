@@ -1,20 +1,21 @@
 """Keyword ranking: profiles against rows without vectors."""
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
 from pulserank.functions.text import word_count
 from pulserank.operators.dedup import top_n
+from pulserank.operators.matching import phrase_places, words_of
 from pulserank.operators.shaping import topic_label
+from pulserank.session import materialise
 
 _PARTS = ("quality_score", "freshness_score", "effort_score_normalized")
-_TOKEN = re.compile(r"[a-z0-9+#.-]+")
 TEXT_FIELDS = ("title", "text", "platform", "domain", "domain_category", "topic_category")
 
 
@@ -36,10 +37,10 @@ def row_text(df: DataFrame) -> Column:
     return F.lower(F.concat_ws(" ", *fields))
 
 
-def with_row_scores(df: DataFrame) -> DataFrame:
+def with_row_scores(df: DataFrame, words: Column | None = None) -> DataFrame:
     """Add ``quality_score``, ``freshness_score`` and ``effort_score_normalized``.
 
-    Quality and effort are scaled to [0, 1] over the whole frame; both ranges come from
+    ``words`` are the words of a row's text if they are known. Quality and effort are scaled to [0, 1] over the whole frame; both ranges come from
     one aggregate, used as a scalar subquery.
     """
     have = set(df.columns)
@@ -55,7 +56,7 @@ def with_row_scores(df: DataFrame) -> DataFrame:
         quality = number("final_score")
     else:
         quality = F.lit(0.0)
-    light = number("effort_score") if "effort_score" in have else word_count("text").cast("double")
+    light = number("effort_score") if "effort_score" in have else (word_count("text") if words is None else words).cast("double")
     span = df.select(quality.alias("q"), light.alias("e")).agg(
         F.struct(F.min("q").alias("q0"), F.max("q").alias("q1"), F.min("e").alias("e0"), F.max("e").alias("e1")).alias("s")
     ).scalar()
@@ -76,7 +77,7 @@ def with_row_scores(df: DataFrame) -> DataFrame:
     })
 
 
-def keyword_match(rows: DataFrame, profiles: DataFrame, n: int, id_column: str = "id", max_profile_bytes: int = 8 << 20) -> DataFrame:
+def keyword_match(rows: DataFrame, profiles: DataFrame, n: int, id_column: str = "id", max_profile_bytes: int = 1 << 20) -> DataFrame:
     """The best ``n`` matching rows of every user by match score, ties by id: ``user_id``, id, ``profile_match_score``.
 
     ``profiles`` has ``user_id`` and ``terms``.  Score = 0.7 · share of the user's terms
@@ -91,12 +92,25 @@ def keyword_match(rows: DataFrame, profiles: DataFrame, n: int, id_column: str =
 
 
 def _best_matches(
-    rows: DataFrame, profiles: DataFrame, n: int, weights: Mapping[str, float], id_column: str, max_profile_bytes: int = 8 << 20,
+    rows: DataFrame, profiles: DataFrame, n: int, weights: Mapping[str, float], id_column: str, max_profile_bytes: int = 1 << 20,
 ) -> DataFrame:
-    """The best ``n`` matching rows of every user in every task, so users x n rows leave a task and no pair is listed.
+    """The best ``n`` matching rows of every user in every task, so users x n rows leave a task and no pair is listed."""
+    keep = {p: F.col(p) for p in _PARTS}
+    return _union(_task_best(table, shipped, n, weights) for table, shipped in _with_places(rows, profiles, id_column, keep, max_profile_bytes)).withColumnRenamed("id", id_column)
+
+
+def _union(frames) -> DataFrame:
+    every = None
+    for frame in frames:
+        every = frame if every is None else every.unionByName(frame)
+    return every
+
+
+def _with_places(rows: DataFrame, profiles: DataFrame, id_column: str, keep: Mapping[str, Column], max_profile_bytes: int) -> list[tuple]:
+    """Per block of profiles: the rows as (id, ``keep``, places) without their texts, and what tells whose the places are.
 
     Profiles are handed to the tasks in blocks of about ``max_profile_bytes``, measured first; each block is a pass
-    over the rows.  A task finds the phrases and tokens that its rows contain and counts them per user.
+    over the texts. A task finds the phrases and tokens that its rows contain by array operations.
     """
     users = profiles.select(
         "user_id",
@@ -104,20 +118,35 @@ def _best_matches(
         tokens(F.array_join("terms", " ")).alias("tokens"),
     )
     size = users.agg(F.sum(F.octet_length(F.array_join("phrases", "")) + F.size("phrases") * 16 + 64)).first()[0] or 0
-    blocks = max(1, -(-size // max_profile_bytes))
-    texts = rows.select(F.col(id_column).cast("string").alias("id"), row_text(rows).alias("text"), *_PARTS)
-    found = None
+    blocks, out = max(1, -(-size // max_profile_bytes)), []
     for block in range(blocks):
         part = users if blocks == 1 else users.where(F.pmod(F.xxhash64("user_id"), F.lit(blocks)) == block)
-        shipped = rows.sparkSession.sparkContext.broadcast([tuple(r) for r in part.collect()])
-        partial = texts.mapInArrow(_matcher(shipped, n, dict(weights)), "user_id string, id string, profile_match_score double, " + ", ".join(f"{p} double" for p in _PARTS))
-        found = partial if found is None else found.unionByName(partial)
-    return found.withColumnRenamed("id", id_column)
+        held = [tuple(r) for r in part.collect()]
+        phrases, words = (list(dict.fromkeys(x for u in held for x in u[at] if x)) for at in (1, 2))
+        # A token of a row is a run of its letters, so the users' tokens are phrases with borders.
+        places = phrase_places(row_text(rows), phrases + words, [False] * len(phrases) + [True] * len(words))
+        table = rows.select(F.col(id_column).cast("string").alias("id"), *(c.alias(n) for n, c in keep.items()), places.alias("places"))
+        shipped = rows.sparkSession.sparkContext.broadcast(([u[0] for u in held], _owners(held, 1, phrases), _owners(held, 2, words), len(phrases)))
+        out.append((table, shipped))
+    return out
+
+
+def _task_best(table: DataFrame, shipped, n: int, weights: Mapping[str, float]) -> DataFrame:
+    schema = "user_id string, id string, profile_match_score double, " + ", ".join(f"{p} double" for p in _PARTS)
+    return table.select("id", *_PARTS, "places").mapInArrow(_matcher(shipped, n, dict(weights)), schema)
+
+
+def _owners(users: list[tuple], at: int, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, owners, sizes): the users of key i stand between starts[i] and starts[i + 1], once per occurrence in their list."""
+    place = {key: i for i, key in enumerate(keys)}
+    pairs = np.array([(place[x], u) for u, row in enumerate(users) for x in row[at] if x], np.int64).reshape(-1, 2)
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    return np.searchsorted(pairs[:, 0], np.arange(len(keys) + 1)), pairs[:, 1], np.array([max(1, len(row[at])) for row in users], float)
 
 
 def _matcher(shipped, n: int, weights: dict[str, float]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = _BestMatches(shipped.value, n, weights)
+        task = _BestMatches(*shipped.value, n, weights)
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 task.add(batch.slice(start, 1000))
@@ -126,29 +155,34 @@ def _matcher(shipped, n: int, weights: dict[str, float]):
     return scan
 
 
+def _per_user(keys: np.ndarray, rows: np.ndarray, starts: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(user, row) of every owner of every key that a row lists."""
+    sizes = starts[keys + 1] - starts[keys]
+    before = np.cumsum(sizes) - sizes
+    return owners[np.repeat(starts[keys] - before, sizes) + np.arange(sizes.sum())], np.repeat(rows, sizes)
+
+
 class _BestMatches:
     """The best ``n`` matches per user among the rows seen so far."""
 
-    def __init__(self, users: list[tuple], n: int, weights: dict[str, float]):
-        self.names, self.n, self.weights = [u[0] for u in users], n, weights
-        self.sizes = np.array([[max(1, len(u[1])), max(1, len(u[2]))] for u in users], float).reshape(len(users), 2)
-        self.phrases, self.tokens = _owners([u[1] for u in users]), _owners([u[2] for u in users])
+    def __init__(self, names: list[str], phrases: tuple, words: tuple, n_phrases: int, n: int, weights: dict[str, float]):
+        self.names, self.n, self.weights, self.phrases, self.words, self.n_phrases = names, n, weights, phrases, words, n_phrases
         self.kept = {"user": np.zeros(0, int), "id": np.zeros(0, "U1"), "total": np.zeros(0), "score": np.zeros(0), **{p: np.zeros(0) for p in _PARTS}}
 
     def add(self, batch: pa.RecordBatch) -> None:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        in_text = [[owners for phrase, owners in self.phrases.items() if phrase in t] for t in texts]
-        in_words = [[self.tokens[w] for w in set(_TOKEN.findall(t)) if w in self.tokens] for t in texts]
-        counts = []
-        for hits in (in_text, in_words):
-            users = [np.concatenate(h) for h in hits if h]
-            at = np.repeat(np.arange(len(hits)), [sum(map(len, h)) for h in hits])
-            counts.append((np.concatenate(users) if users else np.zeros(0, int)) * len(texts) + at)
+        n, counts = batch.num_rows, []
+        column = batch.column("places")
+        keys = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.repeat(np.arange(n), pc.list_value_length(column).to_numpy(zero_copy_only=False))
+        is_word = keys >= self.n_phrases
+        for chosen, first, (starts, owners, _) in ((~is_word, 0, self.phrases), (is_word, self.n_phrases, self.words)):
+            user, row = _per_user(keys[chosen] - first, rows[chosen], starts, owners)
+            counts.append(user * n + row)
         code, place = np.unique(np.concatenate(counts), return_inverse=True)
         p = np.bincount(place[:len(counts[0])], minlength=len(code))
         t = np.bincount(place[len(counts[0]):], minlength=len(code))
-        user, row = np.divmod(code, max(1, len(texts)))
-        score = np.minimum(1.0, 0.7 * (p / self.sizes[user, 0]) + 0.3 * (t / self.sizes[user, 1]))
+        user, row = np.divmod(code, max(1, n))
+        score = np.minimum(1.0, 0.7 * (p / self.phrases[2][user]) + 0.3 * (t / self.words[2][user]))
         parts = {name: batch.column(name).to_numpy(zero_copy_only=False)[row] for name in _PARTS}
         w = self.weights
         total = w["match"] * score + w["quality"] * parts["quality_score"] + w["freshness"] * parts["freshness_score"] + w["effort"] * parts["effort_score_normalized"]
@@ -167,22 +201,13 @@ class _BestMatches:
         }, schema=pa.schema([("user_id", pa.string()), ("id", pa.string()), *((c, pa.float64()) for c in ("profile_match_score", *_PARTS))]))
 
 
-def _owners(lists: list[list[str]]) -> dict[str, np.ndarray]:
-    """The users of each key, once per occurrence; the empty text is no key."""
-    found: dict[str, list[int]] = {}
-    for user, keys in enumerate(lists):
-        for key in keys:
-            if key:
-                found.setdefault(key, []).append(user)
-    return {k: np.array(v) for k, v in found.items()}
-
-
 def keyword_rank(
     rows: DataFrame,
     profiles: DataFrame,
     n: int,
     weights: Mapping[str, float] = K.KEYWORD_WEIGHTS,
     id_column: str = "id",
+    max_profile_bytes: int = 1 << 20,
 ) -> DataFrame:
     """The best ``n`` rows of every user by match, quality, freshness and effort.
 
@@ -191,7 +216,15 @@ def keyword_rank(
     ahead of it there is ahead of it for the user too.  So the best ``n`` matches of each
     task and the global best ``n`` give the exact result.  Ids are compared as text.
     """
-    scored = with_row_scores(rows).withColumn(
+    numbers = ("engagement_score", "score", "num_comments", "final_score", "age_days", "effort_score")
+    keep = {c: F.col(c) for c in numbers if c in rows.columns and c != id_column}
+    if "effort_score" not in rows.columns:
+        keep["_words"] = words_of(F.col("text"))
+    # One pass over the texts for each block of profiles; what follows reads the narrow tables.
+    passes = [(materialise(table, "row-matches"), shipped) for table, shipped in _with_places(rows, profiles, id_column, keep, max_profile_bytes)]
+    words = F.col("_words") if "_words" in keep else None
+    ranked = [(with_row_scores(table, words), shipped) for table, shipped in passes]
+    scored = ranked[0][0].withColumn(id_column, F.col("id")).withColumn(
         "_base",
         F.lit(weights["quality"]) * F.col("quality_score")
         + F.lit(weights["freshness"]) * F.col("freshness_score")
@@ -209,7 +242,7 @@ def keyword_rank(
         .select("user_id", "_row.*")
         .withColumn("profile_match_score", F.lit(0.0))
     )
-    matched = _best_matches(scored, profiles, n, weights, id_column)
+    matched = _union(_task_best(table, shipped, n, weights) for table, shipped in ranked).withColumnRenamed("id", id_column)
     pairs = matched.unionByName(fallback, allowMissingColumns=True)
     # A pair from both sides keeps its match; scores follow the published order of terms.
     pairs = pairs.groupBy("user_id", id_column).agg(

@@ -1,59 +1,70 @@
-"""Which phrases of a dictionary occur in a text."""
+"""Which phrases of a dictionary occur in a text, for dictionaries of any size.
+
+Texts leave the JVM as Arrow batches, and a task matches a batch with the whole dictionary by array operations
+(:class:`pulserank.functions.kernels.PhraseIndex`); what returns are the places of the phrases. The dictionary travels with the function;
+callers with unbounded dictionaries pass them in measured blocks.
+"""
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, StringType
 
-from pulserank.functions.text import let
+from pulserank.functions import kernels
+from pulserank.operators.sampling import bounded_sample
 
-try:
-    import ahocorasick
-except ImportError:  # the expression form below needs nothing
-    ahocorasick = None
 
-# Beyond this many phrases one automaton pass beats one scan of the text per phrase.
-_SCAN_LIMIT = 64
+def constant(values: list, kind: str) -> Column:
+    """A nested list as one constant of the plan."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
 
 
-def needs_automaton(phrases: Sequence[str]) -> bool:
-    return len(set(phrases)) > _SCAN_LIMIT and ahocorasick is not None
+def gram_counts(df: DataFrame, text: Column, key: Sequence[str], rows: int = 2000) -> dict[bytes, int]:
+    """In how many rows of a bounded sample each gram of three letters a-z, digits or blanks occurs; it steers the choice of anchors only."""
+    sample = bounded_sample(df.select(*key, text.alias("_text")), key, rows)
+    grams = F.array_distinct(F.regexp_extract_all(F.col("_text"), F.lit("(?=([a-z0-9 ]{3}))"), F.lit(1)))
+    counted = sample.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    return {r.gram.encode(): r.n for r in counted.collect()}  # at most 37^3 rows
 
 
-def substring_hits(text: Column, phrases: Sequence[str]) -> Column:
-    """Distinct phrases that are substrings of ``text``, in dictionary order.
+def phrase_places(text: Column, phrases: Sequence[str], bordered: Sequence[bool] | None = None, counts: Mapping[bytes, int] | None = None) -> Column:
+    """Ascending places (from 0) of the phrases that are substrings of ``text``; null has none.
 
-    A short dictionary is an expression.  A long one is matched in Arrow batches by an
-    automaton, which reads every text once whatever the dictionary size.
+    ``phrases`` are distinct and not empty; the ``bordered`` ones count as whole words only. ``counts`` are those of :func:`gram_counts`.
     """
-    phrases = list(dict.fromkeys(p for p in phrases if p))
-    if needs_automaton(phrases):
-        return _automaton_udf(phrases)(text)
     if not phrases:
-        return F.array().cast("array<string>")
-    return let(text, lambda t: F.array_compact(F.array(*[F.when(F.contains(t, F.lit(p)), F.lit(p)) for p in phrases])))
+        return F.array().cast("array<int>")
+    phrases = list(phrases)
+
+    @F.arrow_udf("array<int>")
+    def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = kernels.PhraseIndex(phrases, bordered, counts)
+        for batch in batches:
+            yield index.places(batch)
 
+    return places(text)
 
-def _automaton_udf(phrases: Sequence[str]):
-    @F.pandas_udf(ArrayType(StringType()))
-    def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = ahocorasick.Automaton()
-        for position, phrase in enumerate(phrases):
-            automaton.add_word(phrase, position)
-        automaton.make_automaton()
 
-        def found(value):
-            if value is None:
-                return []
-            return [phrases[i] for i in sorted({i for _, i in automaton.iter(value)})]
+def words_of(text: Column) -> Column:
+    """:func:`pulserank.functions.text.word_count` in Arrow batches, which is faster on long texts."""
 
+    @F.arrow_udf("bigint")
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.map(found)
+            yield kernels.word_counts(batch)
 
-    return hits
+    return counted(text)
+
+
+def substring_hits(text: Column, phrases: Sequence[str], counts: Mapping[bytes, int] | None = None) -> Column:
+    """Distinct phrases that are substrings of ``text``, in dictionary order."""
+    phrases = list(dict.fromkeys(p for p in phrases if p))
+    if not phrases:
+        return F.array().cast("array<string>")
+    every = constant(phrases, "array<string>")
+    return F.transform(phrase_places(text, phrases, counts=counts), lambda i: F.get(every, i))
 
 
 def phrase_list(df: DataFrame, column: str, max_bytes: int) -> list[str] | None:

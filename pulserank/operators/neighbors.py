@@ -230,20 +230,20 @@ def knn(
     ``metric='l2'`` ranks by squared distance, ``'dot'`` by inner product (reported as
     ``score``, larger first).  Ties go to the smaller id.  Distances are computed in
     double precision.
-    ``'auto'`` measures the users and broadcasts them if they are at most ``max_broadcast_bytes`` and ``max_users`` (by default
+    ``'auto'`` and ``'broadcast'`` measure the users and broadcast them if they are at most ``max_broadcast_bytes`` and ``max_users`` (by default
     2,000,000 / k). Beyond that it is ``'blocks'``, which leaves the corpus where it is and takes any number of users
     (:func:`pulserank.operators.blocks.knn_blocks`). ``'grid'`` is the one of :func:`scan_pairs`.
     """
     if metric not in ("l2", "dot"):
         raise ValueError("metric is 'l2' or 'dot'")
-    if method not in ("auto", "blocks", "grid"):
-        raise ValueError("method is 'auto', 'blocks' or 'grid'")
+    if method not in ("auto", "broadcast", "blocks", "grid"):
+        raise ValueError("method is 'auto', 'broadcast', 'blocks' or 'grid'")
     max_users, worker = max_users or max(1, _KEPT // max(k, 1)), partial(_TopK, k=k, metric=metric)
     if method == "grid":
         partials = scan_pairs(queries, corpus, worker, _OUT, normalize, method, max_broadcast_bytes, block_rows, max_users)
         return _finish(partials, k, metric)
     partials = None
-    if method == "auto":
+    if method != "blocks":
         partials = _shipped(
             _vectors(queries, "user_id"), _vectors(corpus, "opportunity_id"), worker, _OUT, normalize, None, max_broadcast_bytes, max_users
         )

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulserank.functions import constants as K
-from pulserank.functions.text import clean, col, contains_any, first_label, literal_map
+from pulserank.functions.text import clean, col, computed, contains_any, first_label, let, literal_map
 from pulserank.functions.urls import opportunity_id, url_host
 
 
@@ -220,7 +220,7 @@ def is_beginner(df: DataFrame) -> Column:
 
     domain = F.lower(F.when(text_of("domain") != "", text_of("domain")).otherwise(text_of("domain_category")))
     words = F.lower(F.concat_ws(" ", text_of("title"), text_of("text"), text_of("topic_category")))
-    return contains_any(domain, K.BEGINNER_DOMAINS) | contains_any(words, K.BEGINNER_PHRASES)
+    return let(domain, lambda d: contains_any(d, K.BEGINNER_DOMAINS)) | let(words, lambda w: contains_any(w, K.BEGINNER_PHRASES))
 
 
 def good_first_issues(df: DataFrame, min_rows: int = 0, source: str = "github") -> DataFrame:
@@ -230,11 +230,11 @@ def good_first_issues(df: DataFrame, min_rows: int = 0, source: str = "github")
     counts are one aggregate, used as a scalar subquery: no driver branch.
     """
     fields = [F.col(n).cast("string") for n in ("title", "text", "topic_category", "domain_category", "domain") if n in df.columns]
-    hit = contains_any(F.lower(F.concat_ws("\n", *fields)), K.FIRST_ISSUE_PHRASES)
     from_source = F.coalesce(F.lower(col("source")) == source, F.lit(False))
-    wanted = hit | from_source
+    columns, df = df.columns, computed(df, df.columns, _content=F.lower(F.concat_ws("\n", *fields)))
+    wanted = from_source | contains_any(F.col("_content"), K.FIRST_ISSUE_PHRASES)
     if not min_rows:
-        return df.where(wanted)
+        return df.where(wanted).select(*columns)
     counts = df.agg(
         F.struct(
             F.count_if(wanted).alias("wanted"), F.count_if(from_source).alias("from_source")
@@ -245,7 +245,7 @@ def good_first_issues(df: DataFrame, min_rows: int = 0, source: str = "github")
         .when(counts["from_source"] > 0, from_source)
         .otherwise(True)
     )
-    return df.where(keep)
+    return df.where(keep).select(*columns)
 
 
 def snapshot_features(df: DataFrame, reference_ts: str | Column) -> DataFrame:

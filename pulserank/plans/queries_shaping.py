@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pulserank.functions import constants as K
 from pulserank.functions.text import collapse_lines, word_count
 from pulserank.functions.urls import url_host
+from pulserank.operators.matching import gram_counts
 from pulserank.operators import analytics, classify
 from pulserank.operators.shaping import (
     analytics_view, board_defaults, embedding_text, page_label, prompt_pick, snapshot_features, standardize, topic_label,
@@ -192,6 +193,25 @@ _MATCHES = ", ".join(f"CASE WHEN {_word_or_sign(t, w)} THEN {O.quoted(t)} END" f
 _MATCHED = f"matched AS (SELECT doc_id, list_filter_null AS topics FROM (SELECT doc_id, [x FOR x IN [{_MATCHES}] IF x IS NOT NULL] AS list_filter_null FROM documents))"
 
 
+
+#: Over a thousand keywords by a rule: a letter before each common ending of a language.
+_ENDINGS = {
+    "English Prose": "tion ing the and her ent ter ous ble ght", "French Prose": "ment eau que les oir aux eur iez ais ont",
+    "Spanish Prose": "ción aba ndo mos ada ero osa illo ante rse", "German Prose": "ung ich sch ein keit heit lich isch ert ten",
+}
+MANY_TOPICS = {topic: [x + e for e in ends.split() for x in "abcdefghijklmnopqrstuvwxyzäöüéàñ"] for topic, ends in _ENDINGS.items()}
+
+
+@query("classify_topic_large", f"""WITH {O.OPP}, texts AS (
+  SELECT DISTINCT title, text FROM opp), voted AS (SELECT *, {O.topic_category('title', 'text', MANY_TOPICS)} AS topic_category FROM texts)
+SELECT id, topic_category FROM opp JOIN voted USING (title, text)""")
+def classify_topic_large(spark, sf):
+    """A vocabulary of 1,280 keywords, with anchors by the counts of a bounded sample."""
+    rows = A.opportunities(spark, sf)
+    counts = gram_counts(A.table(spark, sf, "documents"), F.lower("text"), ["doc_id"])
+    return classify.topic_votes(rows, MANY_TOPICS, counts=counts).select("id", "topic_category")
+
+
 @query("topic_match", f"WITH {_MATCHED} SELECT doc_id, array_to_string(topics, ' | ') AS topics FROM matched")
 def topic_match(spark, sf):
     rows = A.table(spark, sf, "documents")

@@ -1,10 +1,13 @@
 """Single-row semantics on hand-made frames."""
 import json
+import random
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pulserank.functions import constants as K
+from pulserank.functions import constants as K, kernels
 from pulserank.functions.text import clean, collapse_lines, word_count
 from pulserank.functions.urls import opportunity_id, url_host
 from pulserank.operators import classify, dedup, explain, keyword, matching, profiles, ranking, shaping
@@ -71,7 +74,7 @@ def test_topics(spark):
     assert one(spark, classify.topic_matches(F.lit("übergo"), {"B": ["go"]})) == []
 
 
-def test_automaton_equals_expression(spark):
+def test_large_dictionaries(spark):
     phrases = [a + b for a in "abcdefghij" for b in "abcdefghij"]
     df = spark.createDataFrame([("abacadaeaf jj",), ("",), (None,)], "t string")
     many = values(df.select(matching.substring_hits(F.col("t"), phrases).alias("h")), "h")
@@ -82,6 +85,38 @@ def test_automaton_equals_expression(spark):
     assert values(classify.topic_votes(rows, vocab), "topic_category") == ["First", "Second"]
 
 
+def test_phrase_index_against_search():
+    """Places in many texts, with phrases of one byte to many, letters of several bytes and borders."""
+    rng = random.Random(8)
+    letters = "ab c-é漢+\n"
+    phrases = sorted({"".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(400)})
+    bordered = [rng.random() < 0.3 for _ in phrases]
+    texts = [None, "", "a", *("".join(rng.choice(letters) for _ in range(rng.randrange(0, 60))) for _ in range(300)), "ab" * 5000]
+
+    def holds(text, phrase, whole):
+        word = re.compile(r"(?<![a-z0-9+#.-])" + re.escape(phrase) + r"(?![a-z0-9+#.-])") if whole else re.compile(re.escape(phrase))
+        return bool(word.search(text or ""))
+
+    want = [[i for i, (p, b) in enumerate(zip(phrases, bordered)) if holds(t, p, b)] for t in texts]
+    column = pa.array(["skipped", *texts], pa.string()).slice(1)
+    assert kernels.PhraseIndex(phrases, bordered).places(column).to_pylist() == want
+    assert kernels.PhraseIndex(phrases, bordered, {b"ab ": 9, b"a\xc3\xa9": 7}).places(column).to_pylist() == want
+
+
+def test_word_counts_of_batches(spark, monkeypatch):
+    monkeypatch.setattr(kernels, "_PIECE", 40)
+    rng = random.Random(9)
+    texts = [None, "", " ", "\xa0", *("".join(rng.choice("ab é漢 \t\n\x1f\x85\xa0\u2003\u3000\u1680") for _ in range(rng.randrange(0, 30))) for _ in range(200))]
+    assert kernels.word_counts(pa.array(texts, pa.string())).to_pylist() == [len((t or "").split()) for t in texts]
+
+
+def test_gram_counts_choose_anchors(spark):
+    df = spark.createDataFrame([(i, "the cat" if i % 2 else "the dog") for i in range(50)], "id int, t string")
+    counts = matching.gram_counts(df, F.col("t"), ["id"])
+    assert counts[b"the"] == 50 and counts[b"cat"] == 25
+    assert [r.p for r in df.select("id", matching.phrase_places(F.col("t"), ["the cat", "dog"], counts=counts).alias("p")).orderBy("id").limit(2).collect()] == [[1], [0]]
+
+
 def test_keyword_paths_agree(spark):
     rows = spark.createDataFrame([(str(i), f"title {w}", w) for i, w in enumerate(("spark sql", "rust", "spark", "pandas sql"))], "id string, title string, text string")
     users = spark.createDataFrame([("u", ["spark", "sql"]), ("v", ["pandas"]), ("w", ["nothing"])], "user_id string, terms array<string>")
