@@ -14,14 +14,16 @@ least rank, until no pair of a word is in the table. Decoding is an ordered aggr
 * A space after a character that is no white space always begins a match, and no match spans it. So texts are cut
   there first, by Arrow; only distinct chunks are searched with the pattern.
 
-Memory: a task holds one slice of texts (16 MB), a long text is cut into segments of about 1 MB at such
-spaces, and what a worker remembers is two generations of ``CHUNKS`` chunks and words. A single match of the pattern is held whole.
+Memory: a task holds one slice of texts (4 MB), a long text is cut into segments of about 1 MB at such
+spaces, at most ``BATCH`` words go into one query, and a worker remembers at most ``KNOWN`` words and fewer
+chunks and decoded runs. A single match of the pattern is held whole.
 """
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import duckdb
 import numpy as np
@@ -32,10 +34,25 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from pulserank.llm.common import column_free, pieces
 
-LONG, SEGMENT, SLICE = 64, 1 << 20, 16 << 20
-CHUNKS, ROWS = 200_000, 400_000
+LONG, SEGMENT, SLICE = 60, 1 << 20, 4 << 20
+KNOWN, BATCH = 700_000, 50_000
 
-_CONTRACT = """
+#: A word's tokens lie at 64 * word and the places after it, without gaps; ``key`` orders its pairs by rank, then from the left.
+_LEFTMOST = """
+WITH RECURSIVE t(place, token, open) AS (
+  SELECT word * 64 + pos, token, true FROM start
+  UNION ALL (
+    WITH pairs AS MATERIALIZED (
+      SELECT n.place, n.token, m.rank::BIGINT << 32 | n.place AS key FROM (
+        SELECT place, token, lead(token) OVER w AS next, lead(place) OVER w AS next_place FROM t WHERE open WINDOW w AS (ORDER BY place)) n
+      LEFT JOIN merges m ON m.first = n.token AND m.second = n.next AND n.next_place = n.place + 1),
+    least AS MATERIALIZED (SELECT place >> 6 AS word, min(key) AS key, min(key) & 4294967295 AS chosen FROM pairs GROUP BY ALL)
+    SELECT place - coalesce(place > chosen, false)::INT, CASE WHEN p.key = l.key THEN (l.key >> 32)::INT ELSE token END, l.key IS NOT NULL
+    FROM pairs p JOIN least l ON l.word = place >> 6 WHERE place IS DISTINCT FROM chosen + 1))
+SELECT place >> 6 AS word, token FROM t WHERE NOT open ORDER BY place
+"""
+#: Long words have places of their own. All pairs of the least rank that do not overlap are taken, or the first if its token is risky.
+_ALL_LEAST = """
 WITH RECURSIVE t(word, pos, token, open) AS (
   SELECT word, pos, token, true FROM start
   UNION ALL (
@@ -44,15 +61,7 @@ WITH RECURSIVE t(word, pos, token, open) AS (
         SELECT word, pos, token, lead(token) OVER w AS next, lead(pos) OVER w AS next_pos FROM t WHERE open
         WINDOW w AS (PARTITION BY word ORDER BY pos)) n
       LEFT JOIN merges m ON m.first = n.token AND m.second = n.next),
-    least AS MATERIALIZED (SELECT word, min(key) AS key, arg_min(next_pos, key) AS gone FROM pairs GROUP BY word)
-    {step}))
-SELECT word, pos, token FROM t WHERE NOT open ORDER BY word, pos
-"""
-_LEFTMOST = """
-    SELECT p.word, pos, CASE WHEN p.key = l.key THEN rank ELSE token END, l.key IS NOT NULL
-    FROM pairs p JOIN least l USING (word) WHERE gone IS DISTINCT FROM pos
-"""
-_ALL_LEAST = """,
+    least AS MATERIALIZED (SELECT word, min(key) AS key FROM pairs GROUP BY word),
     runs AS (
       SELECT *, place - row_number() OVER (PARTITION BY word ORDER BY pos) AS run FROM (
         SELECT p.*, l.key AS least, row_number() OVER (PARTITION BY word ORDER BY pos) AS place FROM pairs p JOIN least l USING (word))
@@ -62,7 +71,8 @@ _ALL_LEAST = """,
       WHERE run_place % 2 = 1 AND (NOT risky OR key = least))
     SELECT p.word, p.pos, coalesce(c.rank, p.token), l.key IS NOT NULL
     FROM pairs p JOIN least l USING (word) LEFT JOIN chosen c ON c.word = p.word AND c.pos = p.pos
-    WHERE NOT EXISTS (FROM chosen g WHERE g.word = p.word AND g.next_pos = p.pos)
+    WHERE NOT EXISTS (FROM chosen g WHERE g.word = p.word AND g.next_pos = p.pos)))
+SELECT word, token FROM t WHERE NOT open ORDER BY word, pos
 """
 
 
@@ -79,38 +89,29 @@ def default_pattern() -> str:
 
 
 class _Kept(dict):
-    """Two generations of ``limit`` entries; what is asked for again stays."""
+    """At most ``limit`` entries; the older half goes when there are more."""
 
     def __init__(self, limit: int):
         super().__init__()
-        self.limit, self.old = limit, {}
-
-    def find(self, key):
-        value = self.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
+        self.limit = limit
 
-    def put(self, key, value) -> None:
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            for key in list(islice(self, len(self) - self.limit // 2)):
+                del self[key]
 
 
 class Codec:
     """A rank file as tables of an in-memory DuckDB connection."""
 
-    def __init__(self, path: str, pattern: str, chunks: int = CHUNKS):
+    def __init__(self, path: str, pattern: str, known: int = KNOWN):
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.findall = regex.compile(pattern).findall
         self.odd = regex.compile(r"\s ").search
         self.cut = regex.compile(r"(?<=\S) ").search
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.chunks, self.words, self.runs = _Kept(chunks), _Kept(chunks), _Kept(chunks)
+        self.words, self.chunks, self.runs = _Kept(known), _Kept(known // 3), _Kept(known // 2)
         merges, beside = [], np.zeros(1 << 16, bool)
         for token, rank in self.ranks.items():
             for at in range(1, len(token)):
@@ -125,7 +126,7 @@ class Codec:
             np.minimum.at(least, part, rank)
         self.spaced = np.zeros(len(least), bool)
         self.spaced[[r for t, r in self.ranks.items() if t[:1] == b" "]] = True
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "800MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "320MB", "temp_directory": ""})
         self._table("merges", first=first, second=second, rank=rank, risky=least[rank] < rank)
         self._table("tokens", id=np.fromiter(self.ranks.values(), np.int32), spelled=[t.hex() for t in self.ranks])
 
@@ -134,13 +135,13 @@ class Codec:
         self.db.sql(f"CREATE OR REPLACE TEMP TABLE {name} AS FROM _rows")
         self.db.unregister("_rows")
 
-    def _contract(self, parts: list[bytes], step: str) -> tuple[np.ndarray, np.ndarray]:
+    def _contract(self, parts: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
         """(part, token) of each token, in order."""
         sizes = np.array([len(p) for p in parts])
         word = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
         pos = np.arange(len(word), dtype=np.int32) - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.int32)
         self._table("start", word=word, pos=pos, token=self.bytes[np.frombuffer(b"".join(parts), np.uint8)])
-        done = self.db.sql(_CONTRACT.format(step=step)).fetchnumpy()
+        done = self.db.sql(query).fetchnumpy()
         return done["word"], done["token"]
 
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
@@ -157,31 +158,36 @@ class Codec:
         self._collect(found, long, owners, parts, _ALL_LEAST)
         return found
 
-    def _collect(self, found: dict, words: list[bytes], owners, parts: list[bytes], step: str) -> None:
+    def _collect(self, found: dict, words: list[bytes], owners, parts: list[bytes], query: str) -> None:
         if not parts:
             return
-        part, token = self._contract(parts, step)
+        part, token = self._contract(parts, query)
         owner = np.asarray(owners, np.int64)[part]
         ends = np.searchsorted(owner, np.arange(len(words) + 1))
         for word, a, b in zip(words, ends, ends[1:]):
             found[word] = token[a:b].astype(np.int32).tobytes()
 
     def _spell(self, chunks: list[str]) -> list[bytes]:
-        """The packed tokens of each chunk; new words of all chunks are contracted in one query."""
-        known = [self.chunks.find(c) for c in chunks]
-        new = [i for i, k in enumerate(known) if k is None]
-        split = [[w.encode("utf-8", "replace") for w in self.findall(chunks[i])] for i in new]
-        have = {w: self.words.find(w) for words in split for w in words}
-        learned = self._learn([w for w, v in have.items() if v is None])
-        have |= learned
-        for i, words in zip(new, split):
-            known[i] = b"".join([have[w] for w in words])
-            if len(chunks[i]) <= 100:
-                self.chunks.put(chunks[i], known[i])
-        for word, value in learned.items():
-            if len(word) <= 100:
-                self.words.put(word, value)
-        return known
+        """The packed tokens of each chunk."""
+        known, findall = self.words, self.findall
+        packed = [known.get(c) or self.chunks.get(c) for c in chunks]  # most chunks are a word, or were met before
+        unmet = [i for i, p in enumerate(packed) if p is None]
+        split = [findall(chunks[i]) for i in unmet]
+        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known]
+        for at in range(0, len(new), BATCH):
+            part = new[at:at + BATCH]
+            coded = [w.encode("utf-8", "replace") for w in part]
+            learned = self._learn(coded)
+            known.update(zip(part, map(learned.__getitem__, coded)))
+        for i, words in zip(unmet, split):
+            packed[i] = known[words[0]] if len(words) == 1 else b"".join(map(known.__getitem__, words))
+        self.chunks.update((chunks[i], packed[i]) for i in unmet if len(chunks[i]) <= 100)
+        for word in new:
+            if len(word) > 100:
+                del known[word]
+        known.trim()
+        self.chunks.trim()
+        return packed
 
     def _segments(self, text: str) -> Iterator[str]:
         at = 0
@@ -208,17 +214,12 @@ class Codec:
         code, owner = coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(whole)), np.diff(starts))
         code[starts[:-1]] = len(chunks) + np.arange(len(whole))
         chunks += [s[:p] if (p := s.find(" ")) >= 0 and not o else s for s, o in zip(whole, odd)]
-        packed = self._spell(chunks)
-        sizes = np.array([len(p) >> 2 for p in packed], np.int64)
-        values = np.frombuffer(b"".join(packed), np.int32)
-        begin, each = (np.cumsum(sizes) - sizes)[code], sizes[code]
-        ends = np.cumsum(each)
-        ids = values[np.repeat(begin - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        ids, each = _gathered(self._spell(chunks), code, np.int32)
         per_text = np.bincount(np.asarray(owners)[owner], each, len(texts)).astype(np.int64)
         return np.concatenate([[0], np.cumsum(per_text)]), ids
 
     def decode(self, ends: np.ndarray, ids: np.ndarray) -> list[bytes]:
-        """The bytes that the tokens of each text spell; runs that begin with a space are spelled once per slice."""
+        """The bytes that the tokens of each text spell; a run that begins with a space is spelled once."""
         if not len(ids):
             return [b""] * (len(ends) - 1)
         ids = np.ascontiguousarray(ids, np.int32)
@@ -228,26 +229,32 @@ class Codec:
         offsets = np.append(starts, len(ids)).astype(np.int64) * 4
         runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).dictionary_encode()
         keys = runs.dictionary.to_pylist()
-        text = [self.runs.find(k) for k in keys]
-        new = [i for i, t in enumerate(text) if t is None]
-        sizes = np.array([len(keys[i]) >> 2 for i in new], np.int64)
-        if new:
-            self._table("spell", run=np.repeat(np.arange(len(new), dtype=np.int32), sizes), pos=np.arange(sizes.sum(), dtype=np.int32), id=np.frombuffer(b"".join(keys[i] for i in new), np.int32))
+        new = [k for k in keys if k not in self.runs]
+        for at in range(0, len(new), BATCH):
+            part = new[at:at + BATCH]
+            sizes = np.array([len(k) >> 2 for k in part], np.int64)
+            self._table("spell", run=np.repeat(np.arange(len(part), dtype=np.int32), sizes), pos=np.arange(sizes.sum(), dtype=np.int32), id=np.frombuffer(b"".join(part), np.int32))
             done = self.db.sql("SELECT string_agg(spelled, '' ORDER BY pos) AS s FROM spell JOIN tokens USING (id) GROUP BY run ORDER BY run").fetchall()
-            for i, (spelled,) in zip(new, done):
-                text[i] = spelled
-                if len(keys[i]) <= 400:
-                    self.runs.put(keys[i], spelled)
-        self._table("runs", run=np.arange(len(text), dtype=np.int32), spelled=text)
-        owner = np.searchsorted(ends, starts, "right").astype(np.int32) - 1
-        code = runs.indices.to_numpy().astype(np.int32)
-        out: list[list[bytes]] = [[] for _ in ends[1:]]
-        for at in range(0, len(code), ROWS):
-            here = slice(at, at + ROWS)
-            self._table("placed", owner=owner[here], pos=np.arange(len(code[here]), dtype=np.int32), run=code[here])
-            for i, spelled in self.db.sql("SELECT owner, string_agg(spelled, '' ORDER BY pos) FROM placed JOIN runs USING (run) GROUP BY owner").fetchall():
-                out[i].append(bytes.fromhex(spelled))
-        return [b"".join(parts) for parts in out]
+            self.runs.update(zip(part, [bytes.fromhex(spelled) for spelled, in done]))
+        spelled = [self.runs[k] for k in keys]
+        for key in new:
+            if len(key) > 400:
+                del self.runs[key]
+        self.runs.trim()
+        flat, sizes = _gathered(spelled, runs.indices.to_numpy(), np.uint8)
+        raw, places = flat.tobytes(), np.append(np.cumsum(sizes) - sizes, len(flat))[np.searchsorted(starts, ends)].tolist()
+        return [raw[a:b] for a, b in zip(places, places[1:])]
+
+
+def _gathered(parts: list[bytes], code: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of ``parts`` in the order of ``code``, and how many each has."""
+    width = np.dtype(kind).itemsize
+    sizes = np.array([len(p) // width for p in parts], np.int64)
+    each = sizes[code]
+    ends = np.cumsum(each)
+    place = np.repeat((np.cumsum(sizes) - sizes)[code] - (ends - each), each)
+    place += np.arange(len(place))
+    return np.frombuffer(b"".join(parts), kind)[place], each
 
 
 @lru_cache(maxsize=2)

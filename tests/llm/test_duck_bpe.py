@@ -85,10 +85,11 @@ def test_empty_table_and_only_nulls(spark):
 
 
 def test_caches_stay_small():
-    codec = duck_bpe.Codec(duck_bpe.default_path(), duck_bpe.default_pattern(), chunks=50)
+    codec = duck_bpe.Codec(duck_bpe.default_path(), duck_bpe.default_pattern(), known=50)
     own = reference()
     for start in range(0, 3000, 300):
         texts = [f"w{i} x{i}y the same" for i in range(start, start + 300)]
         ends, ids = codec.encode(texts)
         assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [own.encode_ordinary(t) for t in texts]
-    assert max(len(codec.chunks), len(codec.chunks.old), len(codec.words), len(codec.words.old)) <= 50
+        assert [bytes(b) for b in codec.decode(ends, ids)] == [t.encode() for t in texts]
+    assert len(codec.words) <= 50 and max(len(codec.runs), len(codec.chunks)) <= 25
