@@ -27,7 +27,8 @@ from pulserank.operators.dedup import top_n
 #: Fixed by the contract: signs that end a piece, and letters that are lowered.
 ENDS = r"[.,;:!?\n-\r]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BUCKET, SEGMENT, BROADCAST = 4_000_000, 50_000, 64 << 20
+BUCKET, SEGMENT, BROADCAST = 1_000_000, 50_000, 64 << 20
+_TEXTS, _IDS = 4 << 20, 4 << 20  # bytes a task works on at a time
 _BREAK = "\n"
 
 
@@ -53,7 +54,7 @@ def _numbered(rows: DataFrame, order: list[str]) -> DataFrame:
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(row, code, dictionary) of the words of each text in order; ``_BREAK`` stands between pieces."""
-    low = pc.replace_substring_regex(pc.ascii_lower(texts.cast(pa.large_string())), ENDS, f" {_BREAK} ")
+    low = pc.replace_substring_regex(pc.ascii_lower(texts), ENDS, f" {_BREAK} ")  # a slice must not be cast before: Arrow then reads other rows
     split = pc.split_pattern(pc.replace_substring(low, "\t", " "), " ")
     coded = split.flatten().dictionary_encode()
     row = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
@@ -112,7 +113,7 @@ def word_sequences(docs: DataFrame, ids: DataFrame, text: str = "text", lang: st
     rows = _rows(docs, text, lang)
     if not _fits(ids, broadcast_bytes):
         def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches, "text"):
+            for batch in pieces(batches, "text", _TEXTS):
                 row, code, names = _words(batch.column("text"))
                 brk = code == (names.index(_BREAK) if _BREAK in names else -1)
                 starts = _cut(row, brk)
@@ -129,7 +130,7 @@ def word_sequences(docs: DataFrame, ids: DataFrame, text: str = "text", lang: st
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", _TEXTS):
             for name, part in _by_lang(batch):
                 own = shared.value.get(name, {})
                 row, code, names = _words(part.column("text"))
@@ -162,7 +163,7 @@ def pair_counts(sequences: DataFrame, width: int, bucket_bits: int, least: int)
                 columns = [pa.array([lang] * len(filters), pa.string()), pa.array([f.bucket for f in filters], pa.int64()), pa.array([f.to_bytes() for f in filters], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "filter"])
 
-        for batch in pieces(batches, "ids", 16 << 20):
+        for batch in pieces(batches, "ids", _IDS):
             for lang, part in _by_lang(batch):
                 flat, _ = _flat(part)
                 both = np.flatnonzero((flat[:-1] >= 0) & (flat[1:] >= 0))
@@ -206,7 +207,7 @@ def pair_sequences(sequences: DataFrame, ids: DataFrame, broadcast_bytes: int =
     shared = sequences.sparkSession.sparkContext.broadcast(known)
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "ids", 16 << 20):
+        for batch in pieces(batches, "ids", _IDS):
             for lang, part in _by_lang(batch):
                 if lang not in shared.value:
                     continue

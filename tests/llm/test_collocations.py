@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulserank.llm import collocations as C
@@ -77,6 +78,22 @@ def test_equals_plain_counts(frame, broadcast):
     assert got == plain(corpus(), 8) and len(got) > 50
 
 
+def test_words_of_slices():
+    """Texts come as slices of larger batches."""
+    texts = [t or "" for t, _ in corpus()]
+    whole = pa.array(texts, pa.string())
+    for start, size in ((0, 3), (7, 40), (90, 70)):
+        row, code, names = C._words(whole.slice(start, size))
+        want = [(i, w) for i, t in enumerate(texts[start:start + size]) for w in re.findall("[^\x20\x09]+", re.sub("[.,;:!?\n-\r]", " \n ", low(t)))]
+        assert [(i, names[c]) for i, c in zip(row.tolist(), code.tolist())] == want
+
+
+def test_many_slices_equal_plain_counts(frame, monkeypatch):
+    monkeypatch.setattr(C, "_TEXTS", 2000)
+    monkeypatch.setattr(C, "_IDS", 3000)
+    assert answers(C.collocations(frame.coalesce(1), least=8)) == plain(corpus(), 8)
+
+
 def test_top_and_cover(frame):
     assert answers(C.collocations(frame, least=5, longest=3, top=4, cover=80)) == plain(corpus(), 5, 3, 4, 80)
 
@@ -84,7 +101,7 @@ def test_top_and_cover(frame):
 def test_segments_of_long_texts(frame, monkeypatch):
     rows = [(t, g) for t, g in corpus()]
     got = {(r.lang, r.phrase): r.f for r in C.frequent_phrases(frame, 8)[0].collect()}
-    row, code, names = C._words(__import__("pyarrow").array([rows[-1][0]]))
+    row, code, names = C._words(pa.array([rows[-1][0]]))
     monkeypatch.setattr(C, "SEGMENT", 10)
     starts = C._cut(row, code == names.index("\n"))
     assert len(starts) > 500 and all(names[code[s]] == "\n" for s in starts[1:])
