@@ -23,14 +23,16 @@ def report(
     A rule is a condition that is true for bad rows.  ``unique`` adds a rule for repeated
     keys, ``columns`` one for absent columns.  ``strict`` raises if anything is broken.
     """
-    counted = df.agg(*[F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in rules.items()])
-    rows = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules])
+    named = {f"_{i}": name for i, name in enumerate([*rules, *(["duplicate_key"] if unique else [])])}
+    broken = [F.count_if(F.coalesce(bad, F.lit(False))).alias(c) for c, bad in zip(named, rules.values())]
+    if unique:  # rules are counted per key and added up, so rows are read once
+        last = f"_{len(rules)}"
+        per_key = df.groupBy(*unique).agg(*broken, (F.count("*") - 1).alias(last))
+        counted = per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in named])
+    else:
+        counted = df.agg(*broken)
+    rows = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(c).alias("violations")) for c, name in named.items()])
     out = counted.select(F.explode(rows).alias("r")).select("r.rule", "r.violations")
-    if unique:
-        repeats = df.groupBy(*unique).agg(F.count("*").alias("n")).agg(
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations")
-        )
-        out = out.unionByName(repeats.select(F.lit("duplicate_key").alias("rule"), "violations"))
     missing = [c for c in columns if c not in df.columns]
     if columns:
         line = df.sparkSession.range(1).select(
@@ -38,9 +40,9 @@ def report(
         )
         out = out.unionByName(line)
     if strict:
-        broken = {r["rule"]: r["violations"] for r in out.where("violations > 0").collect()}
-        if broken:
-            raise ValueError(f"quality rules broken: {broken}")
+        bad = {r["rule"]: r["violations"] for r in out.where("violations > 0").collect()}
+        if bad:
+            raise ValueError(f"quality rules broken: {bad}")
     return out
 
 

@@ -144,6 +144,49 @@ def archive_checks(spark, sf):
     return report(archive_records(spark, sf), archive_rules(tuple(A.WORD_TOPICS)), unique=("id",))
 
 
+#: The twin up to titles: no topic is matched, so it is cheap.
+_NAMED = ARCHIVE[:ARCHIVE.index(",\nblobs AS (")]
+_URL = ARCHIVE[ARCHIVE.index("text, CASE\n    WHEN event_type = 'IssuesEvent' THEN") + len("text, "):ARCHIVE.index(" AS url,\n    strftime")].replace("m.id", "id")
+
+
+def _archive_files(spark, sf):
+    path = scratch_path(spark, "archive")
+    archive_lines(spark, sf).write.option("compression", "gzip").text(path)
+    return archive.read_archive(spark, path)
+
+
+@query("archive_records", f"""WITH {_NAMED}
+SELECT id, event_type, repo_name, actor_login, title, md5(text) AS text_md5, CAST(length(text) AS INT) AS text_length, {_URL} AS url,
+  strftime(created_utc, '%Y-%m-%dT%H:%M:%SZ') AS created_utc FROM named""")
+def archive_valid_records(spark, sf):
+    """Archive files to valid events with title, text and page."""
+    rows = archive.valid_records(_archive_files(spark, sf), _CUTOFF)
+    return rows.select(
+        "id", "event_type", "repo_name", "actor_login", "title", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.length("text").alias("text_length"), "url", "created_utc"
+    )
+
+
+@query("archive_broken_records", f"""WITH {_NAMED}, n AS (SELECT count(*) AS n, {', '.join(f"count(*) FILTER (k % 11 = {i}) AS c{i}" for i in range(11))} FROM named)
+SELECT unnest(['wrong_source', 'wrong_domain', 'missing_id', 'missing_text_field', 'empty_title', 'bad_repo', 'counts_not_null', 'bad_time', 'unknown_topic', 'duplicate_key']) AS rule,
+  unnest([c1, c2, c3, c4, c5, c6, c7, c8, c9, c10 + greatest(c3 - 1, 0)]) AS violations FROM n""")
+def archive_broken_records(spark, sf):
+    """A share of the valid events breaks each rule of archive records once; a last share comes twice."""
+    rows = archive.valid_records(_archive_files(spark, sf), _CUTOFF)
+    kind = F.regexp_extract("repo_name", r"(\d+)$", 1).cast("bigint") % 11
+    broken = {
+        "source": (1, F.lit("mail"), F.lit("github")), "domain": (2, F.lit(None).cast("string"), F.lit("github.com")), "id": (3, F.lit(" "), F.col("id")),
+        "text": (4, F.lit(None).cast("string"), F.col("text")), "title": (5, F.lit("\t"), F.col("title")), "repo_name": (6, F.lit("norepo"), F.col("repo_name")),
+        "score": (7, F.lit(1), F.lit(None).cast("int")), "created_utc": (8, F.lit("yesterday"), F.col("created_utc")), "topic": (9, F.lit("Other"), F.lit(next(iter(A.WORD_TOPICS)))),
+    }
+    rows = rows.withColumn("_kind", kind)
+    shown = rows.select(
+        "event_type", "actor_login", "url", F.lit(None).cast("int").alias("num_comments"), "_kind",
+        *(F.when(F.col("_kind") == i, bad).otherwise(good).alias(c) for c, (i, bad, good) in broken.items()),
+    )
+    twice = shown.select("*", F.explode(F.sequence(F.lit(1), F.when(F.col("_kind") == 10, 2).otherwise(1))).alias("_copy"))
+    return report(twice, archive_rules(tuple(A.WORD_TOPICS)), unique=("id",))
+
+
 @query("payload_strings", f"""WITH {O.FEED}, docs AS (SELECT f.event_id, f.num_comments AS k, f.title, d.text, d.lang FROM feed f JOIN documents d ON d.doc_id = f.event_id % (SELECT count(*) FROM documents))
 SELECT event_id, len(s) AS leaves, CAST(list_sum([length(x) FOR x IN s]) AS BIGINT) AS characters FROM (
   SELECT event_id, [title, lang, text, title, 'too deep'] AS s FROM docs)""")

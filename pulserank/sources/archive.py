@@ -219,21 +219,29 @@ def payload_strings(
     return df.withColumnRenamed("_found", out).drop("_level")
 
 
-def archive_events(events: DataFrame, cutoff: str | Column, vocab: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Flat records of valid events that match at least one topic; one row per event id.
+def valid_records(events: DataFrame, cutoff: str | Column) -> DataFrame:
+    """Valid events with title, text and url, before topics are looked for; the payload stays a variant.
 
-    A row's topic is the rarest of those it matches, which needs the totals over all rows
-    first: the matched rows are written once to the shared folder, so that no archive is
-    parsed twice.
+    Events with a deleted title or without a url are left out.
     """
     df = valid(envelope(events), cutoff)
     same = ("id", "event_type", "actor_login", "repo_name", "repo_description", "created_utc", "payload")
     action = _text("payload", "$.action")
     other = F.when(action != "", F.concat_ws(": ", "event_type", action)).otherwise(F.concat_ws(" on ", "event_type", "repo_name"))
     df = computed(df, same, _tt=title_and_text(), _other=other, url=event_url())
-    df = df.select(
+    return df.select(
         *same, "url", F.when(F.col("_tt.title") != "", F.col("_tt.title")).otherwise(F.col("_other")).alias("title"), F.col("_tt.text").alias("text")
     ).where(~F.lower("title").isin(*K.DELETED_MARKERS) & F.col("url").isNotNull())
+
+
+def archive_events(events: DataFrame, cutoff: str | Column, vocab: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Flat records of valid events that match at least one topic; one row per event id.
+
+    A row's topic is the rarest of those it matches, which needs the totals over all rows
+    first: the matched rows are written once to the shared folder, so that no archive is
+    parsed twice.
+    """
+    df = valid_records(events, cutoff)
     df = payload_strings(df)
     parts = F.concat(F.array("repo_name", "repo_description", "title", "text"), "payload_strings")
     blob = F.lower(F.array_join(F.filter(parts, lambda p: p != ""), "\n"))
