@@ -144,7 +144,6 @@ PROFILE_FIELDS = (
     "topics_of_expertise", "expertise_topics", "topics",
 )
 HISTORY_FIELDS = ("title", "domain", "topic", "topic_category", "source")
-HISTORY_LIMIT = 20
 
 # Archive events.
 ARCHIVE_EVENT_TYPES = (
@@ -155,8 +154,6 @@ ARCHIVE_EVENT_TYPES = (
 DELETED_MARKERS = ("[deleted]", "[removed]", "[bot]", "")
 DELETED_HIT_MARKERS = ("[deleted]", "[dead]", "")
 PAYLOAD_SKIPPED_KEYS = ("avatar_url", "gravatar_id", "sha", "id", "node_id")
-PAYLOAD_DEPTH = 6
-PAYLOAD_LIST_ITEMS = 50
 ITEM_PAGE = "https://news.ycombinator.com/item?id="
 
 COVERAGE_UNKNOWN_WARN = 0.50

@@ -152,8 +152,10 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     interests = best(tokens, "token", 5, "interests")
     expertise = rows.groupBy("user_id").agg(F.array_sort(F.collect_set("lang")).alias("expertise"))
     domains = best(rows, "domain_category", 2, "preferred_domains")
-    latest = top_n(rows, ["user_id"], [F.desc("created_utc"), F.asc("id")], K.HISTORY_LIMIT)
-    history = _listed(latest, F.struct("title", "domain", "source"), "engagement_history")
+    # The whole history, newest first; equal entries are one before they are collected.
+    newest = F.min(F.struct(F.coalesce(-F.unix_micros("created_utc"), F.lit((1 << 63) - 1)).alias("back"), "id")).alias("rank")
+    entries = rows.groupBy("user_id", "title", "domain", "source").agg(newest)
+    history = _listed(entries, F.struct("title", "domain", "source"), "engagement_history")
     return interests.join(expertise, "user_id").join(domains, "user_id").join(history, "user_id")
 
 

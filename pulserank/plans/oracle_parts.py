@@ -239,8 +239,7 @@ prof_domains2 AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, domain_category) AS rn FROM prof_domains
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, domain_category) <= 2),
 prof_history AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_utc DESC, id) AS rn FROM prof_rows
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY created_utc DESC, id) <= 20),
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_utc DESC, id) AS rn FROM prof_rows),
 {listed('prof_tokens5', 'token', 'interests')},
 expertise AS (SELECT user_id, list(lang ORDER BY lang) AS expertise FROM (SELECT DISTINCT user_id, lang FROM prof_rows) GROUP BY user_id),
 {listed('prof_domains2', 'domain_category', 'preferred_domains')},

@@ -83,7 +83,7 @@ def _archive_sql() -> str:
         f"CASE WHEN m{i} OR {_word_or_sign(t, w).replace('lower(text)', 'blob')} THEN {O.quoted(t)} END" for i, (t, w) in enumerate(A.WORD_TOPICS.items())
     )
     return O.FEED + f""",
-docs AS (SELECT *, {in_document} FROM documents),
+docs AS MATERIALIZED (SELECT *, {in_document} FROM documents),
 ev AS (
   SELECT d.* EXCLUDE (doc_id, text, lang, source, n_chars), CAST(f.event_id AS VARCHAR) AS id, f.num_comments AS k, f.num_comments, f.user_id, f.title AS T, d.text AS X, d.lang, f.created_utc, {kinds} AS event_type,
     CASE WHEN f.num_comments % 17 = 0 THEN 'norepo' ELSE 'org/repo' || f.num_comments END AS repo_name,
@@ -107,12 +107,12 @@ tt AS (
     WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent', 'PullRequestReviewCommentEvent', 'PullRequestReviewEvent') THEN {O.strip("'Comment ' || X")}
     WHEN event_type = 'ReleaseEvent' THEN 'Notes' WHEN event_type = 'CreateEvent' THEN {O.strip('T')} WHEN event_type = 'GollumEvent' THEN 'More' ELSE '' END AS text
   FROM ok),
-named AS (SELECT *, CASE WHEN t0 = '' THEN event_type || ': opened' WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent') THEN t0 ELSE {O.strip('t0')} END AS title FROM tt),
-blobs AS (SELECT *, {blob} AS blob FROM named),
-matched AS (SELECT * FROM (SELECT *, [x FOR x IN [{matches}] IF x IS NOT NULL] AS topics FROM blobs) WHERE len(topics) > 0),
-flat AS (SELECT id, unnest(topics) AS topic, generate_subscripts(topics, 1) AS i FROM matched),
+named AS MATERIALIZED (SELECT *, CASE WHEN t0 = '' THEN event_type || ': opened' WHEN event_type IN ('IssueCommentEvent', 'CommitCommentEvent') THEN t0 ELSE {O.strip('t0')} END AS title FROM tt),
+blobs AS MATERIALIZED (SELECT *, {blob} AS blob FROM named),
+matched AS MATERIALIZED (SELECT * FROM (SELECT *, [x FOR x IN [{matches}] IF x IS NOT NULL] AS topics FROM blobs) WHERE len(topics) > 0),
+flat AS MATERIALIZED (SELECT id, unnest(topics) AS topic, generate_subscripts(topics, 1) AS i FROM matched),
 totals AS (SELECT topic, count(*) AS n FROM flat GROUP BY 1),
-picked AS (SELECT id, arg_min(topic, n * 100 + i) AS topic FROM flat JOIN totals USING (topic) GROUP BY id),
+picked AS MATERIALIZED (SELECT id, arg_min(topic, n * 100 + i) AS topic FROM flat JOIN totals USING (topic) GROUP BY id),
 records AS (
   SELECT m.id, 'github' AS source, event_type, repo_name, actor_login, title, text, CASE
     WHEN event_type = 'IssuesEvent' THEN {base} || '/issues/' || m.id
@@ -145,7 +145,7 @@ def archive_checks(spark, sf):
 
 
 #: The twin up to titles: no topic is matched, so it is cheap.
-_NAMED = ARCHIVE[:ARCHIVE.index(",\nblobs AS (")]
+_NAMED = ARCHIVE[:ARCHIVE.index(",\nblobs AS MATERIALIZED (")]
 _URL = ARCHIVE[ARCHIVE.index("text, CASE\n    WHEN event_type = 'IssuesEvent' THEN") + len("text, "):ARCHIVE.index(" AS url,\n    strftime")].replace("m.id", "id")
 
 

@@ -1,8 +1,10 @@
 """Hourly event archives: one JSON event per line, to flat records."""
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pulserank.functions import constants as K
@@ -170,17 +172,17 @@ def event_url(event_type: str = "event_type", payload: str = "payload", repo: st
     )
 
 
-def _depth(document: Column) -> Column:
-    """How deep objects and lists of a JSON text nest: the highest count of open brackets outside its strings."""
-    bare = F.regexp_replace(document, r'"(?:[^"\\]++|\\.)*+"', "")
-    brackets = F.filter(F.split(F.translate(F.regexp_replace(bare, r"[^\[\]{}]", ""), "[]{}", "()()"), ""), lambda c: c != "")
-    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
-
-    def step(state: Column, c: Column) -> Column:
-        now = state["open"] + F.when(c == "(", 1).otherwise(-1)
-        return F.struct(now.alias("open"), F.greatest(state["most"], now).alias("most"))
-
-    return F.aggregate(brackets, start, step, lambda s: s["most"])
+def _leaves(document: str | None, depth: int | None, items: int | None, skipped: frozenset) -> list[str]:
+    """The texts of a JSON document, level by level; objects in the order of their keys."""
+    level, found = [] if document is None else [json.loads(document)], []
+    while level:
+        found += [v for v in level if isinstance(v, str)]
+        below = [] if depth == 0 else [
+            x for v in level if isinstance(v, (dict, list))
+            for x in ([v[k] for k in sorted(v) if k not in skipped] if isinstance(v, dict) else v[:items])
+        ]
+        level, depth = below, None if depth is None else depth - 1
+    return found
 
 
 def payload_strings(
@@ -191,32 +193,20 @@ def payload_strings(
     items: int | None = None,
     skipped: Sequence[str] = K.PAYLOAD_SKIPPED_KEYS,
 ) -> DataFrame:
-    """Add all string leaves of a free-form payload.
+    """Add all string leaves of a free-form payload, one after the levels of the other.
 
-    Level by level inside the row: values of objects without the skipped keys, and the
-    entries of lists, are the next level.  No explode and no shuffle.  The number of levels is that of
-    the deepest payload, found in a pass of its own, unless ``depth`` limits it; ``items`` limits the entries of a list.
+    Values of objects without the skipped keys, and the entries of lists, are the next level. A payload is read in one go
+    inside its row, however deep it nests, so the plan is the same for all data. ``depth`` limits the levels below the first,
+    ``items`` the entries of a list. A null payload has no leaves.
     """
-    if depth is None:
-        depth = df.agg(F.max(_depth(F.to_json(payload)))).first()[0] or 0
-    none = F.array().cast("array<variant>")
-
-    def children(v: Column) -> Column:
-        fields = F.try_variant_get(v, "$", "map<string,variant>")
-        entries = F.try_variant_get(v, "$", "array<variant>")
-        kept = F.map_values(F.map_filter(fields, lambda k, _: ~k.isin(*skipped)))
-        return F.coalesce(kept, entries if items is None else F.slice(entries, 1, items), none)
-
-    level = F.when(F.col(payload).isNotNull(), F.array(F.col(payload))).otherwise(none)
-    df = df.withColumn("_level", level).withColumn("_found", F.array().cast("array<string>"))
-    for step in range(depth + 1):
-        texts = F.transform(
-            F.filter("_level", lambda v: F.schema_of_variant(v) == "STRING"), lambda v: F.try_variant_get(v, "$", "string")
-        )
-        df = df.withColumn("_found", F.concat("_found", texts))
-        if step < depth:
-            df = df.withColumn("_level", F.flatten(F.transform("_level", children)))
-    return df.withColumnRenamed("_found", out).drop("_level")
+    hidden = frozenset(skipped)
+
+    @F.arrow_udf("array<string>")
+    def leaves(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([_leaves(document, depth, items, hidden) for document in batch.to_pylist()], pa.list_(pa.string()))
+
+    return df.withColumn(out, leaves(F.to_json(payload)))
 
 
 def valid_records(events: DataFrame, cutoff: str | Column) -> DataFrame:

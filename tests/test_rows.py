@@ -234,3 +234,15 @@ def test_published_rows(spark):
     assert got["a"]["final_score"] == pytest.approx(0.6034681659967832) and got["b"]["final_score"] == pytest.approx(0.5906554051776685)
     assert got["a"]["why"] == ["high community engagement", "matches your interest in blog.genesmindsmachines.com", "strong recent activity trend"]
     assert got["b"]["why"] == ["high community engagement", "matches your interest in Trending Open-Source", "low effort to engage"]
+
+
+def test_payloads_of_any_depth(spark):
+    """A payload 300 levels deep, next to flat ones; the plan does not grow with the data."""
+    deep = '{"a":' * 300 + '"bottom"' + "}" * 300
+    rows = ['{"b":"two","a":["one",{"sha":"hidden","z":"three"}],"n":5}', deep, None, '"only"', "[[[]]]", '{"id":"hidden"}']
+    df = spark.createDataFrame(list(enumerate(rows)), "k int, j string").select("k", F.try_parse_json("j").alias("payload"))
+    plain = archive.payload_strings(df)
+    assert [r.payload_strings for r in plain.orderBy("k").collect()] == [["two", "one", "three"], ["bottom"], [], ["only"], [], []]
+    assert plain._jdf.queryExecution().toString().count("Project") <= 12
+    assert [len(r.payload_strings) for r in archive.payload_strings(df, depth=1).orderBy("k").collect()] == [1, 0, 0, 1, 0, 0]
+    assert archive.payload_strings(df, items=1).where("k = 0").first().payload_strings == ["two", "one"]
