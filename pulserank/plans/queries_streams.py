@@ -55,8 +55,8 @@ def stream_throughput(spark, sf):
     stream = spark.readStream.schema(A.table(spark, sf, "events").schema).option("maxFilesPerTrigger", "2").parquet(path)
     once = feed.dedup(stream, key=_fingerprint()).select("fp")
     with feed.FeedCounts(spark) as counts:
-        drain(once, "throughput")
-        totals = counts.totals()
+        _, running = drain(once, "throughput")
+        totals = counts.totals(query=running)
     return spark.createDataFrame([totals], "processed bigint, duplicates bigint, late bigint, total bigint")
 
 
@@ -99,6 +99,27 @@ def stream_live_communities(spark, sf):
     return current(analytics.active_communities(analytics_view(landed(spark, sf))), "communities")
 
 
+@query("stream_incremental_daily", f"WITH {O.FEED} SELECT CAST(CAST(created_utc AS DATE) AS VARCHAR) AS day, count(*) AS count FROM feed GROUP BY 1")
+def stream_incremental_daily(spark, sf):
+    """Partial results of twenty micro-batches, each of them stored twice as after a lost driver."""
+    landing, path = scratch_path(spark, "landed"), scratch_path(spark, "partials")
+    A.feed(spark, sf).select("event_id", "created_utc").repartition(20, "event_id").write.parquet(landing)
+    stream = spark.readStream.schema("event_id bigint, created_utc timestamp").option("maxFilesPerTrigger", "1").parquet(landing)
+
+    def daily(batch):
+        return analytics.daily_volume(batch, "created_utc")
+
+    store = feed.write_partial(daily, path)
+
+    def twice(batch, number):
+        store(batch, number)
+        store(batch, number)
+
+    writer = stream.writeStream.foreachBatch(twice).option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    return feed.merged(spark, path, "day date, count bigint", ["day"], ["count"]).withColumn("day", F.col("day").cast("string"))
+
+
 @query("stream_feedback", f"WITH {FOLD} SELECT user_id, events, round(e[1], 6) AS first, round(list_sum(e), 6) AS total, round(list_inner_product(e, e), 6) AS square FROM folded WHERE events > 0")
 def stream_feedback(spark, sf):
     """The change log of the user vectors, reduced to the latest vector of every user."""

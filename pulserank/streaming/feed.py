@@ -2,10 +2,13 @@
 from __future__ import annotations
 
 import threading
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from pulserank.functions.text import clean
 
@@ -80,16 +83,64 @@ def publish(df: DataFrame, path: str, checkpoint: str, available_now: bool = Tru
     return writer.start()
 
 
+def write_partial(summarise: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that stores the summary of a micro-batch in a folder of the batch's number.
+
+    Each attempt writes a folder of its own, complete once it holds ``_SUCCESS``; :func:`merged` counts one complete attempt per batch. So a batch
+    that is replayed changes nothing, and readers never see a part of one.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        summarise(batch).write.parquet(f"{path}/batch={number}/attempt={uuid.uuid4().hex}")
+
+    return write
+
+
+def accumulate(
+    df: DataFrame, summarise: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = True, every: str = "10 seconds",
+) -> StreamingQuery:
+    """An incremental report: partial results per micro-batch below ``path``, which :func:`merged` adds up.
+
+    No state is kept and no result is rewritten; the work of a batch follows its rows.
+    """
+    writer = df.writeStream.foreachBatch(write_partial(summarise, path)).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
+    return writer.start()
+
+
+def _complete(spark: SparkSession, path: str) -> list[str]:
+    """One complete attempt of every batch."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/attempt=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    by_batch: dict[str, str] = {}
+    for folder in sorted(status.getPath().getParent().toString() for status in found):
+        by_batch.setdefault(folder.rsplit("/", 2)[1], folder)
+    return list(by_batch.values())
+
+
+def merged(spark: SparkSession, path: str, schema: str | StructType, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """The report so far: the partial results of all complete batches, added up per key."""
+    folders = _complete(spark, path)
+    parts = spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+    return parts.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums))
+
+
+def compact(spark: SparkSession, path: str, target: str, schema: str | StructType, keys: Sequence[str], sums: Sequence[str]) -> None:
+    """The partial results below ``path`` as a single batch below ``target``, for feeds of very many batches."""
+    merged(spark, path, schema, keys, sums).write.parquet(f"{target}/batch=0/attempt={uuid.uuid4().hex}")
+
+
 class FeedCounts(StreamingQueryListener):
     """Rows read, stored, dropped as duplicates and dropped as late, summed over all micro-batches of a feed.
 
-    Use as a context around the start of the query; ``totals`` waits until the query has reported its end. The sums
-    hold however many batches there are, while a query remembers the progress of its last ones only.
+    Use as a context around the start of the query and hand the query to ``totals``, which waits until it has reported its end. The
+    sums are kept per query, so several feeds and reports can run at once, and they hold however many batches there are,
+    while a query remembers the progress of its last ones only.
     """
 
     def __init__(self, spark: SparkSession):
-        self._streams, self._done = spark.streams, threading.Event()
-        self._read = self._duplicates = self._late = 0
+        self._streams, self._changed = spark.streams, threading.Condition()
+        self._sums: dict[str, list[int]] = {}
+        self._ended: set[str] = set()
 
     def __enter__(self) -> FeedCounts:
         self._streams.addListener(self)
@@ -105,16 +156,24 @@ class FeedCounts(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        self._read += event.progress.numInputRows
+        sums = self._sums.setdefault(str(event.progress.runId), [0, 0, 0])
+        sums[0] += event.progress.numInputRows
         for state in event.progress.stateOperators:
-            self._duplicates += int(state.customMetrics.get("numDroppedDuplicateRows", 0))
-            self._late += state.numRowsDroppedByWatermark
+            sums[1] += int(state.customMetrics.get("numDroppedDuplicateRows", 0))
+            sums[2] += state.numRowsDroppedByWatermark
 
     def onQueryTerminated(self, event) -> None:
-        self._done.set()
-
-    def totals(self, seconds: float = 60) -> dict[str, int]:
-        if not self._done.wait(seconds):
-            raise TimeoutError("the feed has not reported its end")
-        stored = self._read - self._duplicates - self._late
-        return {"processed": stored, "duplicates": self._duplicates, "late": self._late, "total": self._read}
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def totals(self, seconds: float = 60, query: StreamingQuery | None = None) -> dict[str, int]:
+        """The sums of ``query``; without one, of the only query that has ended."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: self._ended if query is None else str(query.runId) in self._ended, seconds):
+                raise TimeoutError("the feed has not reported its end")
+            if query is None and len(self._ended) > 1:
+                raise ValueError("several queries have ended; name one")
+            run = next(iter(self._ended)) if query is None else str(query.runId)
+        read, duplicates, late = self._sums.get(run, (0, 0, 0))
+        return {"processed": read - duplicates - late, "duplicates": duplicates, "late": late, "total": read}

@@ -104,3 +104,40 @@ def test_counts_outlive_the_progress_a_query_remembers(spark, tmp_path):
 def test_batch_volume(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (15.0,)], "s double").select(F.timestamp_seconds("s").alias("ingested_at"))
     assert sorted(r["events"] for r in feed.volume(df).collect()) == [1, 2]
+
+
+def test_counts_of_two_feeds_at_once(spark, tmp_path):
+    for name, n in (("a", 3), ("b", 5)):
+        for i in range(n):
+            put(tmp_path / name / f"{i}.json", event(i, "hn", f"u{i % 2}", 1000.0 + i))
+    with feed.FeedCounts(spark) as counts:
+        queries = [feed.append(feed.dedup(feed.read_feed(spark, str(tmp_path / n), max_files=1)), str(tmp_path / f"{n}-out"), str(tmp_path / f"{n}-check"), fmt="parquet") for n in "ab"]
+        for q in queries:
+            q.awaitTermination()
+        assert [counts.totals(query=q)["total"] for q in queries] == [3, 5]
+        assert [counts.totals(query=q)["duplicates"] for q in queries] == [1, 3]
+
+
+def test_partial_reports_survive_replays_and_restarts(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def by_source(batch):
+        return batch.groupBy("source").count()
+
+    def now():
+        return {r["source"]: r["count"] for r in feed.merged(spark, out, "source string, count bigint", ["source"], ["count"]).collect()}
+
+    assert now() == {}
+    for i in range(4):
+        put(tmp_path / "in" / f"{i}.json", "\n".join([event(i, "hn", "u", 1.0), event(i, "reddit" if i % 2 else "hn", "u", 2.0)]))
+    feed.accumulate(feed.read_feed(spark, folder, max_files=1), by_source, out, f"{out}-check").awaitTermination()
+    assert now() == {"hn": 6, "reddit": 2}
+    feed.write_partial(by_source, out)(spark.createDataFrame([("hn",)], "source string"), 2)  # batch 2 again; either attempt counts once
+    (tmp_path / "out" / "batch=9" / "attempt=half").mkdir(parents=True)  # an attempt that was not finished
+    assert sum(now().values()) in (7, 8)
+    put(tmp_path / "in" / "4.json", event(9, "devto", "u", 3.0))
+    feed.accumulate(feed.read_feed(spark, folder, max_files=1), by_source, out, f"{out}-check").awaitTermination()
+    assert now()["devto"] == 1
+    feed.compact(spark, out, f"{out}-whole", "source string, count bigint", ["source"], ["count"])
+    before, out = now(), f"{out}-whole"
+    assert now() == before
