@@ -8,6 +8,7 @@ from pulserank.operators.shaping import page_label, topic_label
 from pulserank.plans import adapters as A, oracle_parts as O, recommend as R
 from pulserank.plans.catalog import listed, query, r6
 from pulserank.plans.queries_retrieval import candidates
+from pulserank.plans.queries_snapshot import kept
 from pulserank.session import materialise
 
 KEYS = ["user_id", "opportunity_id"]
@@ -126,9 +127,7 @@ def topic_summary(spark, sf):
 
 @query("headline_metrics", f"WITH {_TOPIC_ROWS} SELECT (SELECT count(*) FROM snap) AS opportunities, count(*) AS recommendations, count(DISTINCT recommended_topic) AS topics FROM board")
 def headline_metrics(spark, sf):
-    from pulserank.plans.queries_snapshot import _snapshot
-
-    return analytics.headline(_snapshot(spark, sf), board(spark, sf))
+    return analytics.headline(kept(spark, sf), board(spark, sf))
 
 
 @query("weekly_brief", f"WITH {_TOPIC_ROWS} SELECT user_id, rank, title, recommended_page, recommended_topic, round(reranked_score, 6) AS reranked_score, url FROM board")

@@ -53,9 +53,13 @@ def union_sources(spark, sf):
     return merged.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("score").alias("total"))
 
 
+def kept(spark, sf):
+    """The rows of the snapshot before texts, categories and features, which keep the rows as they are."""
+    return dedup.deduplicate(A.untexted(spark, sf))
+
+
 def _snapshot(spark, sf):
-    raw = standardize(A.opportunities(spark, sf).select(*K.RAW_COLUMNS[:-1]))
-    return S.snapshot([raw], A.REFERENCE_TS, A.TOPICS, A.DOMAINS)
+    return S.snapshot([A.untexted(spark, sf)], A.REFERENCE_TS, A.TOPICS, A.DOMAINS, complete=lambda rows: A.with_text(rows, spark, sf))
 
 
 @query("snapshot_build", f"WITH {O.SNAP} SELECT {', '.join(K.SNAPSHOT_COLUMNS)} FROM snap")
@@ -72,8 +76,9 @@ SELECT 'deduplication', 'removed', (SELECT count(*) FROM std) - count(*) FROM be
 SELECT 'domain_coverage', domain_category, count(*) FROM snap GROUP BY domain_category UNION ALL
 SELECT 'topic_coverage', topic_category, count(*) FROM snap GROUP BY topic_category""")
 def snapshot_metadata(spark, sf):
-    raw = standardize(A.opportunities(spark, sf).select(*K.RAW_COLUMNS[:-1]))
-    _, meta = S.build([raw], A.REFERENCE_TS, A.TOPICS, domains=A.DOMAINS)
+    _, meta = S.build(
+        [A.untexted(spark, sf)], A.REFERENCE_TS, A.TOPICS, domains=A.DOMAINS, complete=lambda rows: A.with_text(rows, spark, sf)
+    )
     parts = [
         meta.select(F.lit(name).alias("section"), F.explode(name).alias("key", "rows"))
         for name in ("row_counts", "domain_coverage", "topic_coverage")
@@ -97,6 +102,6 @@ def quality_report(spark, sf):
 SELECT 'standardised' AS stage, count(*) AS rows FROM std UNION ALL
 SELECT 'after_source_id', count(*) FROM best_1 UNION ALL SELECT 'after_url', count(*) FROM best""")
 def stage_counts(spark, sf):
-    raw = standardize(A.opportunities(spark, sf).select(*K.RAW_COLUMNS[:-1]))
+    raw = A.untexted(spark, sf)
     first = materialise(dedup.dedup_source_id(raw), "after-source-id")
     return analytics.stage_counts({"standardised": raw, "after_source_id": first, "after_url": dedup.dedup_url(first)})

@@ -22,15 +22,24 @@ def snapshot(
     domains: Mapping[str, str] = K.DOMAIN_CATEGORIES,
     empty_url: str = "keep",
     watch: Callable[[DataFrame, str], DataFrame] = lambda df, stage: df,
+    complete: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Union of standardised frames, without duplicates, classified, with features.
 
-    Two shuffles, one per duplicate key; everything after them is narrow.
+    Two shuffles, one per duplicate key; everything after them is narrow. ``complete`` gives the
+    kept rows columns, such as long texts, that are stored elsewhere and need not pass the shuffles.
     """
     merged = watch(union_sources(frames), "merged")
     rows = watch(deduplicate(merged, empty_url), "after_deduplication")
+    return finish(complete(rows), reference_ts, topics, domains).select(*K.SNAPSHOT_COLUMNS)
+
+
+def finish(
+    rows: DataFrame, reference_ts: str | Column, topics: Mapping[str, Sequence[str]], domains: Mapping[str, str] = K.DOMAIN_CATEGORIES
+) -> DataFrame:
+    """Categories and features of standardised rows, row by row."""
     rows = topic_votes(rows.withColumn("domain_category", domain_category("domain", domains)), topics)
-    return snapshot_features(rows, reference_ts).select(*K.SNAPSHOT_COLUMNS)
+    return snapshot_features(rows, reference_ts)
 
 
 def build(
