@@ -227,10 +227,8 @@ def search(queries: DataFrame, index: Index, k: int, probes: int | None = None,
     spark = queries.sparkSession
     left = materialise(_vectors(queries, "user_id"), "ann-users")
     probes = probes or max(8, len(index.book.centers) // 8)
-    rounds = -(-left.count() // max_users) or 1
     every = None
-    for number in range(rounds):
-        users = left if rounds == 1 else left.where(F.pmod(F.xxhash64("user_id"), F.lit(rounds)) == number)
+    for users in _rounds(left, max_users):
         best = finalists(users, index, refine * k, probes).select("user_id", "opportunity_id", "cell", "part")
         vectors = spark.table(index.table).select("cell", "part", "opportunity_id", F.col("embedding").alias("vector"))
         pairs = best.join(vectors, ["cell", "part", "opportunity_id"]).join(users, "user_id")
@@ -240,29 +238,48 @@ def search(queries: DataFrame, index: Index, k: int, probes: int | None = None,
     return every
 
 
-def tune(queries: DataFrame, index: Index, exact: DataFrame, k: int, target: float = 0.95) -> tuple[int, int]:
-    """(probes, refine) with which every user of a bounded sample finds at least ``target`` of its exact neighbours.
+def _rounds(users: DataFrame, max_users: int) -> list[DataFrame]:
+    n = -(-users.count() // max_users) or 1
+    return [users] if n == 1 else [users.where(F.pmod(F.xxhash64("user_id"), F.lit(n)) == i) for i in range(n)]
 
-    ``queries`` are the sampled users and ``exact`` their true neighbours (user_id, opportunity_id). The number of cells follows from the places of
-    the neighbours' cells; ``refine`` grows by four until the finalists hold enough of them, at most to all items.
+
+def tune(queries: DataFrame, index: Index, exact: DataFrame, k: int, target: float = 0.95, max_users: int = 100_000) -> tuple[int, int]:
+    """(probes, refine) with which each of ``queries`` finds at least ``target`` of its exact neighbours.
+
+    ``exact`` are their true neighbours (user_id, opportunity_id). What holds for a sample need not hold for a user outside it, so pass all users
+    if each of them must reach the target. The number of cells follows from the places of the neighbours' cells; ``refine`` grows by four until the
+    finalists hold enough of them, at most to all items.
     """
     spark = queries.sparkSession
     users = _vectors(queries, "user_id")
     cells = spark.table(index.table).select("opportunity_id", "cell")
-    wanted = exact.select("user_id", "opportunity_id").join(cells, "opportunity_id").join(users, "user_id").select("user_id", "cell", "embedding").toArrow()
-    if not len(wanted):
+    wanted = exact.select("user_id", "opportunity_id").join(cells, "opportunity_id").join(users, "user_id").select("user_id", "cell", "embedding")
+    shared = spark.sparkContext.broadcast((index.book.centers, np.flatnonzero(index.parts)))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centers, filled = shared.value
+        squares = (centers[filled] ** 2).sum(1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            order = np.argsort(squares - 2 * _matrix(batch["embedding"], False) @ centers[filled].T, axis=1)
+            place = (filled[order] == batch["cell"].to_numpy()[:, None]).argmax(1)
+            yield pa.RecordBatch.from_arrays([batch["user_id"], pa.array(place.astype(np.int64))], ["user_id", "place"])
+
+    own = F.array_sort(F.collect_list("place"))
+    needed = F.element_at(own, F.ceil(F.lit(target) * F.size(own)).cast("int"))
+    last = wanted.mapInArrow(places, "user_id string, place bigint").groupBy("user_id").agg(needed.alias("needed")).agg(F.max("needed")).first()[0]
+    if last is None:
         return 1, 1
-    centers, filled = index.book.centers, np.flatnonzero(index.parts)
-    vectors = _matrix(wanted["embedding"], False)
-    order = np.argsort((centers[filled] ** 2).sum(1) - 2 * vectors @ centers[filled].T, axis=1)
-    place = (filled[order] == wanted["cell"].to_numpy()[:, None]).argmax(1)
-    names = np.array(wanted["user_id"].to_pylist())
-    probes = max(int(np.sort(own)[int(np.ceil(target * len(own))) - 1]) + 1 for own in (place[names == n] for n in set(names.tolist())))
-    items, refine = cells.count(), 4
-    while refine * k < items:
-        found = finalists(users, index, refine * k, probes)
-        hits = exact.join(found.select("user_id", "opportunity_id", F.lit(1).alias("hit")), ["user_id", "opportunity_id"], "left")
-        if hits.groupBy("user_id").agg((F.count("hit") / F.count("*")).alias("r")).agg(F.min("r")).first()[0] >= target:
-            break
+    probes, items, refine, rounds = last + 1, cells.count(), 4, _rounds(users, max_users)
+
+    def worst(part: DataFrame) -> float:
+        found = finalists(part, index, refine * k, probes).select("user_id", "opportunity_id", F.lit(1).alias("hit"))
+        own = exact if len(rounds) == 1 else exact.join(part.select("user_id"), "user_id", "left_semi")
+        hits = own.join(found, ["user_id", "opportunity_id"], "left")
+        share = hits.groupBy("user_id").agg((F.count("hit") / F.count("*")).alias("r")).agg(F.min("r")).first()[0]
+        return 1.0 if share is None else share
+
+    while refine * k < items and any(worst(part) < target for part in rounds):
         refine *= 4
     return probes, refine

@@ -120,3 +120,19 @@ def test_bounded_sample(spark):
     assert bounded_sample(rows, ["id"], 50_000).count() == 20_000
     first = {r.id for r in bounded_sample(rows, ["id"], 300).collect()}
     assert first == {r.id for r in bounded_sample(rows.coalesce(3), ["id"], 300).collect()}
+
+
+def test_tuning_sees_every_event_user(spark, monkeypatch):
+    """1,500 users, most of them outside any sample of 256."""
+    from pulserank.plans import queries_retrieval as Q
+
+    class Seen(Exception):
+        pass
+
+    def stop(users, index, exact, k):
+        raise Seen(users.count(), exact.select("user_id").distinct().count())
+
+    monkeypatch.setattr(Q.ann, "tune", stop)
+    with pytest.raises(Seen) as seen:
+        Q.ann_event_users(spark, "/root/testdata/sf0.1")
+    assert seen.value.args == (1500, 1500)
