@@ -13,8 +13,8 @@ features. Three kinds of examples teach them:
 A fixed set of made-up examples (``prior``) joins those of the corpus, so a small corpus has a model and thresholds too. Each generator has its own
 threshold, set on examples that the trees have not seen. A proposal above it that overlaps no base span is added with kind ``other``.
 
-All of it is DataFrame operations in the JVM. The fit uses at most ``train_rows`` proposals, those with
-the smallest hash; every text is searched whole and every proposal is scored.
+All of it is DataFrame operations in the JVM. The trees and the thresholds come from all distinct proposals of the corpus;
+every text is searched whole and every proposal is scored.
 
 Patterns repeat groups possessively, which Java runs as a loop: a text of a million digits needs no stack. Where
 that skips only starts that would end in the same failure, a pattern starts at the border of a run, so no
@@ -28,7 +28,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulserank.llm.common import materialise
-from pulserank.operators.sampling import bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = "other"
@@ -52,7 +51,7 @@ CONTEXT = {
 }
 #: Fixed: common ends of addresses, spelled out.
 TOP = r"(?i)dot\W*(?:com|org|net|edu|gov|info|io|co|eu|de|fr|es|uk|us)\W*$"
-TRAIN_ROWS, PRECISION = 4_000, 0.95
+PRECISION = 0.95
 _PEOPLE = "(?i)" + "|".join(CONTEXT[k][4:] for k in ("phone_word", "card_word", "id_word"))
 KEY = ["doc_id", "text_hash"]
 
@@ -178,18 +177,17 @@ def prior(spark) -> DataFrame:
     return rows
 
 
-def added_spans(found: DataFrame, train_rows: int = TRAIN_ROWS, precision: float = PRECISION) -> DataFrame:
+def added_spans(found: DataFrame, precision: float = PRECISION) -> DataFrame:
     """The generated spans that the trees accept and no base span overlaps.
 
-    At most ``train_rows`` distinct examples of the corpus and those of :func:`prior` are used. Three quarters train the trees; among the sure ones of the
+    All distinct examples of the corpus and those of :func:`prior` are used. Three quarters train the trees; among the sure ones of the
     rest the threshold of each generator is the lowest from 0.5 to 1 from which on at least ``precision`` of the accepted are personal data.
     """
     marked = materialise(_marked(found), "pii-proposals")
     spark = found.sparkSession
-    kept = bounded_sample(materialise(_examples(marked, found), "pii-examples"), ["kind", "value", "before", "after"], train_rows)
     code = F.xxhash64("kind", "value", "before", "after")
     weight = F.when(F.col("sure"), 1.0).otherwise(0.1)
-    sample, names = _features(kept.unionByName(prior(spark)).withColumn("fold", F.pmod(code, F.lit(4))))
+    sample, names = _features(_examples(marked, found).unionByName(prior(spark)).withColumn("fold", F.pmod(code, F.lit(4))))
     sample = materialise(sample.select("kind", "label", "sure", "fold", weight.alias("weight"), *names), "pii-sample")
     assembler = VectorAssembler(inputCols=names, outputCol="features")
     trees = GBTClassifier(maxIter=10, maxDepth=4, stepSize=0.3, seed=5, featuresCol="features", labelCol="label", weightCol="weight")

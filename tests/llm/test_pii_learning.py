@@ -48,3 +48,19 @@ def test_redact_cuts_each_row_at_its_own_spans(spark):
     rows = [(1, "mail me@x.org now"), (1, "you@y.org wrote"), (None, "a@b.cc"), (2, None), (1, "mail me@x.org now")]
     out = sorted((r.doc_id or 0, r.redacted) for r in pii.redact(spark.createDataFrame(rows, SCHEMA)).collect())
     assert out == [(0, "[EMAIL]"), (1, "[EMAIL] wrote"), (1, "mail [EMAIL] now"), (1, "mail [EMAIL] now"), (2, "")]
+
+
+def test_no_example_is_left_out(spark, monkeypatch):
+    """More distinct proposals than the 4,000 that the fit once took."""
+    counts, write = {}, pii.materialise
+
+    def counted(df, label):
+        out = write(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(pii, "materialise", counted)
+    text = F.concat(F.lit("order number "), (F.col("id") + 1_000_000).cast("string"), F.lit(" was sent"))
+    docs = spark.range(5_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert pii.find_pii(docs).count() == 5_000
+    assert counts["pii-sample"] == counts["pii-proposals"] + pii.prior(spark).count() >= 5_000
