@@ -28,10 +28,10 @@ def snapshot(spark: SparkSession, path: str, fallback: str | None = None) -> Dat
 
 
 def csv_files(spark: SparkSession, path: str, recursive: bool = False) -> list[str]:
-    """All ``*.csv`` files below a folder of any Hadoop file system, sorted."""
+    """All ``*.csv`` and ``*.csv.gz`` files below a folder of any Hadoop file system, sorted."""
     listing = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.{csv,csv.gz}")
         .option("recursiveFileLookup", str(recursive).lower())
         .load(path)
         .select("path")
@@ -72,7 +72,7 @@ def raw_csv(
         broken = line.count('"') % 2  # a name with a line break: the first line is not the whole header
         for group in [[f] for f in files] if broken else [files]:
             by_header.setdefault(header_of(spark, group[0]), []).extend(group)
-    stem = F.regexp_replace(F.url_decode(F.col("_metadata.file_name")), r"\.[^.]*$", "")
+    stem = F.regexp_replace(F.url_decode(F.col("_metadata.file_name")), r"\.csv\.gz$|\.[^.]*$", "")
     frames = []
     for header, files in by_header.items():
         schema = ", ".join(f"`{name}` string" for name in header)

@@ -13,8 +13,8 @@ def flat(df: DataFrame) -> DataFrame:
     return df.withColumns(nested)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    flat(df).write.mode(mode).options(header="true", escape='"').csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    flat(df).write.mode(mode).options(header="true", escape='"', compression=compression).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

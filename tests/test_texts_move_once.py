@@ -50,3 +50,23 @@ def test_equal_numbers_and_missing_documents(spark):
 
     kept = {r["id"]: r["text"] for r in snapshot_build(spark, path).collect()}
     assert kept == {"0": "a", "1": "", "5": ""}
+
+
+def test_archive_lines_move_no_texts_of_events(spark):
+    from pulserank.plans.queries_sources import archive_lines
+
+    assert _carried(archive_lines(spark, SF)._jdf.queryExecution().optimizedPlan()) == []
+
+
+def test_packed_csv_is_read_like_plain(spark):
+    from pulserank.sources import files, sinks
+
+    rows = spark.createDataFrame([("1", "a\nb", 'x "y", z'), ("2", "c", "d")], "id string, title string, text string")
+    for kind in ("none", "gzip"):
+        path = scratch_path(spark, "packed")
+        sinks.write_csv(rows.coalesce(1), path, compression=kind)
+        found = files.csv_files(spark, path)
+        assert len(found) == 1 and found[0].endswith(".csv.gz" if kind == "gzip" else ".csv")
+        got = files.raw_csv(spark, path).orderBy("id").collect()
+        assert [(r["id"], r["title"], r["text"]) for r in got] == [("1", "a\nb", 'x "y", z'), ("2", "c", "d")]
+        assert not any("csv" in r["source"] for r in got)
