@@ -98,3 +98,13 @@ def join_items(records: DataFrame, items: DataFrame) -> DataFrame:
         )
         .where(~F.col("title").isin(*K.DELETED_HIT_MARKERS))
     )
+
+
+def with_texts(records: DataFrame, texts: DataFrame) -> DataFrame:
+    """Records whose ``text`` is the ``id`` of a landed text, with that text.
+
+    They join last, so a text that many items share is moved once. Records without a landed text are dropped.
+    """
+    found = texts.select(F.col("id").alias("_text_id"), clean("text").alias("_body"))
+    rows = records.withColumnRenamed("text", "_text_id").join(found, "_text_id")
+    return rows.select(*[F.col("_body").alias("text") if c == "text" else c for c in records.columns])

@@ -70,3 +70,16 @@ def test_packed_csv_is_read_like_plain(spark):
         got = files.raw_csv(spark, path).orderBy("id").collect()
         assert [(r["id"], r["title"], r["text"]) for r in got] == [("1", "a\nb", 'x "y", z'), ("2", "c", "d")]
         assert not any("csv" in r["source"] for r in got)
+
+
+def test_item_texts_are_landed_once(spark):
+    """Files of items hold a text's number; documents with one number give an item a row each, items without a document none."""
+    from pulserank.plans.queries_sources import _item_files
+    from pulserank.sources import hits
+
+    items, texts = (hits.read_items(spark, path) for path in _item_files(spark, SF))
+    docs = A.table(spark, SF, "documents")
+    assert texts.count() == docs.count() and {r["text"] for r in items.select("text").distinct().collect()} <= {str(r["doc_id"]) for r in docs.collect()}
+    records = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "id string, text string")
+    landed = spark.createDataFrame([("1", " x "), ("1", "y"), ("2", None)], "id string, text string")
+    assert sorted(map(tuple, hits.with_texts(records, landed).collect())) == [("a", "x"), ("a", "y"), ("b", "")]
