@@ -54,7 +54,7 @@ def build(
     """Write the snapshot once and return it with its metadata row.
 
     Stage counts are observed while the snapshot is written; coverage reads the written
-    table, one column each.
+    table, one column each. Texts that neighbouring rows repeat are packed.
     """
     seen: dict[str, Observation] = {}
 
@@ -65,7 +65,7 @@ def build(
     spark = frames[0].sparkSession
     path = path or scratch_path(spark, "snapshot")
     planned = snapshot(frames, reference_ts, topics, watch=watch, **options)
-    planned.write.parquet(path)
+    planned.write.option("compression", "zstd").parquet(path)
     written = spark.read.schema(planned.schema).parquet(path)
     if strict:
         report(written, snapshot_rules(), unique=("source", "id"), columns=K.SNAPSHOT_COLUMNS, strict=True)

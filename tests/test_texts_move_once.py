@@ -83,3 +83,12 @@ def test_item_texts_are_landed_once(spark):
     records = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "id string, text string")
     landed = spark.createDataFrame([("1", " x "), ("1", "y"), ("2", None)], "id string, text string")
     assert sorted(map(tuple, hits.with_texts(records, landed).collect())) == [("a", "x"), ("a", "y"), ("b", "")]
+
+
+def test_stored_rows_are_packed(spark):
+    """Rows of one document stand together in the stored tables, so a packed file holds about one text per document."""
+    from pulserank.plans import queries_text, snapshot as S
+
+    written, _ = S.build([A.untexted(spark, SF)], A.REFERENCE_TS, A.TOPICS, domains=A.DOMAINS, complete=lambda rows: A.with_text(rows, spark, SF))
+    for table in (written, queries_text._rows(spark, SF)):
+        assert all(name.endswith(".zstd.parquet") for name in table.inputFiles())
