@@ -85,13 +85,14 @@ def write_blocks(corpus: DataFrame, pivots: np.ndarray, block_rows: int = 1024,
     return materialise(corpus.mapInArrow(run, BLOCKS), "vector-blocks")
 
 
-def _nearest_possible(users: np.ndarray, center: np.ndarray, radius: float, norms: tuple[float, float], metric: str) -> np.ndarray:
+def _nearest_possible(
+    users: np.ndarray, squares: np.ndarray, center: np.ndarray, radius: float, norms: tuple[float, float], metric: str
+) -> np.ndarray:
     """The least distance that a vector of the block can have to each user, in the measure of ``_TopK``."""
+    length, product = np.sqrt(squares), users @ center
     if metric == "dot":
-        length = np.sqrt((users * users).sum(1))
-        return -np.minimum(users @ center + length * radius, length * norms[1])
-    gap = np.sqrt(((users - center) ** 2).sum(1)) - radius
-    length = np.sqrt((users * users).sum(1))
+        return -np.minimum(product + length * radius, length * norms[1])
+    gap = np.sqrt(np.maximum(squares - 2 * product + center @ center, 0.0)) - radius
     gap = np.maximum(gap, np.maximum(norms[0] - length, length - norms[1]))
     return np.maximum(gap, 0.0) ** 2
 
@@ -107,8 +108,7 @@ def scan_blocks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, users, home, away, bounds = shared.value
-        task = _TopK(names, users, k, metric)
-        limit = np.full(len(names), np.inf) if bounds is None else bounds
+        task = _TopK(names, users, k, metric, bounds)
         seen = skipped = 0
         for batch in batches:
             for row in batch.to_pylist():
@@ -118,8 +118,8 @@ def scan_blocks(
                 chosen = np.flatnonzero(chosen)
                 if not len(chosen):
                     continue
-                least = _nearest_possible(users[chosen], np.array(row["center"]), row["radius"], (row["least_norm"], row["most_norm"]), metric)
-                best = np.minimum(limit, task.bound)[chosen]
+                least = _nearest_possible(users[chosen], task.squares[chosen], np.array(row["center"]), row["radius"], (row["least_norm"], row["most_norm"]), metric)
+                best = task.bound[chosen]
                 useful = least <= best + 1e-9 * (1 + np.abs(np.where(np.isfinite(best), best, 0.0)) + row["most_norm"] ** 2)
                 seen, skipped = seen + int(useful.sum()), skipped + int((~useful).sum())
                 if useful.any():

@@ -22,6 +22,7 @@ from pulserank.operators.shaping import with_opportunity_id
 _OUT = "user_id string, opportunity_id string, distance double"
 _CELLS = 4_000_000  # entries of one distance block in memory
 _KEPT = 2_000_000  # finalists that one task keeps for all its users
+_WAITING = 1_000_000  # finalists that wait before they are cut
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, normalize: bool) -> np.ndarray:
@@ -42,15 +43,23 @@ def _matrix(column: pa.ChunkedArray | pa.Array, normalize: bool) -> np.ndarray:
 
 
 class _TopK:
-    """The best k (distance, id) pairs per user seen so far by one task."""
+    """The best k (distance, id) pairs per user seen so far by one task.
 
-    def __init__(self, names: list[str], queries: np.ndarray, k: int, metric: str):
+    Finalists are collected and cut to k per user when they have doubled, not after every block of items, so the
+    work besides the distances does not grow with the number of blocks. ``bound`` are distances known to be enough.
+    """
+
+    def __init__(self, names: list[str], queries: np.ndarray, k: int, metric: str, bound: np.ndarray | None = None):
         self.names, self.queries, self.k, self.metric = names, queries, k, metric
         self.squares = (queries * queries).sum(axis=1)
-        self.bound = np.full(len(queries), np.inf)
+        self.bound = np.full(len(queries), np.inf) if bound is None else bound.copy()
         self.user = np.zeros(0, dtype=np.int64)
-        self.item = np.zeros(0, dtype="U1")
+        self.item = np.zeros(0, dtype=np.int64)  # places in ids
         self.distance = np.zeros(0)
+        self.ids = np.zeros(0, dtype="U1")
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.fresh: list[np.ndarray] = []
+        self.n_fresh = self.n_waiting = self.newest = 0
 
     def add(self, items: np.ndarray, ids: np.ndarray, chosen: np.ndarray | None = None) -> None:
         """Compare ``items`` with all users, or with those at the places ``chosen``."""
@@ -61,46 +70,71 @@ class _TopK:
         step = max(1, _CELLS // len(items))
         own = (items * items).sum(axis=1)
         chosen = np.arange(len(self.queries)) if chosen is None else chosen
-        users, rows = [], []
+        at = len(self.ids) + self.n_fresh
+        self.fresh.append(ids)
+        self.n_fresh += len(ids)
+        self.newest = len(ids)
         for start in range(0, len(chosen), step):
             here = chosen[start : start + step]
-            rough = -(self.queries[here] @ items.T)
+            rough = self.queries[here] @ items.T
             if self.metric == "l2":
-                rough = 2 * rough + own[None, :] + self.squares[here, None]
-            limit = self.bound[here]
-            if len(items) > self.k:
-                limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+                rough *= -2
+                rough += own[None, :]
+                rough += self.squares[here, None]
+            else:
+                np.negative(rough, out=rough)
             # The slack covers the rounding of the block product; exact values decide below.
-            slack = 1e-9 * (1.0 + np.abs(np.where(np.isfinite(limit), limit, 0.0)) + own.max())
-            hit = rough <= (limit + slack)[:, None]
+            limit = self._slack(self.bound[here], own)
+            hit = rough <= limit[:, None]
+            many = np.flatnonzero(hit.sum(axis=1) > 2 * self.k)
+            if len(many):
+                part = rough[many]
+                limit = np.minimum(limit[many], self._slack(np.partition(part, self.k - 1, axis=1)[:, self.k - 1], own))
+                hit[many] = part <= limit[:, None]
+                self.bound[here[many]] = np.minimum(self.bound[here[many]], limit)
             u, r = np.nonzero(hit)
-            users.append(here[u])
-            rows.append(r)
-        u, r = np.concatenate(users), np.concatenate(rows)
-        exact = np.empty(len(u))
-        for start in range(0, len(u), 100_000):
-            part = slice(start, start + 100_000)
-            a, b = self.queries[u[part]], items[r[part]]
-            exact[part] = ((a - b) ** 2).sum(axis=1) if self.metric == "l2" else -(a * b).sum(axis=1)
-        self.user = np.concatenate([self.user, u])
-        self.item = np.concatenate([self.item, ids[r]])
-        self.distance = np.concatenate([self.distance, exact])
-        self._cut()
-
-    def _cut(self) -> None:
-        order = np.lexsort((self.item, self.distance, self.user))
-        user = self.user[order]
-        first = np.searchsorted(user, user, side="left")
-        place = np.arange(len(user)) - first
+            users = here[u]
+            exact = np.empty(len(u))
+            for first in range(0, len(u), 100_000):
+                part = slice(first, first + 100_000)
+                a, b = self.queries[users[part]], items[r[part]]
+                exact[part] = ((a - b) ** 2).sum(axis=1) if self.metric == "l2" else -(a * b).sum(axis=1)
+            self.waiting.append((users, at + r, exact))
+            self.n_waiting += len(u)
+            if self.n_waiting > max(len(self.user), _WAITING):
+                at -= self._cut()
+        self.newest = 0
+
+    @staticmethod
+    def _slack(limit: np.ndarray, own: np.ndarray) -> np.ndarray:
+        return limit + 1e-9 * (1.0 + np.abs(np.where(np.isfinite(limit), limit, 0.0)) + own.max())
+
+    def _cut(self) -> int:
+        """Leaves k finalists per user. The block of ids that is being added stays whole; returned is by how much its place moves."""
+        user, item, distance = (np.concatenate([old, *new]) for old, new in zip((self.user, self.item, self.distance), zip(*self.waiting) if self.waiting else ((), (), ())))
+        ids = np.concatenate([self.ids, *self.fresh]) if self.fresh else self.ids
+        order = np.lexsort((distance, user))
+        user, item, distance = user[order], item[order], distance[order]
+        same = np.flatnonzero((user[1:] == user[:-1]) & (distance[1:] == distance[:-1]))
+        if len(same):  # ids are compared among equal distances only
+            tied = np.union1d(same, same + 1)
+            item[tied] = item[tied][np.lexsort((ids[item[tied]], distance[tied], user[tied]))]
+        place = np.arange(len(user)) - np.searchsorted(user, user, side="left")
         keep = place < self.k
-        self.user, self.item, self.distance = user[keep], self.item[order][keep], self.distance[order][keep]
+        self.user, item, self.distance = user[keep], item[keep], distance[keep]
         full = place[keep] == self.k - 1
-        self.bound[self.user[full]] = self.distance[full]
+        ends = self.user[full]
+        self.bound[ends] = np.minimum(self.bound[ends], self.distance[full])
+        used = np.union1d(item, np.arange(len(ids) - self.newest, len(ids)))
+        self.ids, self.item = ids[used], np.searchsorted(used, item)
+        self.waiting, self.fresh, self.n_fresh, self.n_waiting = [], [], 0, 0
+        return len(ids) - len(used)
 
     def table(self) -> pa.Table:
+        self._cut()
         return pa.table({
-            "user_id": pa.array([self.names[i] for i in self.user], pa.string()),
-            "opportunity_id": pa.array(self.item.tolist(), pa.string()),
+            "user_id": pa.array(self.names, pa.string()).take(pa.array(self.user)),
+            "opportunity_id": pa.array(self.ids[self.item].tolist(), pa.string()),
             "distance": pa.array(self.distance, pa.float64()),
         })
 

@@ -136,3 +136,25 @@ def test_tuning_sees_every_event_user(spark, monkeypatch):
     with pytest.raises(Seen) as seen:
         Q.ann_event_users(spark, "/root/testdata/sf0.1")
     assert seen.value.args == (1500, 1500)
+
+
+@pytest.mark.parametrize("metric", ["l2", "dot"])
+@pytest.mark.parametrize("waiting", [50, 10**6])
+def test_finalists_are_not_cut_after_every_block(monkeypatch, metric, waiting):
+    """Whole numbers, so that many items are equally near and ids decide; chunks of few users, so that cuts fall inside a block."""
+    rng = np.random.default_rng(3)
+    asked, vectors = rng.integers(-2, 3, (70, 4)).astype(float), rng.integers(-2, 3, (900, 4)).astype(float)
+    ids, cuts, cut = np.array([f"i{j}" for j in rng.permutation(900)]), [], N._TopK._cut
+    monkeypatch.setattr(N, "_CELLS", 500)
+    monkeypatch.setattr(N, "_WAITING", waiting, raising=False)
+    monkeypatch.setattr(N._TopK, "_cut", lambda task: cuts.append(1) or cut(task))
+    task = N._TopK([f"u{i}" for i in range(70)], asked, 7, metric)
+    for start in range(0, 900, 37):
+        task.add(vectors[start:start + 37], ids[start:start + 37])
+    got = task.table().to_pydict()
+    want = []
+    for i, user in enumerate(asked):
+        far = ((user - vectors) ** 2).sum(1) if metric == "l2" else -(user * vectors).sum(1)
+        want += [(f"u{i}", *pair) for pair in sorted(zip(far, ids))[:7]]
+    assert sorted(zip(got["user_id"], got["distance"], got["opportunity_id"])) == sorted(want)
+    assert len(cuts) == 1 if waiting > 50 else len(cuts) > 1
