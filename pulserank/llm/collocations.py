@@ -27,7 +27,7 @@ from pulserank.operators.dedup import top_n
 #: Fixed by the contract: signs that end a piece, and letters that are lowered.
 ENDS = r"[.,;:!?\n-\r]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BUCKET, SEGMENT, BROADCAST = 1_000_000, 50_000, 64 << 20
+BUCKET, SEGMENT, BROADCAST = 500_000, 50_000, 64 << 20
 _TEXTS, _IDS = 4 << 20, 4 << 20  # bytes a task works on at a time
 _BREAK = "\n"
 
