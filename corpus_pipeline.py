@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulserank.llm import bpe_automaton, toxicity as tox
-from pulserank.llm.common import materialise, read
+from pulserank.llm.common import chosen_rows, materialise, read
 from pulserank.llm.line_runs import dedup_lines
 from pulserank.llm.near_copies import similar_groups
 from pulserank.llm.q_decontaminate import marked
@@ -38,8 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     docs = docs.select(*COLUMNS)
     groups = materialise(similar_groups(docs), "near-rows")
-    losers = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(losers, "doc_id", "left_anti").select(*COLUMNS)
+    kept = chosen_rows(docs, groups.where(F.col("doc_id") != F.col("component_id")), "doc_id", "left_anti").select(*COLUMNS)
     repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
@@ -52,8 +51,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drops documents that hold 10 consecutive words of a benchmark item."""
     docs = docs.select(*COLUMNS)
     found = marked(docs, read(spark, sf_dir, "benchmark"))
-    hit = found.where(F.size("spans") > 0).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*COLUMNS)
+    return chosen_rows(docs, found.where(F.size("spans") > 0), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulserank.session import materialise, shared_folder
 
-__all__ = ["SPACE", "column_free", "lower_bytes", "materialise", "pieces", "read", "shared_folder", "tables_of"]
+__all__ = ["SPACE", "chosen_rows", "column_free", "lower_bytes", "materialise", "pieces", "read", "shared_folder", "tables_of"]
 
 #: The white space of the contracts: space and the control characters 9 to 13.
 SPACE = " \t\n\x0b\x0c\r"
@@ -44,3 +44,14 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -
 def tables_of(df: DataFrame, names: list[str], defaults: dict[str, str]) -> DataFrame:
     """``df`` with columns ``names`` only, absent ones as typed nulls."""
     return df.select(*(F.col(f"`{n}`") if n in df.columns else F.lit(None).cast(defaults[n]).alias(n) for n in names))
+
+
+def chosen_rows(rows: DataFrame, ids: DataFrame, key: str, how: str, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """``rows`` joined ``how`` (left_semi or left_anti) with the distinct values ``ids`` of their column ``key``.
+
+    The ids are written and measured. Up to ``broadcast_bytes`` they travel to the rows, which stay where they are with their texts;
+    beyond that both sides are shuffled.
+    """
+    ids = materialise(ids.select(key).distinct(), "chosen-ids")
+    size = ids.agg(F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 32), F.lit(0))).first()[0]
+    return rows.join(F.broadcast(ids) if size <= broadcast_bytes else ids, key, how)

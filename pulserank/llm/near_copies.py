@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from pulserank.llm.common import lower_bytes, materialise, pieces
+from pulserank.llm.common import chosen_rows, lower_bytes, materialise, pieces
 from pulserank.llm.components import components
 from pulserank.llm.simhash import fingerprint_of, near_links, shingle_hashes
 
@@ -149,7 +149,7 @@ def similar_groups(
     loose = loose.unionByName(bits.join(ends[0], "a").join(ends[1], "b").select(F.col("va").alias("a"), F.col("vb").alias("b")))
     clusters = components(loose).select(F.col("node").alias("value"), F.col("component").alias("cluster"))
     wanted = materialise(clusters.join(classes, "value").select("value", "cluster", "row_key"), "near-clusters")
-    texts = narrow.join(wanted.select("row_key").distinct(), "row_key", "left_semi")
+    texts = chosen_rows(narrow, wanted, "row_key", "left_semi")
     members = materialise(_shingles(texts, words, seed).join(wanted, "value").select("value", "cluster", "shingles").dropDuplicates(["value"]), "near-sets")
     links = _checked(members, similarity, max(1, -(-members.count() // task_rows)), block)
     nodes = components(links)

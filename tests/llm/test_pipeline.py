@@ -84,3 +84,22 @@ def test_every_query_is_registered():
 def test_queries_without_sql_return_a_row_per_document(spark, name):
     rows = catalog.QUERIES[name](spark, "/root/testdata/sf0.001").select("doc_id").collect()
     assert sorted(r.doc_id for r in rows) == list(range(200))
+
+
+def test_texts_stay_where_they_are(spark, corpus):
+    """Rows are chosen by ids that travel to them, whatever Spark knows of the sizes; many ids give the same rows by a shuffle."""
+    from pulserank.llm.common import chosen_rows, read
+
+    folder, before = corpus[0], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    docs = read(spark, folder, "documents")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stage in (corpus_pipeline.decontaminate, corpus_pipeline.near_dedup):
+            plan = stage(spark, docs, folder)._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        ids = spark.createDataFrame([(1,), (1,), (7,), (None,), (999,)], "doc_id long")
+        for how in ("left_semi", "left_anti"):
+            few, many = (sorted(r.doc_id for r in chosen_rows(docs, ids, "doc_id", how, limit).collect()) for limit in (64 << 20, 0))
+            assert few == many == sorted(r.doc_id for r in docs.join(ids, "doc_id", how).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
