@@ -8,7 +8,7 @@ permuted values; the filters of a bucket are merged across tasks, frequent pairs
 written anew with them. No count is estimated and none is dropped that could matter.
 
 Scale. A pair leaves a task once with its count, so a hot phrase is no hot key. A bucket holds at most about
-``BUCKET`` positions before merging. The ids of a level reach the tasks by broadcast if they are at most ``broadcast_bytes``,
+``BUCKET`` positions before merging. Arrow batches are bounded by bytes and a counter by entries, so a task's memory does not grow with the length of texts. The ids of a level reach the tasks by broadcast if they are at most ``broadcast_bytes``,
 otherwise by an equi-join of the positions; both give the same sequences. Phrases are then scored and compared as DataFrames.
 """
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pulserank.llm.common import materialise, pieces
+from pulserank.llm.common import arrow_batches, materialise, pieces
 from pulserank.llm.quotient_filter import Counter, QuotientFilter
 from pulserank.operators.dedup import top_n
 
@@ -235,6 +235,11 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, text:
 
     ``phrase`` joins its words with spaces. A null lang is ``und``, a null text is empty, repeated rows count apart.
     """
+    with arrow_batches(docs.sparkSession, _TEXTS):  # every step that leaves the JVM is written inside
+        return _levels(docs, least, longest, text, lang, broadcast_bytes)
+
+
+def _levels(docs: DataFrame, least: int, longest: int, text: str, lang: str, broadcast_bytes: int) -> tuple[DataFrame, DataFrame]:
     counts = materialise(word_counts(docs, text, lang), "colloc-words")
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     often = counts.where(F.col("f") >= least)

@@ -2,13 +2,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulserank.session import materialise, shared_folder
 
-__all__ = ["SPACE", "chosen_rows", "column_free", "lower_bytes", "materialise", "pieces", "read", "shared_folder", "tables_of"]
+__all__ = ["SPACE", "arrow_batches", "chosen_rows", "column_free", "lower_bytes", "materialise", "pieces", "read", "shared_folder", "tables_of"]
 
 #: The white space of the contracts: space and the control characters 9 to 13.
 SPACE = " \t\n\x0b\x0c\r"
@@ -41,6 +42,18 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -
             yield batch.slice(start, step)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Jobs run inside get Arrow batches of about ``limit`` bytes; Spark's own bound is 10,000 rows or 64 MB, held by JVM and worker alike."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def tables_of(df: DataFrame, names: list[str], defaults: dict[str, str]) -> DataFrame:
     """``df`` with columns ``names`` only, absent ones as typed nulls."""
     return df.select(*(F.col(f"`{n}`") if n in df.columns else F.lit(None).cast(defaults[n]).alias(n) for n in names))

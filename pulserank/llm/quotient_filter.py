@@ -135,7 +135,7 @@ class QuotientFilter:
 class Counter:
     """Counts pairs and hands out filters, one per bucket; holds about ``limit`` entries."""
 
-    def __init__(self, width: int, bucket_bits: int, limit: int = 750_000):
+    def __init__(self, width: int, bucket_bits: int, limit: int = 250_000):
         self.width, self.bucket_bits, self.limit = width, min(bucket_bits, width), limit
         self.parts: list[tuple] = []
         self.held = 0

@@ -142,3 +142,22 @@ def test_filters_are_compact():
     counter.add(rng.integers(0, 1 << width, n), rng.integers(0, 1 << width, n))
     (filled,) = counter.drain()
     assert len(filled.to_bytes()) < 6.5 * n  # 24 bytes as three numbers
+
+
+def test_batches_of_long_texts_are_small(spark, monkeypatch):
+    """Long texts come in batches bounded by bytes, not in the 10,000 rows that Spark puts into one; the session's setting is left as it was."""
+    seen, kept = spark.sparkContext.accumulator(0), C.pieces
+    def watched(batches, text, limit):
+        for batch in batches:
+            seen.add(batch.num_rows > 300)
+            yield from kept([batch], text, limit)
+    monkeypatch.setattr(C, "pieces", watched)
+    docs = spark.range(400, numPartitions=1).selectExpr("repeat('one two three. ', 3000) AS text", "'en' AS lang")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for before in (None, "32m"):
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+        every, totals = C.frequent_phrases(docs, longest=2)
+        assert spark.conf.get(name, None) == before
+    spark.conf.unset(name)
+    assert {(r.phrase, r.f) for r in every.collect()} == {(p, 1_200_000) for p in ("one", "two", "three", "one two", "two three")}
+    assert totals.first()["n"] == 3_600_000 and seen.value == 0
