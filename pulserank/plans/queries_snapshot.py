@@ -102,6 +102,7 @@ def quality_report(spark, sf):
 SELECT 'standardised' AS stage, count(*) AS rows FROM std UNION ALL
 SELECT 'after_source_id', count(*) FROM best_1 UNION ALL SELECT 'after_url', count(*) FROM best""")
 def stage_counts(spark, sf):
+    """Of the rows after the first key only what the second one compares is stored."""
     raw = A.untexted(spark, sf)
-    first = materialise(dedup.dedup_source_id(raw), "after-source-id")
+    first = materialise(dedup.dedup_source_id(raw).select("source", "id", "url", "score", "num_comments"), "after-source-id", compression="zstd")
     return analytics.stage_counts({"standardised": raw, "after_source_id": first, "after_url": dedup.dedup_url(first)})

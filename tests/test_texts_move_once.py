@@ -110,3 +110,15 @@ def test_documents_of_few_rows_are_those_of_all(spark):
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, every.collect())) == [("0", "n", "a"), ("1", "m", ""), ("4", "m", "a")]
     texts = spark.read.parquet(*[name for name in few.inputFiles() if "pulserank-texts-" in name])
     assert sorted(r["doc_id"] for r in texts.collect()) == [0, 1]
+
+
+def test_stage_counts_store_what_the_next_key_compares(spark, monkeypatch):
+    """Titles and times are needed to choose a row, not behind it."""
+    from pulserank.plans import queries_snapshot as Q
+
+    stored, write = [], Q.materialise
+    monkeypatch.setattr(Q, "materialise", lambda df, *args, **options: stored.append(write(df, *args, **options)) or stored[-1])
+    rows = {r["stage"]: r["rows"] for r in Q.stage_counts(spark, SF).collect()}
+    first = Q.dedup.dedup_source_id(A.untexted(spark, SF))
+    assert rows == {"standardised": A.untexted(spark, SF).count(), "after_source_id": first.count(), "after_url": Q.dedup.dedup_url(first).count()}
+    assert set(stored[0].columns) == {"source", "id", "url", "score", "num_comments"} and all(n.endswith(".zstd.parquet") for n in stored[0].inputFiles())
