@@ -4,9 +4,13 @@ The index of a corpus is a bucketed table. Every item lies in the cell of its ne
 into parts, and each part is coded by the nearest of up to 256 entries of a codebook, a byte per part. Cells above ``part_rows`` items are
 dealt into parts. Centres and codebooks are learned on a bounded sample; every item is indexed.
 
-A search sends each user to the cells of its nearest centres. Users meet the codes there by co-grouping on the bucketed
+A search sends each user to the cells of its nearest centres. Few users meet the codes there by co-grouping on the bucketed
 columns, so codes are not shuffled; a task sums looked-up part distances and hands on the best few items per user. The vectors of these
 finalists are then fetched and compared exactly, so every reported distance is exact and only membership is approximate.
+
+Many users travel to the index instead, in broadcasts of bounded size, and no finalist is listed. A first pass over the codes leaves a few
+places of each user's looked-up distances per task, from which a bound follows below which the best finalists lie; a second pass compares
+what lies below it exactly and hands on at most k items per user.
 """
 from __future__ import annotations
 
@@ -15,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,7 +30,11 @@ from pulserank.operators.sampling import bounded_sample
 from pulserank.session import materialise, scratch_path
 
 SAMPLE_ROWS = 20_000
-_LOOKED_UP = 4_000_000  # distances one task holds at a time
+_LOOKED_UP = 2_000_000  # distances one task holds at a time
+_ROUTED = 4_000_000  # finalists of all tasks together up to which users are sent to their cells
+_HELD = 32_768  # items a task holds at a time while all users pass by
+_SHIPPED = 64 << 20  # bytes of user vectors in one broadcast
+_SHOWN = 4  # items per task and user whose exact distances the first pass leaves
 
 
 def _nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -218,68 +227,244 @@ def finalists(users: DataFrame, index: Index, n: int, probes: int) -> DataFrame:
     return top_n(found, ["user_id"], [F.asc("distance"), F.asc("opportunity_id")], n)
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of a task in tables of about ``_HELD`` rows, each sorted by cell."""
+    waiting, rows = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, _HELD):
+            waiting.append(batch.slice(at, _HELD))
+            rows += waiting[-1].num_rows
+            if rows >= _HELD:
+                yield pa.Table.from_batches(waiting).sort_by("cell")
+                waiting, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(waiting).sort_by("cell")
+
+
+def _looked_up(book: Codebook, filled: np.ndarray, probes: int, held: pa.Table, users: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Blocks of users with the looked-up distances to all ``held`` items; infinite where a user does not ask in the item's cell.
+
+    The sum of the part distances of a code is the distance to the vector that the code stands for.
+    """
+    cell = held["cell"].to_numpy().astype(np.int64)
+    codes = np.frombuffer(b"".join(held["code"].to_pylist()), np.uint8).reshape(len(cell), -1)
+    means = book.centers[cell]
+    for i, ((a, b), entries) in enumerate(zip(book.cuts, book.books)):
+        means[:, a:b] += entries[codes[:, i]]
+    squares = (means * means).sum(1)
+    right = np.hstack([means, np.ones((len(means), 1)), squares[:, None]]).T
+    runs = np.flatnonzero(np.diff(cell, prepend=-1))
+    centers = book.centers[filled]
+    norms, column = (centers * centers).sum(1), np.searchsorted(filled, cell[runs])
+    step = max(1, _LOOKED_UP // max(len(cell), len(filled)))
+    for at in range(0, len(users), step):
+        some = users[at:at + step]
+        own = (some * some).sum(1)
+        left, asked = np.hstack([-2 * some, own[:, None], np.ones((len(some), 1))]), None
+        if probes < len(filled):
+            far = norms - 2 * some @ centers.T
+            last = np.partition(far, probes - 1, axis=1)[:, probes - 1:probes]
+            asked = far <= last + 1e-9 * (1 + np.abs(last) + own[:, None])
+        if asked is None or asked.mean() > 0.5:
+            out = left @ right
+            if asked is not None:
+                for start, stop, c in zip(runs, [*runs[1:], len(cell)], column):
+                    out[~asked[:, c], start:stop] = np.inf
+        else:
+            out = np.full((len(some), len(cell)), np.inf)
+            for start, stop, c in zip(runs, [*runs[1:], len(cell)], column):
+                who = np.flatnonzero(asked[:, c])
+                if len(who):
+                    out[who, start:stop] = left[who] @ right[:, start:stop]
+        yield slice(at, at + len(some)), out
+
+
+def _slack(distance: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """``distance`` and what two ways to compute it may differ by."""
+    return distance + 1e-9 * (1 + np.abs(np.where(np.isfinite(distance), distance, 0.0)) + squares)
+
+
+def _scan(index: Index, spark: SparkSession, columns: list[str], schema: str, probes: int, shared: tuple, work) -> DataFrame:
+    """``work(held, place, distance, *shared)`` for every block of the users ``shared[0]`` and the items that a task holds."""
+    sent = spark.sparkContext.broadcast((index.book, np.flatnonzero(index.parts), shared))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book, filled, shared = sent.value
+        for held in _held(batches):
+            for place, distance in _looked_up(book, filled, probes, held, shared[0]):
+                yield work(held, place, distance, *shared)
+
+    return spark.table(index.table).select("cell", "code", *columns).mapInArrow(run, schema)
+
+
+def _differences(users: np.ndarray, items: np.ndarray) -> np.ndarray:
+    return ((users - items) ** 2).sum(-1)
+
+
+def _bounds(index: Index, spark: SparkSession, users: np.ndarray, n: int, k: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per user a looked-up distance that at least ``n`` items reach, and an exact one that ``k`` of these reach; infinite if there are fewer.
+
+    A task leaves the looked-up distances at the places 1, 4, 16 and so on up to ``n``; each stands for as many items as lie between it and the place
+    before. Of its ``_SHOWN`` nearest items it leaves the exact distances too.
+    """
+    ranks = sorted({*(4 ** i for i in range(32) if 4 ** i < n), n})
+
+    def work(held, place, distance, users):
+        size = distance.shape[1]
+        at = np.array([r for r in ranks if r < size] + ([size] if size <= n else []))
+        reached, rest = np.empty((len(distance), len(at))), distance
+        for i in range(len(at) - 1, -1, -1):
+            rest = np.partition(rest, at[i] - 1, axis=1)[:, :at[i]]
+            reached[:, i] = rest[:, -1]
+        shown = min(_SHOWN, size)
+        near = np.argpartition(distance, shown - 1, axis=1)[:, :shown]
+        vectors = _matrix(held["embedding"].take(pa.array(near.ravel())), False).reshape(len(near), shown, -1)
+        exact = _differences(users[place][:, None, :], vectors)
+        lists = [reached, np.broadcast_to(np.diff(at, prepend=0).astype(float), reached.shape), np.take_along_axis(distance, near, 1), exact]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(place.start, place.stop, dtype=np.int32)), *map(_lists, lists)], ["place", "reached", "items", "near", "exact"])
+
+    kinds = "place int, reached array<double>, items array<double>, near array<double>, exact array<double>"
+    left = _scan(index, spark, ["embedding"], kinds, probes, (users,), work)
+    steps, pairs = (F.array_sort(F.flatten(F.collect_list(F.arrays_zip(*x)))) for x in (("reached", "items"), ("exact", "near")))
+    start = F.struct(F.lit(0.0).alias("items"), F.lit(float("inf")).alias("bound"))
+    bound = F.aggregate(
+        "steps", start, lambda s, x: F.struct((s["items"] + x["items"]).alias("items"), F.when(s["items"] < n, x["reached"]).otherwise(s["bound"]).alias("bound")),
+        lambda s: F.when(s["items"] < n, float("inf")).otherwise(s["bound"]),
+    )
+    found = left.groupBy("place").agg(steps.alias("steps"), pairs.alias("pairs")).select("place", "pairs", bound.alias("bound"))
+    inside = F.filter("pairs", lambda p: p["near"] <= F.col("bound"))
+    rows = found.select("place", "bound", F.coalesce(F.get(inside, F.lit(k - 1))["exact"], F.lit(float("inf"))).alias("exact")).toArrow()
+    looked, exact = np.full(len(users), np.inf), np.full(len(users), np.inf)
+    looked[rows["place"].to_numpy()], exact[rows["place"].to_numpy()] = rows["bound"].to_numpy(), rows["exact"].to_numpy()
+    return looked, exact
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(np.ascontiguousarray(rows).ravel()))
+
+
+def _search_all(left: DataFrame, index: Index, n: int, k: int, probes: int) -> DataFrame:
+    """The best ``k`` by exact distance of at least ``n`` finalists per user, found in two passes over the index."""
+    spark, table = left.sparkSession, left.toArrow()
+    users = _matrix(table["embedding"], False)
+    if users.shape[1] != index.book.centers.shape[1]:
+        raise ValueError(f"dimension {index.book.centers.shape[1]} does not match {users.shape[1]}")
+    looked, exact = _bounds(index, spark, users, n, k, probes)
+
+    def work(held, place, distance, users, names, looked, exact):
+        some, items = users[place], _matrix(held["embedding"], False)
+        own, squares = (some * some).sum(1), (items * items).sum(1)
+        slack = own + squares.max()
+        hit = distance <= np.minimum(_slack(looked[place], slack), np.finfo(float).max)[:, None]
+        rough = np.hstack([-2 * some, own[:, None], np.ones((len(some), 1))]) @ np.hstack([items, np.ones((len(items), 1)), squares[:, None]]).T
+        hit &= rough <= _slack(exact[place], slack)[:, None]
+        many = np.flatnonzero(hit.sum(1) > 2 * k)
+        if len(many):
+            part = np.where(hit[many], rough[many], np.inf)
+            hit[many] &= part <= _slack(np.partition(part, k - 1, axis=1)[:, k - 1], slack[many])[:, None]
+        user, item = np.divmod(np.flatnonzero(hit), hit.shape[1])
+        true = np.concatenate([np.zeros(0), *(_differences(some[user[i:i + 50_000]], items[item[i:i + 50_000]]) for i in range(0, len(user), 50_000))])
+        ids = held["opportunity_id"].take(pa.array(item))
+        order = np.lexsort((np.array(ids.to_pylist(), dtype=str), true, user))
+        user, true = user[order], true[order]
+        first = np.arange(len(user)) - np.searchsorted(user, user) < k
+        columns = [names.take(pa.array(user[first] + place.start)), ids.take(pa.array(order[first])), pa.array(true[first])]
+        return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], ["user_id", "opportunity_id", "distance"])
+
+    shared = (users, table["user_id"].combine_chunks(), looked, exact)
+    return _finish(_scan(index, spark, ["opportunity_id", "embedding"], "user_id string, opportunity_id string, distance double", probes, shared, work), k, "l2")
+
+
 def search(queries: DataFrame, index: Index, k: int, probes: int | None = None, refine: int = 10, max_users: int = 100_000) -> DataFrame:
     """Approximate :func:`pulserank.operators.neighbors.knn` by squared distance, with exact distances.
 
-    A user looks into the ``probes`` nearest cells (by default an eighth of them, 8 at least), and the best ``refine * k`` items by code are compared exactly.
-    Users ask in rounds of about ``max_users``, so what meets in one cell is bounded.
+    A user looks into the ``probes`` nearest cells (by default an eighth of them, 8 at least), and at least the best ``refine * k`` items by code are compared
+    exactly. Users ask in rounds of about ``max_users``. If the tasks of a round would list more than ``_ROUTED`` finalists, the users of the round, ``_SHIPPED``
+    bytes of vectors at most, travel to the index and meet it in two passes.
     """
     spark = queries.sparkSession
     left = materialise(_vectors(queries, "user_id"), "ann-users")
     probes = probes or max(8, len(index.book.centers) // 8)
     every = None
-    for users in _rounds(left, max_users):
-        best = finalists(users, index, refine * k, probes).select("user_id", "opportunity_id", "cell", "part")
-        vectors = spark.table(index.table).select("cell", "part", "opportunity_id", F.col("embedding").alias("vector"))
-        pairs = best.join(vectors, ["cell", "part", "opportunity_id"]).join(users, "user_id")
-        exact = pairs.select("user_id", "opportunity_id", squared_distance("embedding", "vector").alias("distance"))
-        found = materialise(_finish(exact, k, "l2"), "ann-found")
+    for users, whole in _rounds(left, index, max_users, probes, refine * k):
+        if whole:
+            found = _search_all(users, index, refine * k, k, probes)
+        else:
+            best = finalists(users, index, refine * k, probes).select("user_id", "opportunity_id", "cell", "part")
+            vectors = spark.table(index.table).select("cell", "part", "opportunity_id", F.col("embedding").alias("vector"))
+            pairs = best.join(vectors, ["cell", "part", "opportunity_id"]).join(users, "user_id")
+            exact = pairs.select("user_id", "opportunity_id", squared_distance("embedding", "vector").alias("distance"))
+            found = _finish(exact, k, "l2")
+        found = materialise(found, "ann-found")
         every = found if every is None else every.unionByName(found)
     return every
 
 
-def _rounds(users: DataFrame, max_users: int) -> list[DataFrame]:
-    n = -(-users.count() // max_users) or 1
-    return [users] if n == 1 else [users.where(F.pmod(F.xxhash64("user_id"), F.lit(n)) == i) for i in range(n)]
+def _rounds(users: DataFrame, index: Index, max_users: int, probes: int, n: int) -> list[tuple[DataFrame, bool]]:
+    """The users in rounds, and whether a round's finalists are too many to be listed."""
+    count, items = users.count(), users.sparkSession.table(index.table).count()
+    whole = min(count, max_users) * min(items, probes * n) > _ROUTED
+    if whole:
+        max_users = max(1, min(max_users, _SHIPPED // (8 * index.book.centers.shape[1])))
+    n = -(-count // max_users) or 1
+    return [(users if n == 1 else users.where(F.pmod(F.xxhash64("user_id"), F.lit(n)) == i), whole) for i in range(n)]
 
 
 def tune(queries: DataFrame, index: Index, exact: DataFrame, k: int, target: float = 0.95, max_users: int = 100_000) -> tuple[int, int]:
     """(probes, refine) with which each of ``queries`` finds at least ``target`` of its exact neighbours.
 
     ``exact`` are their true neighbours (user_id, opportunity_id). What holds for a sample need not hold for a user outside it, so pass all users
-    if each of them must reach the target. The number of cells follows from the places of the neighbours' cells; ``refine`` grows by four until the
-    finalists hold enough of them, at most to all items.
+    if each of them must reach the target. The number of cells follows from the places of the neighbours' cells; one pass over the codes counts for every
+    user the items that are looked up no farther than enough of its neighbours, and ``refine`` grows by four until the finalists are as many, at most to all items.
     """
     spark = queries.sparkSession
-    users = _vectors(queries, "user_id")
-    cells = spark.table(index.table).select("opportunity_id", "cell")
-    wanted = exact.select("user_id", "opportunity_id").join(cells, "opportunity_id").join(users, "user_id").select("user_id", "cell", "embedding")
-    shared = spark.sparkContext.broadcast((index.book.centers, np.flatnonzero(index.parts)))
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centers, filled = shared.value
-        squares = (centers[filled] ** 2).sum(1)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            order = np.argsort(squares - 2 * _matrix(batch["embedding"], False) @ centers[filled].T, axis=1)
-            place = (filled[order] == batch["cell"].to_numpy()[:, None]).argmax(1)
-            yield pa.RecordBatch.from_arrays([batch["user_id"], pa.array(place.astype(np.int64))], ["user_id", "place"])
-
-    own = F.array_sort(F.collect_list("place"))
-    needed = F.element_at(own, F.ceil(F.lit(target) * F.size(own)).cast("int"))
-    last = wanted.mapInArrow(places, "user_id string, place bigint").groupBy("user_id").agg(needed.alias("needed")).agg(F.max("needed")).first()[0]
+    users, items = _vectors(queries, "user_id"), spark.table(index.table).select("opportunity_id", "cell", "code")
+    wanted = exact.select("user_id", "opportunity_id").join(items, "opportunity_id").groupBy("user_id").agg(F.collect_list("cell").alias("cells"), F.collect_list("code").alias("codes"))
+    sent = spark.sparkContext.broadcast((index.book, np.flatnonzero(index.parts)))
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per user the places of its neighbours' cells and their looked-up distances."""
+        book, filled = sent.value
+        centers = book.centers[filled]
+        squares = (centers ** 2).sum(1)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                vectors, sizes = _matrix(batch["embedding"], False), pc.list_value_length(batch["cells"]).to_numpy()
+                user, cell = np.repeat(np.arange(len(vectors)), sizes), batch["cells"].flatten().to_numpy().astype(np.int64)
+                codes = np.frombuffer(b"".join(batch["codes"].flatten().to_pylist()), np.uint8).reshape(len(cell), -1)
+                places = np.argsort(np.argsort(squares - 2 * vectors @ centers.T, axis=1), axis=1)
+                rest, distance = vectors[user] - book.centers[cell], np.zeros(len(cell))
+                for i, ((a, b), entries) in enumerate(zip(book.cuts, book.books)):
+                    distance += _differences(rest[:, a:b], entries[codes[:, i]])
+                starts = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                near = pa.ListArray.from_arrays(starts, pa.array(places[user, np.searchsorted(filled, cell)].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch["user_id"], batch["embedding"], near, pa.ListArray.from_arrays(starts, pa.array(distance))], ["user_id", "embedding", "places", "looked"])
+
+    kind = dict(users.dtypes)["embedding"]
+    own = materialise(
+        wanted.join(users, "user_id").select("user_id", "embedding", "cells", "codes").mapInArrow(neighbours, f"user_id string, embedding {kind}, places array<int>, looked array<double>"),
+        "ann-own",
+    )
+    enough = F.ceil(F.lit(target) * F.size("places")).cast("int")
+    last = own.agg(F.max(F.element_at(F.array_sort("places"), enough))).first()[0]
     if last is None:
         return 1, 1
-    probes, items, refine, rounds = last + 1, cells.count(), 4, _rounds(users, max_users)
-
-    def worst(part: DataFrame) -> float:
-        found = finalists(part, index, refine * k, probes).select("user_id", "opportunity_id", F.lit(1).alias("hit"))
-        own = exact if len(rounds) == 1 else exact.join(part.select("user_id"), "user_id", "left_semi")
-        hits = own.join(found, ["user_id", "opportunity_id"], "left")
-        share = hits.groupBy("user_id").agg((F.count("hit") / F.count("*")).alias("r")).agg(F.min("r")).first()[0]
-        return 1.0 if share is None else share
-
-    while refine * k < items and any(worst(part) < target for part in rounds):
+    probes, n_items, refine = last + 1, items.count(), 4
+    inside = F.filter(F.arrays_zip("places", "looked"), lambda x: x["places"] < probes)
+    limit = F.element_at(F.array_sort(F.transform(inside, lambda x: x["looked"])), enough)
+    asking = own.select("user_id", "embedding", limit.alias("limit"))
+
+    def count(held, place, distance, users, limit):
+        near = distance <= _slack(limit[place], (users[place] ** 2).sum(1))[:, None]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(place.start, place.stop, dtype=np.int32)), pa.array(near.sum(1))], ["place", "items"])
+
+    needed = 0
+    for part, _ in _rounds(asking, index, min(max_users, max(1, _SHIPPED // (8 * index.book.centers.shape[1]))), probes, n_items):
+        table = part.toArrow()
+        if len(table):
+            counted = _scan(index, spark, [], "place int, items bigint", probes, (_matrix(table["embedding"], False), table["limit"].to_numpy()), count)
+            needed = max(needed, counted.groupBy("place").agg(F.sum("items").alias("items")).agg(F.max("items")).first()[0])
+    while refine * k < min(n_items, needed):
         refine *= 4
     return probes, refine

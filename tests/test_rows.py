@@ -157,6 +157,26 @@ def test_top_n_beyond_the_pruned_size(spark):
     assert got.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("m")).orderBy("k").collect() == [(0, 1500, 2000), (1, 1500, 2001)]
 
 
+def test_long_histories_are_sorted_not_compared_with_each_other(spark):
+    """The first of the terms that differ only in case stays, in order; no term is searched for in the list of all."""
+    history = [{"title": f"{'Term' if i % 2 else 'tERM'} {i // 3 % 4000}", "domain": f"D{i % 7}", "source": None} for i in range(20_000)]
+    df = spark.createDataFrame([("u", ["d3", " X "], history)], "user_id string, interests array<string>, engagement_history array<struct<title:string,domain:string,source:string>>")
+    got = profiles.profile_terms(df)
+    want = {}
+    for term in ["d3", "X", *(v for e in history for v in (e["title"], e["domain"]))]:
+        want.setdefault(term.lower(), term)
+    assert got.first().terms == list(want.values())
+    assert "array_position" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_profiles_read_their_rows_once(spark):
+    """The opportunities are counted into stored entries; none of the four fields joins them anew."""
+    from pulserank.plans import adapters
+
+    plan = adapters.profiles(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "event_id" not in plan and "page_id" not in plan and "doc_id" not in plan, plan
+
+
 def test_profile_terms(spark):
     profile = {
         "user_id": "u", "interests": ["RAG", "Spark", ""], "skills": [["python", "rag"], ["SQL"]], "expertise": "Kafka",
