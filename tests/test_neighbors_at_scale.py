@@ -98,6 +98,39 @@ def test_tuned_effort_reaches_its_recall(spark, items):
     ann.close_index(spark, index)
 
 
+def test_many_users_list_no_finalists(users, items, exact, monkeypatch):
+    """Users beyond the limit travel to the index, here in several rounds; what they find is at least as near as with routed users."""
+    index = ann.build_index(items, cells=30, parts=8, part_rows=50, buckets=5)
+    routed = shown(ann.search(users, index, K, probes=4, refine=6))
+    monkeypatch.setattr(ann, "_ROUTED", 0, raising=False)
+    monkeypatch.setattr(ann, "_SHIPPED", 8 * 16 * 200, raising=False)
+    monkeypatch.setattr(ann, "finalists", lambda *a: pytest.fail("finalists are listed"))
+    found = ann.search(users, index, K, probes=4, refine=6).cache()
+    near = shown(found)
+    assert len(near) == len(routed) and all(a[:2] == b[:2] and a[3] <= b[3] for a, b in zip(near, routed))
+    assert N.recall(found, exact).where("recall < 0.9").isEmpty()
+    assert shown(ann.search(users, index, K, probes=30, refine=500)) == shown(exact)
+    few, best = shown(ann.search(users, index, K, probes=1, refine=500)), {r[:2]: r[3] for r in shown(exact)}
+    assert few != shown(exact) and all(r[3] >= best[r[:2]] - 1e-9 for r in few)
+    ann.close_index(users.sparkSession, index)
+
+
+def test_tuning_counts_in_one_pass(users, items, exact, monkeypatch):
+    """The finalists that the tuned effort asks for hold enough neighbours of each user, a quarter of them does not."""
+    index = ann.build_index(items, cells=30, parts=4, buckets=4)
+    listed = ann.finalists
+    monkeypatch.setattr(ann, "finalists", lambda *a: pytest.fail("finalists are listed"))
+    probes, refine = ann.tune(users, index, exact, K)
+
+    def worst(n):
+        hits = exact.join(listed(users.where("user_id LIKE 'u%'"), index, n, probes).select("user_id", "opportunity_id", F.lit(1).alias("hit")), ["user_id", "opportunity_id"], "left")
+        return hits.groupBy("user_id").agg((F.count("hit") / F.count("*")).alias("r")).agg(F.min("r")).first()[0]
+
+    assert worst(refine * K) >= 0.95
+    assert refine == 4 or worst(refine * K // 4) < 0.95
+    ann.close_index(users.sparkSession, index)
+
+
 def test_codes_are_not_shuffled(spark, users, items):
     index = ann.build_index(items, cells=10, parts=4, buckets=4)
     plan = ann.finalists(users.where("user_id LIKE 'u%'"), index, 20, 3)._jdf.queryExecution().executedPlan().toString()
