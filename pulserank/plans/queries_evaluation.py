@@ -87,7 +87,7 @@ PROXY = _proxy_sql()
 
 @query("proxy_labels", f"WITH {PROXY} SELECT user_id, opportunity_id, interaction, relevance_label FROM given")
 def proxy_labels(spark, sf):
-    return E.proxy_labels(candidates(spark, sf), A.profiles(spark, sf), A.PREFERENCES)
+    return E.proxy_labels(candidates(spark, sf), A.profiles(spark, sf, history=False), A.PREFERENCES)
 
 
 _JUDGED = O.SIMPLE + "," + _GIVEN + """,

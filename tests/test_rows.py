@@ -157,6 +157,22 @@ def test_top_n_beyond_the_pruned_size(spark):
     assert got.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("m")).orderBy("k").collect() == [(0, 1500, 2000), (1, 1500, 2001)]
 
 
+def test_ranked_rows_alone_are_shuffled(spark):
+    """The ids of the best rows travel to the rows; above the limit both sides meet, with the same result."""
+    rows = spark.createDataFrame(
+        [(str(i), "t", f"apple {i} {'pie' if i % 3 else ''}", "p", "d", "c", "x", 10, i % 5, 1) for i in range(60)],
+        "id string, title string, text string, platform string, domain string, domain_category string, topic_category string, score int, num_comments int, age_days int",
+    )
+    users = spark.createDataFrame([("a", ["pie"]), ("b", ["apple 7", "x"])], "user_id string, terms array<string>")
+    best = keyword.keyword_rank(rows, users, 3)
+    assert "LeftSemi" in best._jdf.queryExecution().optimizedPlan().toString()
+    narrow = best.select("user_id", "id", "rank")
+    got = keyword._with_rows(narrow, rows, "id", broadcast_bytes=0)
+    assert "LeftSemi" not in got._jdf.queryExecution().optimizedPlan().toString()
+    columns = ["user_id", "id", "rank", "title", "text"]
+    assert sorted(got.select(columns).collect()) == sorted(best.select(columns).collect()) and got.count() == 6
+
+
 def test_long_histories_are_sorted_not_compared_with_each_other(spark):
     """The first of the terms that differ only in case stays, in order; no term is searched for in the list of all."""
     history = [{"title": f"{'Term' if i % 2 else 'tERM'} {i // 3 % 4000}", "domain": f"D{i % 7}", "source": None} for i in range(20_000)]
