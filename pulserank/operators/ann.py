@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from collections.abc import Iterator
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pulserank.functions.text import let
 from pulserank.functions.vectors import squared_distance
 from pulserank.operators.dedup import top_n
 from pulserank.operators.neighbors import _finish, _matrix, _vectors
@@ -414,8 +415,9 @@ def tune(queries: DataFrame, index: Index, exact: DataFrame, k: int, target: flo
     """(probes, refine) with which each of ``queries`` finds at least ``target`` of its exact neighbours.
 
     ``exact`` are their true neighbours (user_id, opportunity_id). What holds for a sample need not hold for a user outside it, so pass all users
-    if each of them must reach the target. The number of cells follows from the places of the neighbours' cells; one pass over the codes counts for every
-    user the items that are looked up no farther than enough of its neighbours, and ``refine`` grows by four until the finalists are as many, at most to all items.
+    if each of them must reach the target. The number of cells follows from the places of the neighbours' cells; ``refine`` grows by four until the
+    finalists hold enough of them, at most to all items. Where finalists are too many to be listed, one pass over the codes counts for every user the items
+    that are looked up no farther than enough of its neighbours.
     """
     spark = queries.sparkSession
     users, items = _vectors(queries, "user_id"), spark.table(index.table).select("opportunity_id", "cell", "code")
@@ -446,14 +448,35 @@ def tune(queries: DataFrame, index: Index, exact: DataFrame, k: int, target: flo
         wanted.join(users, "user_id").select("user_id", "embedding", "cells", "codes").mapInArrow(neighbours, f"user_id string, embedding {kind}, places array<int>, looked array<double>"),
         "ann-own",
     )
-    enough = F.ceil(F.lit(target) * F.size("places")).cast("int")
-    last = own.agg(F.max(F.element_at(F.array_sort("places"), enough))).first()[0]
+
+    def enough(values: Column) -> Column:
+        return let(values, lambda v: F.element_at(F.array_sort(v), F.ceil(F.lit(target) * F.size(v)).cast("int")))
+
+    last = own.groupBy("user_id").agg(F.flatten(F.collect_list("places")).alias("places")).agg(F.max(enough(F.col("places")))).first()[0]
     if last is None:
         return 1, 1
     probes, n_items, refine = last + 1, items.count(), 4
-    inside = F.filter(F.arrays_zip("places", "looked"), lambda x: x["places"] < probes)
-    limit = F.element_at(F.array_sort(F.transform(inside, lambda x: x["looked"])), enough)
-    asking = own.select("user_id", "embedding", limit.alias("limit"))
+
+    def worst(part: DataFrame) -> float:
+        found = finalists(part, index, refine * k, probes).select("user_id", "opportunity_id", F.lit(1).alias("hit"))
+        hits = exact.join(part.select("user_id"), "user_id", "left_semi").join(found, ["user_id", "opportunity_id"], "left")
+        share = hits.groupBy("user_id").agg((F.count("hit") / F.count("*")).alias("r")).agg(F.min("r")).first()[0]
+        return 1.0 if share is None else share
+
+    while refine * k < n_items:
+        rounds = _rounds(users, index, max_users, probes, refine * k)
+        if any(whole for _, whole in rounds):
+            break
+        if all(worst(part) >= target for part, _ in rounds):
+            return probes, refine
+        refine *= 4
+    if refine * k >= n_items:
+        return probes, refine
+    inside = F.zip_with("places", "looked", lambda p, d: F.when(p < probes, d).otherwise(float("inf")))
+    # Rows of one user list the same neighbours; a neighbour is as far as from the nearest of them.
+    nearest = F.transform(F.col("lists")[0], lambda d, i: F.array_min(F.transform("lists", lambda x: F.get(x, i))))
+    limits = own.groupBy("user_id").agg(F.collect_list(inside).alias("lists")).select("user_id", enough(nearest).alias("limit"))
+    asking = own.select("user_id", "embedding").join(limits, "user_id")
 
     def count(held, place, distance, users, limit):
         near = distance <= _slack(limit[place], (users[place] ** 2).sum(1))[:, None]
@@ -464,7 +487,9 @@ def tune(queries: DataFrame, index: Index, exact: DataFrame, k: int, target: flo
         table = part.toArrow()
         if len(table):
             counted = _scan(index, spark, [], "place int, items bigint", probes, (_matrix(table["embedding"], False), table["limit"].to_numpy()), count)
-            needed = max(needed, counted.groupBy("place").agg(F.sum("items").alias("items")).agg(F.max("items")).first()[0])
+            rows = counted.groupBy("place").agg(F.sum("items").alias("items")).toArrow()
+            each = pa.table({"user_id": table["user_id"].take(rows["place"]), "items": rows["items"]}).group_by("user_id").aggregate([("items", "sum")])
+            needed = max(needed, pc.max(each["items_sum"]).as_py())
     while refine * k < min(n_items, needed):
         refine *= 4
     return probes, refine

@@ -118,9 +118,11 @@ def test_many_users_list_no_finalists(users, items, exact, monkeypatch):
 def test_tuning_counts_in_one_pass(users, items, exact, monkeypatch):
     """The finalists that the tuned effort asks for hold enough neighbours of each user, a quarter of them does not."""
     index = ann.build_index(items, cells=30, parts=4, buckets=4)
-    listed = ann.finalists
+    listed, asked = ann.finalists, ann.tune(users, index, exact, K)
+    monkeypatch.setattr(ann, "_ROUTED", 0, raising=False)
     monkeypatch.setattr(ann, "finalists", lambda *a: pytest.fail("finalists are listed"))
     probes, refine = ann.tune(users, index, exact, K)
+    assert (probes, refine) == asked
 
     def worst(n):
         hits = exact.join(listed(users.where("user_id LIKE 'u%'"), index, n, probes).select("user_id", "opportunity_id", F.lit(1).alias("hit")), ["user_id", "opportunity_id"], "left")
